@@ -25,7 +25,7 @@ def positions(df: DataFrame, group: str, key="Shipment_ID", out="position", over
     tagged = df.withColumn("_tie", spread_key(key))
     sizes = tagged.groupBy(group).agg(F.count("*").alias("_rows"))
     # Hex digits of the hash that bring a slice of this group under slice_rows.
-    digits = F.greatest(F.lit(0), F.ceil(F.log(F.lit(16.0), F.col("_rows") / F.lit(float(slice_rows)))))
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("_rows") / F.lit(float(slice_rows)))))
     ordered = Window.orderBy(group)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(before), F.lit(0)) if overall else F.lit(0).cast("long")

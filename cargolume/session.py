@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores="8", shuffle_partitions="8", app="cargolume", memory="12g"):
@@ -49,3 +50,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A small fixed table made in the JVM, without a Python worker."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("x")).select("x.*")
