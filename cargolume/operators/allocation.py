@@ -34,6 +34,7 @@ class Plan:
     objective: float | None = None
     expected_delays: float | None = None
     fractional_shipments: int = 0
+    prices: tuple | None = None  # carbon and fleet prices, a warm start for a nearby ceiling
 
     @property
     def gap(self):
@@ -84,27 +85,27 @@ def minimum_freight_plan(shipments: DataFrame, caps: dict) -> DataFrame:
 # --- dual prices ----------------------------------------------------------------------------------
 
 def _fold_prices(k: int, prices: list[np.ndarray], tau: float, wide: DataFrame) -> list:
-    """For each price vector (carbon, fleet...): smoothed value, slopes and curvature, in one pass."""
-    options = F.explode(F.array(*[F.struct(
-        F.lit(j).alias("j"), *[F.lit(float(x)).alias(f"t{d}") for d, x in enumerate(p)]) for j, p in enumerate(prices)]))
-    r = [F.col(f"c{i}") + F.col("t.t0") * F.col(f"e{i}") + F.col(f"t.t{i + 1}") for i in range(k)]
-    base = wide.select("*", options.alias("t")).select(
-        F.col("t.j").alias("j"), *[F.col(f"e{i}") for i in range(k)], *[x.alias(f"r{i}") for i, x in enumerate(r)])
-    low = F.least(*[F.col(f"r{i}") for i in range(k)])
-    base = base.withColumn("m", low)
-    base = base.select("j", "m", *[f"e{i}" for i in range(k)],
-                       *[F.exp((F.col("m") - F.col(f"r{i}")) / tau).alias(f"w{i}") for i in range(k)])
-    base = base.withColumn("w", sum((F.col(f"w{i}") for i in range(1, k)), F.col("w0")))
-    base = base.select("j", "m", "w", *[f"e{i}" for i in range(k)],
-                       *[(F.col(f"w{i}") / F.col("w")).alias(f"y{i}") for i in range(k)])
-    y, e = [F.col(f"y{i}") for i in range(k)], [F.col(f"e{i}") for i in range(k)]
-    base = base.withColumn("eb", sum((y[i] * e[i] for i in range(1, k)), y[0] * e[0]))
-    eb = F.col("eb")
-    aggs = [F.sum(F.col("m") - tau * F.ln("w")).alias("g"), F.sum(eb).alias("e"),
-            F.sum(sum((y[i] * e[i] * e[i] for i in range(1, k)), y[0] * e[0] * e[0]) - eb * eb).alias("ee")]
-    aggs += [F.sum(y[i]).alias(f"n{i}") for i in range(k)]
-    aggs += [F.sum(y[i] * (e[i] - eb)).alias(f"x{i}") for i in range(k)]
-    aggs += [F.sum(y[i] * y[l]).alias(f"q{i}_{l}") for i in range(k) for l in range(i, k)]
+    """For each price vector (carbon, fleet...): smoothed value, slopes and curvature, in one pass.
+
+    Prices and smoothing ride in one array literal, so the generated code is the same in every pass.
+    """
+    ks = range(k)
+    options = ", ".join(
+        f"struct({j} AS j, {tau!r}D AS tau, " + ", ".join(f"{float(x)!r}D AS t{d}" for d, x in enumerate(p)) + ")"
+        for j, p in enumerate(prices))
+    e = [f"e{i}" for i in ks]
+    base = wide.selectExpr(*e, *[f"c{i}" for i in ks], f"explode(array({options})) AS t")
+    base = base.selectExpr("t.j AS j", "t.tau AS tau", *e, *[f"c{i} + t.t0 * e{i} + t.t{i + 1} AS r{i}" for i in ks])
+    base = base.selectExpr("*", f"least({', '.join(f'r{i}' for i in ks)}) AS m")
+    base = base.selectExpr("j", "tau", "m", *e, *[f"exp((m - r{i}) / tau) AS w{i}" for i in ks])
+    base = base.selectExpr("*", " + ".join(f"w{i}" for i in ks) + " AS w")
+    base = base.selectExpr("j", "m - tau * ln(w) AS g", *e, *[f"w{i} / w AS y{i}" for i in ks])
+    base = base.selectExpr("*", " + ".join(f"y{i} * e{i}" for i in ks) + " AS eb")
+    sums = ["sum(g) AS g", "sum(eb) AS e",
+            "sum(" + " + ".join(f"y{i} * (e{i} - eb) * (e{i} - eb)" for i in ks) + ") AS ee"]
+    sums += [f"sum(y{i}) AS n{i}" for i in ks] + [f"sum(y{i} * (e{i} - eb)) AS x{i}" for i in ks]
+    sums += [f"sum(y{i} * y{l}) AS q{i}_{l}" for i in ks for l in range(i, k)]
+    aggs = [F.expr(x) for x in sums]
     rows = {row["j"]: row for row in base.groupBy("j").agg(*aggs).collect()}
     out = []
     for j, p in enumerate(prices):
@@ -122,7 +123,7 @@ def _fold_prices(k: int, prices: list[np.ndarray], tau: float, wide: DataFrame)
 
 
 def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows: int, spread: float,
-                tightness=2e-4, passes=80):
+                tightness=2e-4, passes=80, start=None):
     """Prices that maximise the smoothed dual, with the smoothing lowered step by step.
 
     Newton steps on k + 1 prices; each pass tries three step lengths at once.
@@ -132,8 +133,9 @@ def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows:
     binding = sum(caps) == rows  # all caps bind: fleet prices may take any sign, and one is a free choice
     free_sign = np.array([False] + [binding] * k)
     held = np.array([epsilon is None] + [binding and i == 0 for i in range(k)])
-    theta = np.zeros(k + 1)
-    tau, last = max(spread, 1e-9), max(spread * tightness, 1e-12)
+    theta = np.zeros(k + 1) if start is None else np.where(held & (np.arange(k + 1) == 0), 0.0, np.array(start))
+    last = max(spread * tightness, 1e-12)
+    tau = max(spread, 1e-9) if start is None else max(spread / 50.0, last)
     used, here = 0, None
     while True:
         here = _fold_prices(k, [theta], tau, wide)[0]
@@ -170,7 +172,7 @@ def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows:
         theta = here[0]
         if final or used >= passes:
             return theta, tau, here
-        tau = max(tau / 6.0, last)
+        tau = max(tau / 12.0, last)
 
 
 def _reduced(k, theta):
@@ -224,13 +226,13 @@ def _value(k, name, pick="pick"):
     return out
 
 
-def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness):
+def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, start=None):
     """Solve on stored columns c (objective), e, f and p; returns a Plan with both bounds."""
     k = len(fleet)
     cap = [float(caps.get(v, rows)) for v in fleet]
-    limit, theta, lower = epsilon, None, None
+    limit, theta, lower = epsilon, start, None
     for attempt in range(4):
-        theta, tau, (_, _, _, curve) = dual_prices(wide, cap, limit, rows, spread, tightness)
+        theta, tau, (_, _, _, curve) = dual_prices(wide, cap, limit, rows, spread, tightness, start=theta)
         if lower is None:
             hard = wide.agg(F.sum(F.least(*_reduced(k, theta)))).first()[0]
             lower = hard - float(theta @ np.array([epsilon or 0.0, *cap]))
@@ -246,7 +248,7 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness):
             names = F.element_at(F.array(*[F.lit(v) for v in fleet]), F.col("pick") + 1)
             return Plan(df.select("Shipment_ID", names.alias("Vehicle_Type"), F.lit(1.0).alias("share")),
                         sums["f"], sums["e"], {v: float(sums[f"n{i}"]) for i, v in enumerate(fleet)}, epsilon, shadow,
-                        lower, sums["c"], sums["p"])
+                        lower, sums["c"], sums["p"], 0, tuple(theta))
         # Drawing whole vehicles misses the ceiling by chance: aim lower by what it missed, and some.
         noise = float(np.sqrt(max(curve[0, 0] * tau, 0.0)))
         limit = limit - 2.0 * max(sums["e"] - epsilon, noise) * (attempt + 1)
@@ -254,7 +256,7 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness):
         if limit <= floor:
             break
     if whole:  # no whole plan this close to the edge: keep the shares
-        theta, tau, _ = dual_prices(wide, cap, epsilon, rows, spread, tightness)
+        theta, tau, _ = dual_prices(wide, cap, epsilon, rows, spread, tightness, start=theta)
     df = _shares(wide, k, theta, tau)
     y = [F.col(f"y{i}") for i in range(k)]
 
@@ -269,7 +271,7 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness):
     assignment = df.select("Shipment_ID", pairs.alias("x")).select(
         "Shipment_ID", F.col("x.v").alias("Vehicle_Type"), F.col("x.s").alias("share")).where("share > 1e-9")
     return Plan(assignment, sums["f"], sums["e"], {v: sums[f"n{i}"] for i, v in enumerate(fleet)}, epsilon, shadow,
-                lower, sums["c"], sums["p"], int(sums["split"]))
+                lower, sums["c"], sums["p"], int(sums["split"]), tuple(theta))
 
 
 def _stats(wide, k, name):
@@ -314,7 +316,8 @@ def _require_room(caps, rows, fleet):
 
 
 def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penalty=P.SLA_PENALTY,
-             fleet=P.VEHICLES, whole=True, tightness=2e-4, greenest: Plan | None = None) -> Plan:
+             fleet=P.VEHICLES, whole=True, tightness=2e-4, greenest: Plan | None = None,
+             start=None) -> Plan:
     """Cheapest plan under the caps and the emission ceiling; p0.. columns add the expected late penalty.
 
     `whole=False` returns shares, which may split a shipment between vehicles.
@@ -334,18 +337,20 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
                 f"found, {greenest.co2_kg:.1f}")
     costed = _costed(wide, k, risk, penalty, span if epsilon_kg is not None else None)
     rows, spread, _ = _stats(costed, k, "c")
-    return _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness)
+    return _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start)
 
 
 def frontier(wide: DataFrame, caps: dict, points=6, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:
     """Plans at ceilings from the cheapest plan's emissions down to the greenest plan's."""
     cheapest = allocate(wide, caps, None, fleet=fleet, whole=whole, tightness=tightness)
     greenest = minimum_emission_plan(wide, caps, fleet, whole, tightness)
-    high, low, plans = cheapest.co2_kg, greenest.co2_kg, []
+    high, low, plans, start = cheapest.co2_kg, greenest.co2_kg, [], cheapest.prices
     for step in range(points):
         ceiling = high - (high - low) * step / max(points - 1, 1)
         try:
-            plans.append(allocate(wide, caps, ceiling, fleet=fleet, whole=whole, tightness=tightness, greenest=greenest))
+            plans.append(allocate(wide, caps, ceiling, fleet=fleet, whole=whole, tightness=tightness, greenest=greenest,
+                                  start=start))
+            start = plans[-1].prices
         except (InfeasiblePlanError, UnprovenPlanError):
             break
     return plans
