@@ -379,7 +379,7 @@ def raw_vehicle_guard(spark, sf):
 def training_run(spark, sf):
     """All training stages; the run's metadata document as it was stored."""
     folder = fresh_path(spark, "training")
-    settings = model.ModelSettings(trees=5, depth=4, members=2, folds=2)
+    settings = model.ModelSettings(trees=4, depth=3, members=2, folds=2)
     stored = fresh_path(spark, "star")
     writers.write_star(star_tables(spark, sf), stored)
     jobs.run_training(readers.load_star(spark, stored), folder, "all", settings, repeats=2)
