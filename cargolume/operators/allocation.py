@@ -123,12 +123,14 @@ def _fold_prices(k: int, prices: list[np.ndarray], tau: float, wide: DataFrame)
 
 
 def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows: int, spread: float,
-                tightness=2e-4, passes=80, start=None):
+                tightness=2e-4, passes=80, start=None, exact=1e-10):
     """Prices that maximise the smoothed dual, with the smoothing lowered step by step.
 
     Newton steps on k + 1 prices; each pass tries three step lengths at once.
     """
     k = len(caps)
+    e = [f"e{i}" for i in range(k)]
+    reach = max(wide.agg(F.avg(F.greatest(*e) - F.least(*e))).first()[0] or 0.0, 1e-9)
     right = np.array([0.0 if epsilon is None else epsilon, *caps])
     binding = sum(caps) == rows  # all caps bind: fleet prices may take any sign, and one is a free choice
     free_sign = np.array([False] + [binding] * k)
@@ -141,21 +143,25 @@ def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows:
         here = _fold_prices(k, [theta], tau, wide)[0]
         used += 1
         value = here[1] - theta @ right
-        final = tau <= last
+        final, radius = tau <= last, 20.0
         for _ in range(25):
             theta, _, used_up, curve = here
             slope = used_up - right
             fixed = held | (~free_sign & (theta <= 0) & (slope < 0))
             scale = np.where(np.arange(k + 1) == 0, max(abs(right[0]), 1.0), float(rows))
             open_slope = np.where(fixed, 0.0, slope)
-            if np.max(np.abs(open_slope) / scale) < (1e-10 if final else 1e-4):
+            if np.max(np.abs(open_slope) / scale) < (exact if final else 1e-3):
                 break
             live = np.flatnonzero(~fixed)
-            h = curve[np.ix_(live, live)]
-            size = np.sqrt(np.maximum(np.diag(h), 1e-300))
-            scaled = h / np.outer(size, size) + 1e-12 * np.eye(len(live))
+            # In units of the smoothing every price has the same reach. Where few shipments are near a
+            # switch the curve is almost flat, so the step is held within a trust radius.
+            unit = np.array([tau / reach, *([tau] * k)])[live]
+            h = curve[np.ix_(live, live)] * np.outer(unit, unit)
+            h = h + 1e-9 * rows * tau * np.eye(len(live))
+            raw = np.linalg.solve(h, slope[live] * unit)
+            raw = raw * min(1.0, radius / max(np.max(np.abs(raw)), 1e-300))
             step = np.zeros(k + 1)
-            step[live] = np.linalg.lstsq(scaled, slope[live] / size, rcond=None)[0] / size
+            step[live] = raw * unit
             tries = []
             for t in (1.0, 0.3, 0.05):
                 p = theta + t * step
@@ -165,8 +171,11 @@ def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows:
             best = max(found, key=lambda x: x[1] - x[0] @ right)
             gained = best[1] - best[0] @ right
             if gained <= value + 1e-13 * abs(value):
-                break
-            here, value = best, gained
+                if radius < 1e-3:
+                    break
+                radius /= 30.0  # too long a step: try closer before giving up
+            else:
+                here, value, radius = best, gained, min(radius * 2.0, 20.0)
             if used >= passes:
                 break
         theta = here[0]
@@ -226,16 +235,18 @@ def _value(k, name, pick="pick"):
     return out
 
 
-def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, start=None):
+def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, start=None,
+           offset=0.0):
     """Solve on stored columns c (objective), e, f and p; returns a Plan with both bounds."""
     k = len(fleet)
     cap = [float(caps.get(v, rows)) for v in fleet]
     limit, theta, lower = epsilon, start, None
     for attempt in range(4):
-        theta, tau, (_, _, _, curve) = dual_prices(wide, cap, limit, rows, spread, tightness, start=theta)
+        theta, tau, (_, _, _, curve) = dual_prices(
+            wide, cap, limit, rows, spread, tightness, start=theta, exact=1e-7 if whole else 1e-10)
         if lower is None:
             hard = wide.agg(F.sum(F.least(*_reduced(k, theta)))).first()[0]
-            lower = hard - float(theta @ np.array([epsilon or 0.0, *cap]))
+            lower = hard - float(theta @ np.array([epsilon or 0.0, *cap])) - offset
             shadow = None if epsilon is None else float(theta[0]) * 1000.0
         if not whole:
             break
@@ -248,7 +259,7 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, sta
             names = F.element_at(F.array(*[F.lit(v) for v in fleet]), F.col("pick") + 1)
             return Plan(df.select("Shipment_ID", names.alias("Vehicle_Type"), F.lit(1.0).alias("share")),
                         sums["f"], sums["e"], {v: float(sums[f"n{i}"]) for i, v in enumerate(fleet)}, epsilon, shadow,
-                        lower, sums["c"], sums["p"], 0, tuple(theta))
+                        lower, sums["c"] - offset, sums["p"], 0, tuple(map(float, theta)))
         # Drawing whole vehicles misses the ceiling by chance: aim lower by what it missed, and some.
         noise = float(np.sqrt(max(curve[0, 0] * tau, 0.0)))
         limit = limit - 2.0 * max(sums["e"] - epsilon, noise) * (attempt + 1)
@@ -271,7 +282,7 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, sta
     assignment = df.select("Shipment_ID", pairs.alias("x")).select(
         "Shipment_ID", F.col("x.v").alias("Vehicle_Type"), F.col("x.s").alias("share")).where("share > 1e-9")
     return Plan(assignment, sums["f"], sums["e"], {v: sums[f"n{i}"] for i, v in enumerate(fleet)}, epsilon, shadow,
-                lower, sums["c"], sums["p"], int(sums["split"]), tuple(theta))
+                lower, sums["c"] - offset, sums["p"], int(sums["split"]), tuple(map(float, theta)))
 
 
 def _stats(wide, k, name):
@@ -335,9 +346,11 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
             raise UnprovenPlanError(
                 f"the ceiling {epsilon_kg:.1f} kg lies between the bound {greenest.lower_bound:.1f} and the best plan "
                 f"found, {greenest.co2_kg:.1f}")
+    # The tie-break rewards room under the ceiling, so the bound also holds for the cost without it.
+    offset = P.SLACK_WEIGHT * epsilon_kg / span if epsilon_kg is not None and span else 0.0
     costed = _costed(wide, k, risk, penalty, span if epsilon_kg is not None else None)
     rows, spread, _ = _stats(costed, k, "c")
-    return _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start)
+    return _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start, offset)
 
 
 def frontier(wide: DataFrame, caps: dict, points=6, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:

@@ -21,8 +21,10 @@ def audit_stream(events: DataFrame, score, event_time="event_time", delay="7 day
 
     `score` adds Delay_Risk_Probability; it may be a fitted model's transform or an expression.
     """
-    once = events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["Shipment_ID"])
-    return audit_rows(assessments(score(valid_rows(physical_split(once, max_weight=100.0))), **provenance))
+    # Impossible rows leave first: one of them must not use up the id of a corrected row.
+    valid = valid_rows(physical_split(events, max_weight=100.0))
+    once = valid.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["Shipment_ID"])
+    return audit_rows(assessments(score(once), **provenance))
 
 
 def bin_index(column: str, edges: list[float]):
