@@ -296,7 +296,7 @@ def _stats(wide, k, name):
 def build_wide(shipments: DataFrame, risk=None, fleet=P.VEHICLES) -> DataFrame:
     """The stored panel; `risk` gives the p0.. columns of risk_columns()."""
     wide = wide_panel(shipments, fleet, keep=risk or ())
-    return materialise(wide, "panel")
+    return materialise(wide, "panel", spread=True)
 
 
 def _costed(wide, k, risk, penalty, span, delta=P.SLACK_WEIGHT):

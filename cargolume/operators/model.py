@@ -65,7 +65,7 @@ def prepare(df: DataFrame, settings: ModelSettings = ModelSettings(), day="Full_
     df = df.withColumnRenamed("fold", "random_fold").withColumn("label", F.col("is_delayed").cast("double"))
     stages = feature_stages(df.sparkSession, settings.features)
     drop = [f"{c}_{s}" for c in CATEGORICAL_FEATURES for s in ("index", "vec")]
-    return materialise(stages.transform(df).drop(*drop), "training")
+    return materialise(stages.transform(df).drop(*drop), "training", spread=True)
 
 
 def _forest(train: DataFrame, settings: ModelSettings, i: int) -> RandomForestClassificationModel:
@@ -207,7 +207,7 @@ def merge_scores(df: DataFrame, walk: str, grouped: str) -> DataFrame:
 def chronological_evaluation(prepared: DataFrame, settings: ModelSettings = ModelSettings(), fraction=0.8):
     """(model that never saw the test rows, scored test table)."""
     split = splits.require_chronology(splits.chronological_holdout(prepared, fraction))
-    model = fit_model(materialise(split.where("split = 'train'"), "train"), settings)
+    model = fit_model(materialise(split.where("split = 'train'"), "train", spread=True), settings)
     return model, materialise(model.transform(split.where("split = 'test'")), "test")
 
 

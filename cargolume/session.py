@@ -41,14 +41,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, spread=False) -> DataFrame:
     """Write once to the shared folder and read back.
 
     Unlike a cache the table survives lost executors, keeps column pruning, and fixes the rows for
-    every later pass.
+    every later pass. `spread` evens out the files first: one shuffle that pays off for a table which
+    is read many times, since it then uses every core and has no oversized split.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.hint("rebalance") if spread else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
