@@ -6,7 +6,7 @@ one map-side aggregate over the stored panel, and only a few sums reach the driv
 lower bound; the plan built from the prices gives an upper one, and the gap is always reported.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -36,6 +36,11 @@ class Plan:
     fractional_shipments: int = 0
     prices: tuple | None = None  # carbon and fleet prices, a warm start for a nearby ceiling
 
+    def meets(self, caps: dict, tolerance=1e-6) -> bool:
+        """The ceiling and the caps hold up to a relative tolerance."""
+        inside = self.epsilon_kg is None or self.co2_kg <= self.epsilon_kg * (1 + tolerance)
+        return inside and all(self.counts.get(v, 0.0) <= c * (1 + tolerance) + tolerance for v, c in caps.items())
+
     @property
     def gap(self):
         if self.lower_bound is None or not self.objective:
@@ -317,7 +322,10 @@ def minimum_emission_plan(wide: DataFrame, caps: dict, fleet=P.VEHICLES, whole=T
     rows, spread, _ = _stats(wide, k, "e")
     _require_room(caps, rows, fleet)
     costed = wide.select("*", *[F.col(f"e{i}").alias(f"c{i}") for i in range(k)])
-    return _solve(costed, caps, None, rows, spread, fleet, "p0" in wide.columns, whole, tightness)
+    plan = _solve(costed, caps, None, rows, spread, fleet, "p0" in wide.columns, whole, tightness)
+    if not plan.meets(caps):
+        raise UnprovenPlanError(f"no plan was found that meets the caps; the bound is {plan.lower_bound:.2f} kg")
+    return plan
 
 
 def _require_room(caps, rows, fleet):
@@ -350,7 +358,15 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
     offset = P.SLACK_WEIGHT * epsilon_kg / span if epsilon_kg is not None and span else 0.0
     costed = _costed(wide, k, risk, penalty, span if epsilon_kg is not None else None)
     rows, spread, _ = _stats(costed, k, "c")
-    return _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start, offset)
+    plan = _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start, offset)
+    if plan.meets(caps):
+        return plan
+    if greenest is None or not greenest.meets(caps):
+        raise UnprovenPlanError(f"no plan was found that meets the caps; the bound is {plan.lower_bound:.2f}")
+    # At the very edge the prices run off; the greenest plan is known to fit, and the bound still holds.
+    paid = greenest.freight + (penalty * greenest.expected_delays if risk else 0.0)
+    return replace(greenest, epsilon_kg=epsilon_kg, lower_bound=min(plan.lower_bound, paid), objective=paid,
+                   shadow_price_per_ton=plan.shadow_price_per_ton, prices=plan.prices)
 
 
 def frontier(wide: DataFrame, caps: dict, points=6, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:
