@@ -87,7 +87,7 @@ def run_metadata(prepared: DataFrame, settings, quality, holdout_auc, folds: Dat
         return F.lit(None if x is None else round(float(x), 4)).cast("double")
 
     return profile.select(
-        F.lit("logistics_delay_risk").alias("model_name"), F.current_timestamp().alias("trained_at"),
+        F.lit("delay_risk").alias("model_name"), F.current_timestamp().alias("trained_at"),
         F.array(*[F.lit(c) for c in settings.features]).alias("feature_order"),
         F.array(*[F.lit(c) for c in NUMERIC_FEATURES]).alias("numeric_features"),
         F.array(*[F.lit(c) for c in CATEGORICAL_FEATURES]).alias("categorical_features"),

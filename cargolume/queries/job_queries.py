@@ -62,7 +62,7 @@ AUDIT_SQL = """SELECT Shipment_ID AS shipment_id, Vendor_ID AS vendor_id, Distan
   Weather_Condition AS weather_condition, Traffic_Density AS traffic_density, Vehicle_Type AS vehicle_type, round(raw_score, 6) AS probability,
   CASE WHEN raw_score >= 0.5 THEN 'High Risk' WHEN raw_score >= 0.2 THEN 'Medium Risk' ELSE 'Low Risk' END AS risk_level, 0.5::DOUBLE AS high_threshold,
   0.2::DOUBLE AS medium_threshold, 4.0::DOUBLE AS cost_fn_over_fp, co2_formula AS co2_kg, 50.0::DOUBLE AS carbon_price_per_ton,
-  co2_formula / 1000.0::DOUBLE * 50.0::DOUBLE AS carbon_cost, 'logistics_delay_risk' AS model_name, '1' AS model_version,
+  co2_formula / 1000.0::DOUBLE * 50.0::DOUBLE AS carbon_cost, 'delay_risk' AS model_name, '1' AS model_version,
   Distance_km < 100 OR Distance_km > 1200 AS extrapolated FROM ship"""
 
 
