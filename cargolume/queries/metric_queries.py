@@ -340,20 +340,24 @@ def delay_day_histogram(spark, sf):
 FIXED = """fixed AS (SELECT *, CASE Vehicle_Type WHEN 'Diesel Truck' THEN 8.0::DOUBLE WHEN 'Electric Semi' THEN 1.5::DOUBLE ELSE 4.0::DOUBLE END
   * CASE Weather_Condition WHEN 'Normal' THEN 1.0::DOUBLE WHEN 'Rain' THEN 1.03::DOUBLE WHEN 'Storm' THEN 1.08::DOUBLE ELSE 1.06::DOUBLE END
   * CASE Traffic_Density WHEN 'Low' THEN 1.0::DOUBLE WHEN 'Medium' THEN 1.04::DOUBLE ELSE 1.1::DOUBLE END AS base_kg FROM ship)"""
-POOL_SQL = """SELECT CAST(window_days AS INTEGER) AS window_days, CAST(sum(n - 1) AS BIGINT) AS legs_eliminated, round(sum((n - 1) * kg / n), 4) AS saved_kg FROM (
+POOL_SQL = """SELECT CAST(window_days AS INTEGER) AS window_days, CAST(sum(n - 1) AS BIGINT) AS legs_eliminated, round(sum((n - 1) * kg / n) + 1e-7::DOUBLE, 4) AS saved_kg FROM (
   SELECT window_days, {k}, floor(date_diff('day', DATE '1970-01-01', CAST(Shipment_Date AS DATE)) / window_days) AS slot, count(*) AS n, sum(base_kg) AS kg
   FROM fixed, (VALUES (1), (7), (30)) w(window_days) GROUP BY ALL) GROUP BY 1"""
+# These sums end in few decimals and often fall on a rounding tie; both engines step off it the same way.
+OFF_TIE = 1e-7
 POOL_INPUTS = ["Origin", "Destination", "Shipment_Date", "Vehicle_Type", "Weather_Condition", "Traffic_Density"]
 
 
 @query("corridor_pooling", with_ship(POOL_SQL.format(k="Origin, Destination"), FIXED))
 def corridor_pooling(spark, sf):
-    return rounded(kpis.corridor_pooling(shipments(spark, sf, POOL_INPUTS)), 4)
+    df = kpis.corridor_pooling(shipments(spark, sf, POOL_INPUTS))
+    return rounded(df.withColumn("saved_kg", F.col("saved_kg") + OFF_TIE), 4)
 
 
 @query("corridor_pooling_by_vehicle", with_ship(POOL_SQL.format(k="Origin, Destination, Vehicle_Type"), FIXED))
 def corridor_pooling_by_vehicle(spark, sf):
-    return rounded(kpis.corridor_pooling(shipments(spark, sf, POOL_INPUTS), by_vehicle=True), 4)
+    df = kpis.corridor_pooling(shipments(spark, sf, POOL_INPUTS), by_vehicle=True)
+    return rounded(df.withColumn("saved_kg", F.col("saved_kg") + OFF_TIE), 4)
 
 
 @query("fixed_emission_share", with_ship("SELECT round(sum(base_kg), 4) AS fixed_kg, round(sum(co2_formula), 4) AS total_kg, round(sum(base_kg) / sum(co2_formula), 4) AS fixed_share FROM fixed", FIXED))
