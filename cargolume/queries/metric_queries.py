@@ -241,24 +241,24 @@ def mean_co2_by_vehicle(spark, sf):
     return rounded(kpis.mean_co2_by_vehicle(shipments(spark, sf, ["Vehicle_Type", "CO2_Emission_kg"])))
 
 
-MEASURES_SQL = """count(*) AS total_shipments, round(sum(CO2_Emission_kg) / 1000, 4) AS total_co2_tons, round(sum(CO2_Emission_kg) / 1000 * 50, 4) AS carbon_tax_impact,
-  round(avg(Actual_Delay_Days), 4) AS average_delay_days, round(count_if(Risk_Level = 'High Risk') / count(*), 4) AS high_risk_rate, round(avg(p), 4) AS average_probability"""
+MEASURES_SQL = """count(*) AS total_shipments, round(sum(CO2_Emission_kg) / 1000, 6) AS total_co2_tons, round(sum(CO2_Emission_kg) / 1000 * 50, 6) AS carbon_tax_impact,
+  round(avg(Actual_Delay_Days), 6) AS average_delay_days, round(count_if(Risk_Level = 'High Risk') / count(*), 6) AS high_risk_rate, round(avg(p), 6) AS average_probability"""
 
 
 @query("report_measures", with_ship(f"SELECT {MEASURES_SQL} FROM scored", SCORED))
 def report_measures(spark, sf):
-    return rounded(kpis.report(scored_view(spark, sf), parameters=kpis.parameter_table(spark)), 4)
+    return rounded(kpis.report(scored_view(spark, sf), parameters=kpis.parameter_table(spark)))
 
 
 @query("report_by_tier", with_ship(f"SELECT Risk_Level, {MEASURES_SQL} FROM scored GROUP BY 1", SCORED))
 def report_by_tier(spark, sf):
-    return rounded(kpis.report(scored_view(spark, sf), ["Risk_Level"]), 4)
+    return rounded(kpis.report(scored_view(spark, sf), ["Risk_Level"]))
 
 
 @query("report_cube", with_ship(f"SELECT Vehicle_Type, Weather_Condition, Risk_Level, {MEASURES_SQL} FROM scored GROUP BY CUBE (Vehicle_Type, Weather_Condition, Risk_Level)", SCORED))
 def report_cube(spark, sf):
     df = scored_view(spark, sf, ["Vehicle_Type", "Weather_Condition"])
-    return rounded(kpis.report(df, ["Vehicle_Type", "Weather_Condition", "Risk_Level"], "cube"), 4)
+    return rounded(kpis.report(df, ["Vehicle_Type", "Weather_Condition", "Risk_Level"], "cube"))
 
 
 @query("shipment_risk_table", with_ship("""
