@@ -1,5 +1,7 @@
 """What the operators of this subpackage share: the registry, the word rule and readers."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +34,48 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def summed_blocks(rows: DataFrame, kind: str) -> np.ndarray:
+    """Adds up arrays that tasks emitted as (block int, data binary) rows, and returns the whole array.
+
+    Blocks are added while a partition is read, so that no task holds more than its share of the array, however many
+    tasks emitted one. The array's length is fixed by its maker, and so is what the driver gets.
+    """
+
+    def add(batches):
+        sums = {}
+        for batch in batches:
+            for block, data in zip(*(c.to_pylist() for c in batch.columns)):
+                values = np.frombuffer(data, kind)
+                sums[block] = values.copy() if block not in sums else sums[block] + values
+        if sums:
+            yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "data": [v.tobytes() for v in sums.values()]})
+
+    found = rows.repartition("block").mapInArrow(add, "block int, data binary").collect()
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(r.data, kind) for r in sorted(found, key=lambda r: r.block))])
+
+
+def blocks(values: np.ndarray, count: int) -> pa.RecordBatch:
+    """A task's array cut into `count` rows for `summed_blocks`."""
+    parts = values.reshape(count, -1)
+    return pa.RecordBatch.from_pydict({"block": pa.array(range(count), pa.int32()), "data": [p.tobytes() for p in parts]})
+
+
+def text_slices(batch: pa.RecordBatch, most=2_000_000):
+    """Cuts a batch with columns (key, text) so that Python holds about `most` characters at once: (keys, texts)."""
+    start, held, texts = 0, 0, []
+    column = batch.column(1)
+    for i in range(len(batch)):
+        texts.append(column[i].as_py() or "")
+        held += len(texts[-1])
+        if held > most:
+            yield batch.column(0).slice(start, i + 1 - start), texts
+            start, held, texts = i + 1, 0, []
+    if texts:
+        yield batch.column(0).slice(start), texts
+
+
+def held_out(divisor: int, remainder: int) -> Column:
+    """Whether crc32 of the id as text leaves `remainder`; false for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == remainder, F.lit(False))
