@@ -100,14 +100,13 @@ def variants(lines: DataFrame) -> DataFrame:
 
         here, moved = F.col("here"), F.col("moved")
         d = d.withColumn("here", F.transform("w", lambda x, i: h(x, i))).withColumn("moved", F.transform("w", lambda x, i: h(x, i - 1)))
-        # Sum without word i: (words before i in place) + (words after i moved up), by steps from i to i + 1.
-        steps = F.transform(here, lambda x, i: F.when(i == 0, F.lit(0).cast("long")).otherwise((F.get(here, i - 1) - F.get(moved, i) + MODULUS) % MODULUS))
-        d = d.withColumn("steps", steps)
-        d = running_sums(d, "steps", "run")
+        # The sum without word i is (words before i in place) + (words after i moved up): `start` for the first word,
+        # then a step from each word to the next. Nothing that takes a pass may stand alone inside a lambda.
         start = F.aggregate(F.slice(moved, 2, F.greatest(F.size(moved) - 1, F.lit(0))), F.lit(0).cast("long"), lambda a, b: (a + b) % MODULUS)
+        step = lambda x, i: F.when(i == 0, start).otherwise((F.get(here, i - 1) - F.get(moved, i) + MODULUS) % MODULUS)
+        d = running_sums(d.withColumn("steps", F.transform(here, step)), "steps", "run")
         whole = F.aggregate(here, F.lit(0).cast("long"), lambda a, b: (a + b) % MODULUS)
-        d = d.withColumn("start", start).withColumn(f"v{seed}", F.concat(F.transform("run", lambda x: (x + F.col("start")) % MODULUS), F.array(whole)))
-        d = d.drop("here", "moved", "steps", "run", "start")
+        d = d.withColumn(f"v{seed}", F.concat("run", F.array(whole))).drop("here", "moved", "steps", "run")
         names.append(f"v{seed}")
     each = d.select("doc_id", "line", "n", F.posexplode(F.arrays_zip(*names)).alias("i", "v"))
     out = F.col("i") < F.col("n")
