@@ -226,10 +226,10 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
-def digests(tokens: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded bytes."""
+def digests(tokens: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, the digests of ids and decoded bytes, and the columns asked for."""
     return tokens.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -79,3 +79,44 @@ def text_slices(batch: pa.RecordBatch, most=2_000_000):
 def held_out(divisor: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves `remainder`; false for a null id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == remainder, F.lit(False))
+
+
+def pack_repeats(held: list[np.ndarray]) -> pa.RecordBatch:
+    """Tokens of a task (non-negative longs) as sorted blocks: the block is what stands above 32 bits.
+
+    A token is sent twice at most, since all that is asked is which tokens are repeated.
+    """
+    tokens = np.sort(np.concatenate(held))
+    more = np.zeros(len(tokens), bool)
+    more[2:] = tokens[2:] == tokens[:-2]
+    tokens = tokens[~more]
+    block = tokens >> 32
+    cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(tokens) else np.zeros(1, np.int64)
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array(block[cuts[:-1]], pa.int32()),
+        "data": pa.array([(tokens[a:b] & 0xFFFFFFFF).astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
+
+
+def merge_repeats(batches):
+    """Blocks in order -> the tokens that are there more than once."""
+    now, held = None, []
+
+    def flush():
+        tokens = np.sort(np.concatenate(held))
+        found = np.unique(tokens[1:][tokens[1:] == tokens[:-1]]).astype(np.int64) | (now << 32)
+        return pa.RecordBatch.from_pydict({"token": pa.array(found, pa.int64())})
+
+    for batch in batches:
+        for block, data in zip(*(c.to_pylist() for c in batch.columns)):
+            if block != now and held:
+                yield flush()
+                held = []
+            now = block
+            held.append(np.frombuffer(data, np.uint32))
+    if held:
+        yield flush()
+
+
+def repeated_tokens(packed: DataFrame) -> DataFrame:
+    """Of `pack_repeats` rows of all tasks: the tokens that occur more than once in all."""
+    return packed.repartition("block").sortWithinPartitions("block").mapInArrow(merge_repeats, "token long")

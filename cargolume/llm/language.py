@@ -25,7 +25,7 @@ from cargolume.session import materialise
 
 GRAMS = 1 << 16
 ORDERS = 3
-TRAIN_PER_LANG = 1_500
+TRAIN_PER_LANG = 1_000
 EPOCHS = 3
 SCALE = 50.0                            # of feature values, which are shares
 ALPHA, BETA, L1, L2 = 0.2, 1.0, 0.05, 1e-3

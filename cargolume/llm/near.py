@@ -29,7 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import query, summed_blocks, table, text_slices
+from cargolume.llm import common
+from cargolume.llm.common import pack_repeats, query, summed_blocks, table, text_slices
 from cargolume.session import materialise
 
 SHINGLE = 5
@@ -128,17 +129,6 @@ def repeated_tokens(docs: DataFrame, shared, block_bits: int) -> DataFrame:
     """Tokens that occur in two documents at least. Each task sends a token twice at most, packed in sorted blocks."""
     bits = 32 + block_bits
 
-    def pack(held):
-        tokens = np.sort(np.concatenate(held))
-        again = np.zeros(len(tokens), bool)
-        again[2:] = tokens[2:] == tokens[:-2]
-        tokens = tokens[~again]
-        block = tokens >> 32
-        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
-        return pa.RecordBatch.from_pydict({
-            "block": pa.array(block[cuts[:-1]], pa.int32()),
-            "data": [(tokens[a:b] & 0xFFFFFFFF).astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]})
-
     def run(batches):
         hashes, held, size = WordHashes(), [], 0
         for batch in batches:
@@ -149,31 +139,12 @@ def repeated_tokens(docs: DataFrame, shared, block_bits: int) -> DataFrame:
                         held.append(prefix(s, shared.value, bits))
                         size += len(held[-1])
                 if size > 4_000_000:
-                    yield pack(held)
+                    yield pack_repeats(held)
                     held, size = [], 0
         if held:
-            yield pack(held)
-
-    def merge(batches):
-        now, held = None, []
-
-        def flush():
-            tokens = np.sort(np.concatenate(held))
-            found = np.unique(tokens[1:][tokens[1:] == tokens[:-1]]).astype(np.int64) | (now << 32)
-            return pa.RecordBatch.from_pydict({"token": pa.array(found, pa.int64())})
-
-        for batch in batches:
-            for block, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if block != now and held:
-                    yield flush()
-                    held = []
-                now = block
-                held.append(np.frombuffer(data, np.uint32))
-        if held:
-            yield flush()
+            yield pack_repeats(held)
 
-    packed = docs.select("doc_id", "text").mapInArrow(run, "block int, data binary")
-    return packed.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "token long")
+    return common.repeated_tokens(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"))
 
 
 def token_rows(docs: DataFrame, shared, block_bits: int) -> DataFrame:

@@ -205,6 +205,22 @@ def scored(docs: DataFrame, model: Classifier) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def accepted(docs: DataFrame, model: Classifier) -> DataFrame:
+    """The rows of `docs`, all their columns, that the classifier takes for good."""
+    shared, text_at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches):
+        words, use = Words(), shared.value
+        for batch in batches:
+            done = 0
+            for keys, texts in text_slices(pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(text_at)], ["k", "text"])):
+                good = use.network.scores(pooled(*words.rows(texts), use.vectors).astype(np.float64)) >= 0.5
+                yield batch.slice(done, len(keys)).filter(pa.array(good))
+                done += len(keys)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op7_quality_classifier")
 def op7_quality_classifier(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")
