@@ -26,6 +26,7 @@ from cargolume.llm.common import query, table, text_slices
 NONE = np.int32(2**31 - 1)
 LONGEST = 256
 WIDTHS = [*range(2, 17), 20, 24, 32, 48, 64, 96, 128, 192, LONGEST]
+BUCKET = [min(w for w in WIDTHS if w >= n) for n in range(LONGEST + 1)]  # by length
 CACHED = 400_000         # pieces that a worker keeps
 CHUNK = 2_000_000        # characters whose pieces are encoded together
 
@@ -93,7 +94,7 @@ class Codec:
             elif len(p) > LONGEST:
                 out[i] = self.merge_long(p)
             else:
-                buckets.setdefault(WIDTHS[np.searchsorted(WIDTHS, len(p))], []).append(i)
+                buckets.setdefault(BUCKET[len(p)], []).append(i)
         for width, members in buckets.items():
             for k in range(0, len(members), 20_000):
                 rows = members[k:k + 20_000]
@@ -112,10 +113,10 @@ class Codec:
             best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(row), np.int64)  # the leftmost minimum
             low = np.take_along_axis(ranks, best[:, None], 1)[:, 0] if ranks.shape[1] else np.full(len(row), NONE)
             done = low == NONE
-            for r in np.flatnonzero(done):
-                out[row[r]] = tuple(ids[r, :length[row[r]]].tolist())
+            for r, got in zip(row[done].tolist(), ids[done].tolist()):
+                out[r] = tuple(got)
             if done.all():
-                return out
+                return [ids[:n] for ids, n in zip(out, length.tolist())]
             on = ~done
             ids, ranks, row, best, low = ids[on], ranks[on], row[on], best[on, None], low[on]
             length[row] -= 1

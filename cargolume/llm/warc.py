@@ -12,15 +12,15 @@ read, so what a lost or repeated task left behind does no harm. Files go through
 folder, whatever store that is, and are read back by Spark.
 
 Defined results: a null html is an empty payload; a null page_id is written as such and counts as smallest; a null
-url gives a record without target; rows with equal page_id and payload are each written; an empty table gives an
+url gives a record without target, blanks and control characters in a url are percent-encoded; rows with equal page_id and payload are each written; an empty table gives an
 empty index and no rows.
 """
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
-from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -39,6 +39,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
+CONTROL = re.compile(r"[\x00-\x20\x7f]")
+
 INDEX = "record_id string, bundle string, frame int, offset long, length long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, bundle string, frame int, offset long"
 
@@ -63,7 +65,7 @@ def record(page_id, url, payload: bytes, refers_to, revisit: bool) -> bytes:
             ("WARC-Payload-Digest", f"sha1:{digest(payload)}"), ("Content-Type", "application/http; msgtype=response"),
             ("Content-Length", str(len(block)))]
     if url is not None:
-        head.insert(2, ("WARC-Target-URI", quote(url, safe="/:?#[]@!$&'()*+,;=%~")))
+        head.insert(2, ("WARC-Target-URI", CONTROL.sub(lambda m: f"%{ord(m.group()):02X}", url)))
     if revisit:
         head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", name_of(refers_to))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
@@ -186,7 +188,7 @@ def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
                         if kind == "response" and (len(payload) != size or digest(payload) != stated):
                             raise ValueError(f"payload of {head['WARC-Record-ID']} differs from its digest")
                         url = head.get("WARC-Target-URI")
-                        rows.append((page_of(head["WARC-Record-ID"]), url and unquote(url), size, stated, kind, page_of(head.get("WARC-Refers-To")), bundle, k, at))
+                        rows.append((page_of(head["WARC-Record-ID"]), url, size, stated, kind, page_of(head.get("WARC-Refers-To")), bundle, k, at))
                         at = after
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names)
 
