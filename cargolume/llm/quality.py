@@ -86,7 +86,8 @@ def context_sums(docs: DataFrame) -> np.ndarray:
                             sums += np.bincount(key, sign[y, k], len(sums)).astype(np.int64)
         yield blocks(sums, 64)
 
-    return summed_blocks(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"), "int64").reshape(-1, DIMENSIONS)
+    sums = summed_blocks(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"), "int64")
+    return (sums if len(sums) else np.zeros(WORDS * DIMENSIONS, np.int64)).reshape(WORDS, DIMENSIONS)
 
 
 def word_table(sums: np.ndarray) -> np.ndarray:
@@ -187,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
 
     rows = sample.select("label", "text").mapInArrow(run, "label int, x binary").collect()
     rows = sorted(rows, key=lambda r: (zlib.crc32(r.x), r.x, r.label))  # any fixed order that says nothing of the label
-    x = np.array([np.frombuffer(r.x, np.float32) for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r.x, np.float32) for r in rows], np.float64).reshape(len(rows), DIMENSIONS + 2)
     return Classifier(vectors, Network(x, np.array([r.label for r in rows], np.float64)))
 
 
