@@ -73,8 +73,11 @@ def is_delayed(days="Actual_Delay_Days") -> Column:
 
 
 def logit(p, clip=P.LOGIT_CLIP) -> Column:
-    inside = F.least(F.greatest(_col(p), F.lit(clip)), F.lit(1.0 - clip))
-    return F.ln(inside / (F.lit(1.0) - inside))
+    """Log-odds of a clipped probability; null where there is none."""
+    p = _col(p)
+    inside = F.least(F.greatest(p, F.lit(clip)), F.lit(1.0 - clip))
+    # greatest() and least() skip nulls and rank NaN highest: either would turn a missing score into a number.
+    return F.when(p.isNotNull() & ~F.isnan(p), F.ln(inside / (F.lit(1.0) - inside)))
 
 
 def sigmoid(x) -> Column:
@@ -99,9 +102,9 @@ def extrapolation_warnings(ranges: dict) -> Column:
         shown = F.format_string("%.6g", value)
         texts.append(
             F.when(value < low, F.concat(F.lit(f"{name}="), shown,
-                                         F.lit(f" is below the training minimum {low:g}")))
+                                         F.lit(f" (trained from {low:g})")))
             .when(value > high, F.concat(F.lit(f"{name}="), shown,
-                                         F.lit(f" is above the training maximum {high:g}"))))
+                                         F.lit(f" (trained up to {high:g})"))))
     return F.filter(F.array(*texts), lambda t: t.isNotNull())
 
 

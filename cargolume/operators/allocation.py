@@ -7,6 +7,7 @@ lower bound; the plan built from the prices gives an upper one, and the gap is a
 """
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -20,6 +21,9 @@ from cargolume.operators.panels import wide_panel
 from cargolume.session import literal_rows, materialise
 
 
+MAX_GAP = 1e-3  # a plan further above its bound than this share is not returned
+
+
 @dataclass(frozen=True)
 class Plan:
     """A plan and its figures; `assignment` has (Shipment_ID, Vehicle_Type, share)."""
@@ -35,10 +39,14 @@ class Plan:
     expected_delays: float | None = None
     fractional_shipments: int = 0
     prices: tuple | None = None  # carbon and fleet prices, a warm start for a nearby ceiling
-
-    def meets(self, caps: dict, tolerance=1e-6) -> bool:
-        """The ceiling and the caps hold up to a relative tolerance."""
-        inside = self.epsilon_kg is None or self.co2_kg <= self.epsilon_kg * (1 + tolerance)
+    state: str = "proven"        # "unproven": a frontier point whose search ended without a plan
+
+    def meets(self, caps: dict, rows: int, tolerance=1e-6) -> bool:
+        """Every shipment is planned, and ceiling and caps hold; caps up to a relative tolerance, for split shipments."""
+        if abs(sum(self.counts.values()) - rows) > tolerance * max(rows, 1):
+            return False
+        # Sums of the same rows in another order differ in their last digits; that is all a ceiling allows.
+        inside = self.epsilon_kg is None or self.co2_kg <= self.epsilon_kg * (1 + 1e-12 * max(rows, 1) ** 0.5)
         return inside and all(self.counts.get(v, 0.0) <= c * (1 + tolerance) + tolerance for v, c in caps.items())
 
     @property
@@ -57,7 +65,9 @@ def ranked_assignment(df: DataFrame, caps: dict, rates=None, value="ton_km", key
     """
     rates = rates or P.FREIGHT_RATE
     order = sorted(caps, key=lambda v: rates[v])
-    n = df.count()
+    n, blank = df.agg(F.count("*"), F.count_if(F.col(value).isNull() | F.isnan(F.col(value).cast("double")))).first()
+    if blank:
+        raise InfeasiblePlanError(f"{blank} shipments have no {value}")
     if sum(caps.values()) != n:
         raise ValueError(f"the ranking needs caps that sum to the {n} shipments, got {sum(caps.values())}")
     down = df.select(spread_key(key).alias("_tie"), (-F.col(value)).alias("_down"))
@@ -127,25 +137,79 @@ def _fold_prices(k: int, prices: list[np.ndarray], tau: float, wide: DataFrame)
     return out
 
 
+CELL_BINS = 16
+
+
+def _cells(wide: DataFrame, k: int):
+    """Panel rows alike in cost and emission differences, as (rows, mean costs, mean emissions) arrays.
+
+    At most CELL_BINS to the power of 2 (k - 1) cells reach the driver, whatever the panel's size.
+    """
+    gaps = {f"{a}_{i}": F.col(f"{a}{i}") - F.col(f"{a}0") for a in "ce" for i in range(1, k)}
+    spans = wide.agg(*[f(x).alias(f"{n}_{name}") for name, x in gaps.items() for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    slots = []
+    for name, x in gaps.items():
+        low, high = spans[f"lo_{name}"] or 0.0, spans[f"hi_{name}"] or 0.0
+        step = (high - low) / CELL_BINS
+        slots.append((F.least(F.floor((x - low) / step), F.lit(CELL_BINS - 1)) if step > 0 else F.lit(0)).alias(name))
+    rows = wide.groupBy(*slots).agg(F.count("*").alias("n"), *[F.avg(f"{a}{i}").alias(f"{a}{i}") for a in "ce" for i in range(k)]).collect()
+    rows = sorted(rows, key=lambda r: tuple(r[n] for n in gaps))
+    return (np.array([float(r["n"]) for r in rows]), *(np.array([[r[f"{a}{i}"] for i in range(k)] for r in rows]) for a in "ce"))
+
+
+def _fold_cells(cells, prices: list[np.ndarray], tau: float) -> list:
+    """What `_fold_prices` gives, on cells."""
+    n, c, e = cells
+    out = []
+    for p in prices:
+        reduced = c + p[0] * e + p[1:]
+        least = reduced.min(axis=1, keepdims=True)
+        w = np.exp((least - reduced) / tau)
+        total = w.sum(axis=1, keepdims=True)
+        y = w / total
+        value = float(n @ (least - tau * np.log(total))[:, 0])
+        moved = np.hstack([(y * e).sum(axis=1, keepdims=True), y])
+        k = c.shape[1]
+        curve = np.zeros((k + 1, k + 1))
+        off = e - moved[:, :1]
+        curve[0, 0] = n @ (y * off * off).sum(axis=1)
+        curve[0, 1:] = curve[1:, 0] = n @ (y * off)
+        curve[1:, 1:] = np.diag(n @ y) - (y * n[:, None]).T @ y
+        out.append((p, value, n @ moved, curve / tau))
+    return out
+
+
 def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows: int, spread: float,
-                tightness=2e-4, passes=80, start=None, exact=1e-10):
-    """Prices that maximise the smoothed dual, with the smoothing lowered step by step.
+                tightness=2e-4, passes=80, start=None, exact=1e-10, cells=None):
+    """Prices that maximise the smoothed dual; Newton steps on k + 1 prices, three step lengths at a time.
 
-    Newton steps on k + 1 prices; each pass tries three step lengths at once.
+    The search lowers the smoothing step by step on `cells`, without a job; the result is then polished at the last
+    smoothing on the whole panel, where every pass is one aggregate.
     """
     k = len(caps)
-    e = [f"e{i}" for i in range(k)]
-    reach = max(wide.agg(F.avg(F.greatest(*e) - F.least(*e))).first()[0] or 0.0, 1e-9)
+    cells = _cells(wide, k) if cells is None else cells
+    reach = float(cells[0] @ (cells[2].max(axis=1) - cells[2].min(axis=1))) / max(rows, 1) or 1e-9
+    near = _climb(lambda p, tau: _fold_cells(cells, p, tau), k, caps, epsilon, rows, spread, reach, tightness, 2_000, start, exact, False)[0]
+
+    # Where few rows are near a switch, or cells are too coarse, the smoothing is lowered step by step on the panel too.
+    for most, from_, final_only in ((25, near, True), (passes, near, False), (passes, None, False)):
+        *found, there = _climb(lambda p, tau: _fold_prices(k, p, tau, wide), k, caps, epsilon, rows, spread, reach, tightness, most, from_, exact, final_only)
+        if there:
+            break
+    return found
+
+
+def _climb(fold, k, caps, epsilon, rows, spread, reach, tightness, passes, start, exact, final_only):
     right = np.array([0.0 if epsilon is None else epsilon, *caps])
     binding = sum(caps) == rows  # all caps bind: fleet prices may take any sign, and one is a free choice
     free_sign = np.array([False] + [binding] * k)
     held = np.array([epsilon is None] + [binding and i == 0 for i in range(k)])
     theta = np.zeros(k + 1) if start is None else np.where(held & (np.arange(k + 1) == 0), 0.0, np.array(start))
     last = max(spread * tightness, 1e-12)
-    tau = max(spread, 1e-9) if start is None else max(spread / 50.0, last)
+    tau = last if final_only else max(spread, 1e-9) if start is None else max(spread / 50.0, last)
     used, here = 0, None
     while True:
-        here = _fold_prices(k, [theta], tau, wide)[0]
+        here = fold([theta], tau)[0]
         used += 1
         value = here[1] - theta @ right
         final, radius = tau <= last, 20.0
@@ -171,7 +235,7 @@ def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows:
             for t in (1.0, 0.3, 0.05):
                 p = theta + t * step
                 tries.append(np.where(free_sign, p, np.maximum(p, 0.0)))
-            found = _fold_prices(k, tries, tau, wide)
+            found = fold(tries, tau)
             used += 1
             best = max(found, key=lambda x: x[1] - x[0] @ right)
             gained = best[1] - best[0] @ right
@@ -185,7 +249,9 @@ def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows:
                 break
         theta = here[0]
         if final or used >= passes:
-            return theta, tau, here
+            slope = here[2] - right
+            rest = np.where(held | (~free_sign & (theta <= 0) & (slope < 0)), 0.0, slope)
+            return theta, tau, here, final and np.max(np.abs(rest) / scale) < max(exact, 5e-8)
         tau = max(tau / 12.0, last)
 
 
@@ -240,15 +306,24 @@ def _value(k, name, pick="pick"):
     return out
 
 
+class _Missed(Exception):
+    """No whole plan met the ceiling; carries the bound and the prices."""
+
+    def __init__(self, lower, theta):
+        self.lower, self.theta = lower, theta
+
+
 def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, start=None,
            offset=0.0):
     """Solve on stored columns c (objective), e, f and p; returns a Plan with both bounds."""
     k = len(fleet)
     cap = [float(caps.get(v, rows)) for v in fleet]
-    limit, theta, lower = epsilon, start, None
+    limit, theta, lower, cells = epsilon, start, None, _cells(wide, k)
+    if limit is not None and not whole:
+        limit *= 1 - 1e-7  # shares meet their target up to the search's tolerance, and a ceiling is hard
     for attempt in range(4):
         theta, tau, (_, _, _, curve) = dual_prices(
-            wide, cap, limit, rows, spread, tightness, start=theta, exact=1e-7 if whole else 1e-10)
+            wide, cap, limit, rows, spread, tightness, start=theta, exact=1e-7 if whole else 1e-10, cells=cells)
         if lower is None:
             hard = wide.agg(F.sum(F.least(*_reduced(k, theta)))).first()[0]
             lower = hard - float(theta @ np.array([epsilon or 0.0, *cap])) - offset
@@ -271,8 +346,8 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, sta
         floor = wide.agg(F.sum(F.least(*[F.col(f"e{i}") for i in range(k)]))).first()[0]
         if limit <= floor:
             break
-    if whole:  # no whole plan this close to the edge: keep the shares
-        theta, tau, _ = dual_prices(wide, cap, epsilon, rows, spread, tightness, start=theta)
+    if whole:
+        raise _Missed(lower, theta)
     df = _shares(wide, k, theta, tau)
     y = [F.col(f"y{i}") for i in range(k)]
 
@@ -290,18 +365,33 @@ def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, sta
                 lower, sums["c"] - offset, sums["p"], int(sums["split"]), tuple(map(float, theta)))
 
 
-def _stats(wide, k, name):
-    """Rows, mean range of a cost over the vehicles, and total range."""
-    cols = [F.col(f"{name}{i}") for i in range(k)]
-    gap = F.greatest(*cols) - F.least(*cols)
-    row = wide.agg(F.count("*").alias("n"), F.avg(gap).alias("a"), F.sum(gap).alias("s")).first()
-    return row["n"], float(row["a"] or 0.0), float(row["s"] or 0.0)
+def _stats(wide, k, *names):
+    """Rows, then for each cost the mean range over the vehicles and the total range; one scan."""
+    def gap(name):
+        cols = [F.col(f"{name}{i}") for i in range(k)]
+        return F.greatest(*cols) - F.least(*cols)
+
+    row = wide.agg(F.count("*"), *[f(gap(n)) for n in names for f in (F.avg, F.sum)]).first()
+    return row[0], *[float(x or 0.0) for x in row[1:]]
 
 
 def build_wide(shipments: DataFrame, risk=None, fleet=P.VEHICLES) -> DataFrame:
     """The stored panel; `risk` gives the p0.. columns of risk_columns()."""
-    wide = wide_panel(shipments, fleet, keep=risk or ())
-    return materialise(wide, "panel", spread=True)
+    wide = materialise(wide_panel(shipments, fleet, keep=risk or ()), "panel", spread=True)
+    faults = panel_faults(wide).first()
+    if any(faults):
+        raise InfeasiblePlanError(f"shipments without emission, freight or risk for some vehicle: {faults.asDict()}")
+    return wide
+
+
+def panel_faults(wide: DataFrame) -> DataFrame:
+    """Rows of a wide panel whose emission, freight or probability is missing for some vehicle."""
+    def blank(letter):
+        cols = [F.col(c) for c in wide.columns if c[0] == letter and c[1:].isdigit()]
+        return reduce(lambda a, b: a | b, [c.isNull() | F.isnan(c) for c in cols], F.lit(False))
+
+    return wide.agg(F.count_if(blank("e")).alias("no_emission"), F.count_if(blank("f")).alias("no_freight"),
+                    F.count_if(blank("p")).alias("no_risk"))
 
 
 def _costed(wide, k, risk, penalty, span, delta=P.SLACK_WEIGHT):
@@ -323,8 +413,14 @@ def minimum_emission_plan(wide: DataFrame, caps: dict, fleet=P.VEHICLES, whole=T
     _require_room(caps, rows, fleet)
     costed = wide.select("*", *[F.col(f"e{i}").alias(f"c{i}") for i in range(k)])
     plan = _solve(costed, caps, None, rows, spread, fleet, "p0" in wide.columns, whole, tightness)
-    if not plan.meets(caps):
+    if not plan.meets(caps, rows):
         raise UnprovenPlanError(f"no plan was found that meets the caps; the bound is {plan.lower_bound:.2f} kg")
+    return _proven(plan)
+
+
+def _proven(plan: Plan, most=MAX_GAP) -> Plan:
+    if plan.gap is not None and plan.gap > most:
+        raise UnprovenPlanError(f"the best plan found costs {plan.objective:.2f}, the bound is {plan.lower_bound:.2f}: a gap of {plan.gap:.2e}")
     return plan
 
 
@@ -342,9 +438,8 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
     `whole=False` returns shares, which may split a shipment between vehicles.
     """
     k, risk = len(fleet), "p0" in wide.columns
-    rows, _, _ = _stats(wide, k, "f")
+    rows, _, span = _stats(wide, k, "e")
     _require_room(caps, rows, fleet)
-    _, _, span = _stats(wide, k, "e")
     if epsilon_kg is not None:
         greenest = greenest or minimum_emission_plan(wide, caps, fleet, whole, tightness)
         if epsilon_kg < greenest.lower_bound * (1 - 1e-9):
@@ -358,15 +453,21 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
     offset = P.SLACK_WEIGHT * epsilon_kg / span if epsilon_kg is not None and span else 0.0
     costed = _costed(wide, k, risk, penalty, span if epsilon_kg is not None else None)
     rows, spread, _ = _stats(costed, k, "c")
-    plan = _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start, offset)
-    if plan.meets(caps):
-        return plan
-    if greenest is None or not greenest.meets(caps):
-        raise UnprovenPlanError(f"no plan was found that meets the caps; the bound is {plan.lower_bound:.2f}")
-    # At the very edge the prices run off; the greenest plan is known to fit, and the bound still holds.
+    try:
+        plan = _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start, offset)
+        lower, prices = plan.lower_bound, plan.prices
+        if plan.meets(caps, rows):
+            # At the greenest end a price has no meaning: no money buys a lower ceiling.
+            edge = epsilon_kg is not None and epsilon_kg <= greenest.lower_bound * (1 + 1e-6)
+            return _proven(replace(plan, shadow_price_per_ton=None) if edge else plan)
+    except _Missed as e:
+        lower, prices = e.lower, tuple(map(float, e.theta))
+    if greenest is None or not greenest.meets(caps, rows):
+        raise UnprovenPlanError(f"no plan was found that meets caps and ceiling; the bound is {lower:.2f}")
+    # At the very edge the prices run off, so none is reported; the greenest plan fits, and the bound still holds.
     paid = greenest.freight + (penalty * greenest.expected_delays if risk else 0.0)
-    return replace(greenest, epsilon_kg=epsilon_kg, lower_bound=min(plan.lower_bound, paid), objective=paid,
-                   shadow_price_per_ton=plan.shadow_price_per_ton, prices=plan.prices)
+    return _proven(replace(greenest, epsilon_kg=epsilon_kg, lower_bound=min(lower, paid), objective=paid,
+                           shadow_price_per_ton=None, prices=prices))
 
 
 def frontier(wide: DataFrame, caps: dict, points=6, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:
@@ -380,14 +481,18 @@ def frontier(wide: DataFrame, caps: dict, points=6, fleet=P.VEHICLES, whole=True
             plans.append(allocate(wide, caps, ceiling, fleet=fleet, whole=whole, tightness=tightness, greenest=greenest,
                                   start=start))
             start = plans[-1].prices
-        except (InfeasiblePlanError, UnprovenPlanError):
+        except InfeasiblePlanError:
             break
+        except UnprovenPlanError:
+            plans.append(Plan(None, None, None, {}, ceiling, state="unproven"))
     return plans
 
 
 def frontier_table(spark, plans: list[Plan]) -> DataFrame:
-    return literal_rows(spark, ["epsilon_kg", "freight", "co2_kg", "shadow_price_per_ton", "lower_bound", "gap"], [
-        (p.epsilon_kg, p.freight, p.co2_kg, p.shadow_price_per_ton, p.lower_bound, p.gap) for p in plans])
+    """One row per ceiling; an unproven point has its state and no figures."""
+    names = ["epsilon_kg", "freight", "co2_kg", "shadow_price_per_ton", "lower_bound", "gap"]
+    table = literal_rows(spark, [*names, "state"], [(*[getattr(p, n) for n in names], p.state) for p in plans])
+    return table.select(*[F.col(n).cast("double").alias(n) for n in names], "state")
 
 
 def marginal_abatement(points: DataFrame) -> DataFrame:

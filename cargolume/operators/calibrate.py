@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargolume import params as P
-from cargolume.errors import ThinCalibrationError
+from cargolume.errors import IntegrityError, ThinCalibrationError
 from cargolume.functions import formulas as fx
 from cargolume.operators.star import require_columns
-from cargolume.session import literal_rows
+from cargolume.session import literal_rows, materialise
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,12 @@ def fit_vehicle_calibrations(observed: DataFrame, score="Delay_Risk_Probability"
         require_columns(observed, ["Actual_Delay_Days", "Vehicle_Type", score])
     except ValueError as e:
         raise ThinCalibrationError(str(e)) from e
-    counts = {r["Vehicle_Type"]: r["count"] for r in observed.where(
-        F.col("Vehicle_Type").isin(list(fleet))).groupBy("Vehicle_Type").count().collect()}
+    blank = F.col(score).isNull() | F.isnan(F.col(score).cast("double")) | F.col("Actual_Delay_Days").isNull()
+    known = observed.where(F.col("Vehicle_Type").isin(list(fleet))).groupBy("Vehicle_Type").agg(
+        F.count("*").alias("n"), F.count_if(blank).alias("blank")).collect()
+    counts, gaps = {r["Vehicle_Type"]: r["n"] for r in known}, sum(r["blank"] for r in known)
+    if gaps:
+        raise IntegrityError(f"{gaps} observed shipments have no score or no delay")
     thin = {v: counts.get(v, 0) for v in fleet if counts.get(v, 0) < min_rows}
     if thin:
         raise ThinCalibrationError(f"fewer than {min_rows} observed shipments for {thin}")
@@ -42,7 +46,7 @@ def fit_vehicle_calibrations(observed: DataFrame, score="Delay_Risk_Probability"
         fx.logit(score).alias("x0"),
         *[(F.col("Vehicle_Type") == v).cast("double").alias(f"x{i + 1}") for i, v in enumerate(fleet[1:])])
     # Rows alike in every input weigh as one: the fit then runs over the distinct inputs.
-    cells = design.groupBy(*[c for c in design.columns]).agg(F.count("*").cast("double").alias("w"))
+    cells = materialise(design.groupBy(*design.columns).agg(F.count("*").cast("double").alias("w")), "calibration")
     ready = VectorAssembler(inputCols=[f"x{i}" for i in range(len(fleet))], outputCol="features").transform(cells)
     model = LogisticRegression(regParam=0.0, standardization=False, maxIter=200, tol=1e-12, weightCol="w").fit(ready)
     slope, shifts = float(model.coefficients[0]), [0.0, *[float(c) for c in model.coefficients[1:]]]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cargolume import params as P
 from cargolume.session import literal_rows, materialise
 
-TASK_ROWS = 1_000_000
+RANGE_ROWS = 500_000
 
 
 def _bin(p: Column, bins: int, right_closed=False) -> Column:
@@ -18,48 +18,51 @@ def _bin(p: Column, bins: int, right_closed=False) -> Column:
     return F.when(p.between(0.0, 1.0), out)
 
 
+def present(column: str) -> Column:
+    """The column as a number; a row without one, or with NaN, stops the job."""
+    x = F.col(column).cast("double")
+    return F.when(x.isNotNull() & ~F.isnan(x), x).otherwise(F.raise_error(F.lit(f"{column} is missing or not a number")).cast("double"))
+
+
 def score_counts(df: DataFrame, score: str, label="is_delayed", by=()) -> DataFrame:
-    """Late and on-time rows per exact score; every metric below starts from these."""
-    return df.groupBy(*by, F.col(score).alias("p")).agg(
-        F.sum(F.col(label).cast("double")).alias("pos"),
-        F.sum(1.0 - F.col(label).cast("double")).alias("neg"))
+    """Late and on-time rows per exact score; every metric below starts from these.
+
+    A row without a score or a label has no place in a ranking, so the job fails on it.
+    """
+    return df.groupBy(*by, present(score).alias("p")).agg(
+        F.sum(present(label)).alias("pos"), F.sum(1.0 - present(label)).alias("neg"))
 
 
-def auc_of_counts(counts: DataFrame, by=(), task_rows=TASK_ROWS) -> DataFrame:
+def auc_of_counts(counts: DataFrame, by=(), range_rows=RANGE_ROWS) -> DataFrame:
     """ROC-AUC with ties as one half, from score counts.
 
-    Up to task_rows scores are ranked in one task. Beyond that scores are cut into ranges of equal
-    depth: totals per range give the late rows above it, and each range is ranked on its own.
+    Scores are cut into ranges of about equal depth: totals per range give the late rows above it, and
+    each range is ranked on its own. Counts are whole numbers, so the cuts do not change the result.
     `counts` must be a stored table, since it is read more than once.
     """
     by = list(by)
-    n = counts.count()
-    up = F.desc("p")
-    if n <= task_rows:
-        cut, extra = counts, []
-        above = F.coalesce(F.sum("pos").over(
-            Window.partitionBy(*by).orderBy(up).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-        ranked = cut.withColumn("above", above)
-    else:
-        ranges = -(-n // task_rows) * 2
-        marks = counts.approxQuantile("p", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
-        edges = [float("-inf"), *sorted(set(marks)), float("inf")]
-        cut = Bucketizer(splits=edges, inputCol="p", outputCol="_range").transform(counts) \
-            if len(edges) > 2 else counts.withColumn("_range", F.lit(0.0))
-        totals = cut.groupBy(*by, "_range").agg(F.sum("pos").alias("_pos"))
-        higher = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
-        totals = totals.select(*by, "_range", F.coalesce(F.sum("_pos").over(higher), F.lit(0.0)).alias("_above"))
-        inside = Window.partitionBy(*by, "_range").orderBy(up).rowsBetween(Window.unboundedPreceding, -1)
-        ranked = cut.withColumn("_in", F.coalesce(F.sum("pos").over(inside), F.lit(0.0))).join(
-            totals, [*by, "_range"]).withColumn("above", F.col("_above") + F.col("_in"))
+    ranges = -(-counts.count() // range_rows) * 2
+    marks = counts.approxQuantile("p", [i / ranges for i in range(1, ranges)], 0.1 / max(ranges, 1)) if ranges else []
+    edges = [float("-inf"), *sorted(set(marks) - {float("inf"), float("-inf")}), float("inf")]
+    cut = Bucketizer(splits=edges, inputCol="p", outputCol="_range").transform(counts) \
+        if len(edges) > 2 else counts.withColumn("_range", F.lit(0.0))
+    totals = cut.groupBy(*by, "_range").agg(F.sum("pos").alias("_pos"))
+    higher = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_range").alias("_r"),
+                           F.coalesce(F.sum("_pos").over(higher), F.lit(0.0)).alias("_above"))
+    inside = Window.partitionBy(*by, "_range").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("_range") == F.col("_r")
+    for c in by:  # a null group is a group
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    ranked = cut.withColumn("_in", F.coalesce(F.sum("pos").over(inside), F.lit(0.0))).join(totals, same)
+    above = F.col("_above") + F.col("_in")
     return ranked.groupBy(*by).agg(F.try_divide(
-        F.sum(F.col("neg") * (F.col("above") + F.col("pos") / 2.0)),
-        F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+        F.sum(F.col("neg") * (above + F.col("pos") / 2.0)), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
 
 
-def roc_auc(df: DataFrame, score: str, label="is_delayed", by=(), task_rows=TASK_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label="is_delayed", by=(), range_rows=RANGE_ROWS) -> DataFrame:
     counts = materialise(score_counts(df, score, label, by), "scores")
-    return auc_of_counts(counts, by, task_rows)
+    return auc_of_counts(counts, by, range_rows)
 
 
 def _brier_ece(counts: DataFrame, by=(), bins=10) -> DataFrame:

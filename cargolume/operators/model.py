@@ -9,13 +9,13 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolume.errors import IntegrityError
 from cargolume.functions import formulas as fx
 from cargolume.functions.formulas import KNOWN_LEVELS
-from cargolume.operators import metrics, splits
+from cargolume.operators import metrics, ordering, splits
 from cargolume.operators.star import project_features
 from cargolume.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 from cargolume.session import literal_rows, materialise
@@ -23,10 +23,14 @@ from cargolume.session import literal_rows, materialise
 
 @dataclass(frozen=True)
 class ModelSettings:
-    """Forest and calibration settings; `grid` bounds the points of a calibration curve."""
+    """Forest and calibration settings.
+
+    `grid` rounds scores to that many steps before a curve is fitted, which bounds the points that reach one node; a
+    curve is an approximation to half a step.
+    """
 
     trees: int = 300
-    depth: int = 12
+    depth: int = 30  # the deepest that the library grows
     min_leaf: int = 2
     members: int = 5
     folds: int = 5
@@ -280,24 +284,22 @@ def impurity_importance(spark: SparkSession, model: CalibratedForest) -> DataFra
         F.bround(F.sum("importance"), 4).alias("importance")).orderBy(F.desc("importance"))
 
 
-def permutation_importance(model: CalibratedForest, test: DataFrame, repeats=20, seed=42, bucket_rows=500_000) -> DataFrame:
+def permutation_importance(model: CalibratedForest, test: DataFrame, repeats=20, seed=42) -> DataFrame:
     """Drop of the ROC-AUC when one feature is shuffled, mean and deviation over the repeats.
 
-    In every repeat rows fall into random buckets of bounded size, and each row takes the values of the
-    next row of its bucket in a random order: one shuffle per repeat serves all features.
+    Each repeat numbers the rows in two random orders; a row takes the values of the row with its number in the
+    other order. One pairing per repeat serves all features.
     """
     features = list(model.settings.features)
     base = test.select("Shipment_ID", "is_delayed", *features)
-    buckets = max(1, -(-test.count() // bucket_rows))
     rows = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("Shipment_ID", "repeat", F.lit(seed)), F.lit(buckets)))
-    order = F.xxhash64("Shipment_ID", "repeat", F.lit(seed + 1))
-    w = Window.partitionBy("repeat", "_bucket").orderBy(order, "Shipment_ID")
-    rows = rows.withColumn("_rn", F.row_number().over(w))
-    size = rows.groupBy("repeat", "_bucket").agg(F.count("*").alias("_n"))
-    donors = rows.select("repeat", "_bucket", F.col("_rn").alias("_donor"), *[F.col(c).alias(f"d_{c}") for c in features])
-    paired = rows.join(size, ["repeat", "_bucket"]).withColumn("_donor", F.pmod("_rn", F.col("_n")) + 1).join(
-        donors, ["repeat", "_bucket", "_donor"])
+
+    def numbered(order):
+        keyed = rows.withColumn("_key", F.concat_ws("|", "Shipment_ID", "repeat", F.lit(seed), F.lit(order)))
+        return ordering.positions(keyed, "repeat", "_key", "_place", overall=False).drop("_key")
+
+    donors = numbered("donor").select("repeat", "_place", *[F.col(c).alias(f"d_{c}") for c in features])
+    paired = numbered("taker").join(donors, ["repeat", "_place"])
     swapped = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features]))).select(
         "repeat", "feature", "is_delayed",
         *[F.when(F.col("feature") == c, F.col(f"d_{c}")).otherwise(F.col(c)).alias(c) for c in features])

@@ -31,7 +31,7 @@ def positions(df: DataFrame, group: str, key="Shipment_ID", out="position", over
     start = F.coalesce(F.sum("_rows").over(before), F.lit(0)) if overall else F.lit(0).cast("long")
     sizes = sizes.select(F.col(group).alias("_g"), F.row_number().over(ordered).alias("_gid"),
                          digits.cast("int").alias("_digits"), start.alias("_start"))
-    sliced = tagged.join(F.broadcast(sizes), F.col(group).eqNullSafe(F.col("_g")), "left").withColumn(
+    sliced = tagged.join(sizes, F.col(group).eqNullSafe(F.col("_g")), "left").withColumn(
         "_slice", F.expr("substring(_tie, 1, _digits)"))
     inner = Window.partitionBy("_gid").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("_gid", "_slice").agg(F.count("*").alias("_n")).select(
@@ -96,12 +96,15 @@ def from_cut(cut, day="Full_Date", key="Shipment_ID"):
 def kth_values(df: DataFrame, column: str, ranks: list[int], pick_rows=PICK_ROWS, bins=BINS) -> list[tuple]:
     """Exact order statistics of a double column: (value, rows below it) per 0-based rank.
 
-    Histograms narrow the value range; every pass is a map-side aggregate of at most `bins` rows, all
+    Nulls are left out; NaN or an infinite value has no place on a scale and raises. Histograms narrow the value range; every pass is a map-side aggregate of at most `bins` rows, all
     ranks share a pass, and only the last `pick_rows` rows of a range are looked at one by one.
     """
     x = F.col(column).cast("double")
     rows = df.where(x.isNotNull()).select(x.alias("x"))
-    top = rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")).first()
+    odd = F.isnan("x") | (F.abs(F.col("x")) == float("inf"))
+    top = rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n"), F.count_if(odd).alias("odd")).first()
+    if top["odd"]:
+        raise ValueError(f"{top['odd']} values of {column} are NaN or infinite")
     state = {k: (top["lo"], top["hi"], 0, top["n"]) for k in ranks}  # low, high, rows below, rows inside
     for k in ranks:
         if not 0 <= k < top["n"]:

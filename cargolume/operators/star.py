@@ -63,8 +63,16 @@ def fact_by_lookup(raw: DataFrame, route: DataFrame) -> DataFrame:
 
 
 def new_routes(existing: DataFrame, raw: DataFrame, digits=10) -> DataFrame:
-    """Routes in a new load that the dimension lacks; keys already there stay as they are."""
-    return dim_route(raw, digits).join(existing.select("Route_ID"), "Route_ID", "left_anti")
+    """Routes in a new load that the dimension lacks, by their attributes; keys already there stay as they are.
+
+    A new route whose key is already that of another stops the job: its shipments would point to the wrong one.
+    """
+    known = existing.select(F.col("Route_ID").alias("_old"), *[F.col(c).alias(f"_{c}") for c in ROUTE_COLUMNS])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ROUTE_COLUMNS]
+    fresh = dim_route(raw, digits).join(known.drop("_old"), same, "left_anti")
+    taken = F.when(F.col("_old").isNull(), F.col("Route_ID")).otherwise(
+        F.raise_error(F.concat(F.lit("two routes have the key "), F.col("Route_ID"))).cast("string"))
+    return fresh.join(known.select("_old"), F.col("Route_ID") == F.col("_old"), "left").select(taken.alias("Route_ID"), *ROUTE_COLUMNS)
 
 
 def extend_routes(existing: DataFrame, raw: DataFrame, digits=10) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolume import params as P
+from cargolume.functions.formulas import require_known_categories
 from cargolume.operators import allocation, calibrate, contracts, fingerprint, metrics, model, panels, star
 from cargolume.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RAW_COLUMNS, SCORED_COLUMNS
 from cargolume.session import materialise
@@ -26,8 +27,16 @@ def build_star(raw: DataFrame, check=True) -> dict[str, DataFrame]:
     return tables
 
 
-def run_etl(spark: SparkSession, raw_path: str, out: str) -> dict[str, DataFrame]:
-    tables = build_star(readers.load_raw(spark, raw_path))
+def run_etl(spark: SparkSession, raw_path: str, out: str, rules: list | None = None) -> dict[str, DataFrame]:
+    """Read, check and write. Rows with unreadable values go to `quarantine` and are counted; a broken rule stops the load."""
+    bad = readers.quarantined(spark, raw_path)
+    bad.write.mode("overwrite").parquet(f"{out}/quarantine")
+    kept_out = spark.read.schema(bad.schema).parquet(f"{out}/quarantine").count()
+    if kept_out:
+        log.warning("%d rows of %s hold unreadable values; they are in %s/quarantine", kept_out, raw_path, out)
+    raw = readers.load_raw(spark, raw_path)
+    contracts.require_clean(contracts.contract_report(raw, "raw_shipments", contracts.raw_rules() if rules is None else rules, unique="Shipment_ID"))
+    tables = build_star(raw)
     writers.write_star(tables, out)
     return readers.load_star(spark, out)
 
@@ -59,9 +68,11 @@ def run_training(tables: dict[str, DataFrame], folder: str, stage="all",
         return out
     quality = metrics.metric_bundle(walked, "probability").first()
     scored = star.attach_scores(tables["fact"], stored_scores(walked)).select(*SCORED_COLUMNS)
-    scored.write.mode("overwrite").parquet(f"{folder}/scored")
+    # Checked as a stored draft first: a failure leaves the published table as it was.
+    draft = materialise(scored, "scored-draft")
+    contracts.require_integrity(contracts.output_integrity(draft, tables["fact"], *dims))
+    draft.write.mode("overwrite").parquet(f"{folder}/scored")
     scored = prepared.sparkSession.read.parquet(f"{folder}/scored")
-    contracts.require_integrity(contracts.output_integrity(scored, tables["fact"], *dims))
     out |= {"walked": walked, "quality": quality.asDict(), "scored": scored,
             "warm_up": walked.where("warm_up").count(),
             "calibration": metrics.calibration_by_tier(stored_scores(walked))}
@@ -69,7 +80,7 @@ def run_training(tables: dict[str, DataFrame], folder: str, stage="all",
         return out
     final = model.fit_model(prepared, settings)
     final.save(f"{folder}/model")
-    verified = model.verify_saved(prepared.sparkSession, f"{folder}/model", final, prepared.drop("features").limit(100))
+    verified = model.verify_saved(prepared.sparkSession, f"{folder}/model", final, prepared.drop("features"))
     marks = fingerprint.data_fingerprint(prepared.sparkSession, {**tables, "scored": scored})
     meta = run_metadata(prepared, settings, quality, out["holdout_auc"], folds, marks)
     writers.write_metadata(meta, f"{folder}/metadata")
@@ -123,6 +134,7 @@ def run_allocation(tables: dict[str, DataFrame], fitted: model.CalibratedForest
                    epsilon_kg: float | None = None, points=0, out: str | None = None, scenario="default") -> dict:
     """Guard the risk panel, then plan: a frontier, a plan under a ceiling, or the cheapest plan."""
     rows = materialise(star.allocation_input(tables["fact"], tables["dim_route"], tables["dim_vendor"]), "allocation")
+    require_known_categories(rows)
     caps, quo = panels.caps_dict(panels.observed_caps(rows)), panels.status_quo(rows)
     result, risk = {"caps": caps, "status_quo": quo}, None
     if fitted is not None:
@@ -135,6 +147,10 @@ def run_allocation(tables: dict[str, DataFrame], fitted: model.CalibratedForest
     wide = allocation.build_wide(rows, risk)
     if points:
         result["frontier"] = allocation.frontier(wide, caps, points)
+        if out:
+            for k, plan in enumerate(result["frontier"]):
+                if plan.assignment is not None:
+                    writers.write_plan(plan.assignment, out, f"{scenario}-{k}")
         return result
     result["plan"] = allocation.allocate(wide, caps, epsilon_kg)
     if out:

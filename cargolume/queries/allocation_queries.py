@@ -224,7 +224,7 @@ def emission_ceiling_figures(spark, sf):
 @query("cost_emission_frontier")
 def cost_emission_frontier(spark, sf):
     wide, caps = _panel_and_caps(spark, sf)
-    plans = al.frontier(wide, caps, points=4, whole=False, tightness=1e-3)
+    plans = al.frontier(wide, caps)
     return al.marginal_abatement(al.frontier_table(spark, plans))
 
 

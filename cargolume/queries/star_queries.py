@@ -97,11 +97,16 @@ def stored_scores(spark, sf):
 
 
 @query("orphan_routes", with_ship("""
-SELECT Route_ID, count(*) AS shipments FROM fact WHERE Route_ID NOT IN (SELECT Route_ID FROM dim_route WHERE Vehicle_Type <> 'Electric Semi')
-GROUP BY Route_ID""", FACT_SQL, ROUTE_SQL))
+SELECT Route_ID, count(*) AS shipments FROM fact WHERE Route_ID NOT IN (SELECT Route_ID FROM dim_route)
+GROUP BY Route_ID UNION ALL SELECT Route_ID, -count(*) FROM dim_route WHERE Route_ID NOT IN (SELECT Route_ID FROM fact) GROUP BY Route_ID
+UNION ALL SELECT 'resolved', count(*) FROM fact WHERE Route_ID IN (SELECT Route_ID FROM dim_route)""", FACT_SQL, ROUTE_SQL))
 def orphan_routes(spark, sf):
+    """Shipments per route that the dimension lacks, routes without shipments (negative), and how many shipments resolve."""
     t = star_tables(spark, sf)
-    return ct.orphan_keys(t["fact"], t["dim_route"].where("Vehicle_Type <> 'Electric Semi'"), "Route_ID")
+    lost = ct.orphan_keys(t["fact"], t["dim_route"], "Route_ID")
+    unused = ct.orphan_keys(t["dim_route"], t["fact"].select("Route_ID").distinct(), "Route_ID").withColumn("shipments", -F.col("shipments"))
+    found = t["fact"].join(t["dim_route"].select("Route_ID"), "Route_ID", "left_semi")
+    return lost.unionByName(unused).unionByName(found.agg(F.lit("resolved").alias("Route_ID"), F.count("*").alias("shipments")))
 
 
 @query("new_routes_since", with_ship(f"""
@@ -142,14 +147,19 @@ def feature_projection(spark, sf):
 
 
 @query("column_differences", """
-SELECT 'missing' AS kind, c AS column_name FROM (VALUES ('CO2_Emission_kg'), ('Shipment_Date')) v(c), (SELECT count(*) AS n FROM lineitem) WHERE n > 0
-UNION ALL SELECT 'unexpected', c FROM (VALUES ('raw_score')) v(c)""")
+WITH have AS (SELECT column_name FROM information_schema.columns WHERE table_name = 'orders')
+SELECT 'missing' AS kind, c AS column_name, 0 AS filled FROM (VALUES ('o_orderkey'), ('o_custkey'), ('o_shipmode')) v(c) WHERE c NOT IN (SELECT column_name FROM have)
+UNION ALL SELECT 'unexpected', name, filled FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM orders) ON COLUMNS(*) INTO NAME name VALUE filled)
+WHERE name NOT IN ('o_orderkey', 'o_custkey', 'o_shipmode')""", longs=("filled",))
 def column_differences(spark, sf):
-    df = shipments(spark, sf, [c for c in RAW_COLUMNS if c not in ("CO2_Emission_kg", "Shipment_Date")] + ["raw_score"])
-    found = [("missing", c) for c in star.missing_columns(df, RAW_COLUMNS)]
-    found += [("unexpected", c) for c in star.unexpected_columns(df, RAW_COLUMNS)]
-    listed = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column_name")) for k, c in found]))
-    return df.agg(F.count("*").alias("n")).where("n > 0").select(listed.alias("x")).select("x.*")
+    """The orders table against an expected column list: missing and unexpected columns, with the rows that fill each."""
+    from cargolume.sources.shipments import read_table
+
+    df, expected = read_table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_shipmode"]
+    kinds = {c: "missing" for c in star.missing_columns(df, expected)} | {c: "unexpected" for c in star.unexpected_columns(df, expected)}
+    counts = df.agg(*[(F.count(c) if k == "unexpected" else F.lit(0).cast("long")).alias(c) for c, k in kinds.items()])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c, k in kinds.items()])).alias("x")).select("x.*")
 
 
 @query("raw_contract", with_ship("""

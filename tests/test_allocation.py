@@ -91,7 +91,7 @@ def test_ceiling_binds_and_has_a_price(wide, caps, loose, greenest):
     ceiling = 0.5 * (loose.co2_kg + greenest.co2_kg)
     plan = al.allocate(wide, caps, ceiling, whole=False, greenest=greenest)
     assert plan.co2_kg <= ceiling * (1 + 1e-7) and plan.shadow_price_per_ton > 0
-    assert plan.freight >= loose.lower_bound - 1e-6 and -1e-7 < plan.gap < 2e-3
+    assert plan.freight >= loose.lower_bound - 1e-6 and -1e-7 < plan.gap <= al.MAX_GAP
     assert all(plan.counts[v] <= caps[v] + 1e-4 for v in caps)
     totals = plan.assignment.groupBy("Shipment_ID").agg(F.sum("share").alias("s"))
     assert totals.count() == 240 and totals.where("abs(s - 1) > 1e-6").count() == 0
@@ -135,10 +135,10 @@ def test_dual_bound_against_brute_force(spark, shipments):
 
 
 def test_frontier_is_monotone(spark, wide, caps):
-    plans = al.frontier(wide, caps, points=3, whole=False, tightness=1e-3)
+    plans = al.frontier(wide, caps, points=3, whole=False)
     assert len(plans) == 3
     for p in plans:  # the last ceiling is the greenest plan itself
-        assert p.meets(caps) and p.co2_kg <= p.epsilon_kg * (1 + 1e-6) and p.gap > -1e-6
+        assert p.meets(caps, wide.count()) and p.co2_kg <= p.epsilon_kg * (1 + 1e-9) and p.gap > -1e-6
     ordered = sorted(plans, key=lambda p: p.epsilon_kg)
     assert all(a.lower_bound >= b.lower_bound - 1e-6 for a, b in zip(ordered, ordered[1:]))
     table = al.marginal_abatement(al.frontier_table(spark, plans)).where("marginal_cost_per_kg IS NOT NULL")

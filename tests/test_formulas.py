@@ -87,7 +87,7 @@ def test_co2_grows_with_load(spark, pairs):
 def test_extrapolation_texts(spark):
     df = one(spark, Distance_km=50.0, Weight_tons=5.0, Vendor_Rating=4.95)
     texts = df.select(fx.extrapolation_warnings({"Distance_km": (100.0, 900.0), "Weight_tons": (1.0, 9.0), "Vendor_Rating": (1.0, 4.9)})).first()[0]
-    assert len(texts) == 2 and "below the training minimum 100" in texts[0] and "above the training maximum 4.9" in texts[1]
+    assert len(texts) == 2 and "trained from 100" in texts[0] and "trained up to 4.9" in texts[1]
 
 
 def test_route_key_keeps_nulls_apart(spark):

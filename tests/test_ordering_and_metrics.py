@@ -98,13 +98,13 @@ def brute_auc(p, y):
     return float(np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg]))
 
 
-@pytest.mark.parametrize("task_rows", [10, 10**6])
-def test_auc_with_ties(spark, task_rows):
+@pytest.mark.parametrize("range_rows", [3, 10, 10**6])
+def test_auc_with_ties(spark, range_rows):
     rng = np.random.default_rng(3)
     p, y = np.round(rng.random(300), 2), rng.integers(0, 2, 300)
     df = scored(spark, p, y).withColumn("g", F.lit("a"))
-    assert metrics.roc_auc(df, "p", task_rows=task_rows).first()[0] == pytest.approx(brute_auc(p, y))
-    assert metrics.roc_auc(df, "p", by=["g"], task_rows=task_rows).first()["roc_auc"] == pytest.approx(brute_auc(p, y))
+    assert metrics.roc_auc(df, "p", range_rows=range_rows).first()[0] == pytest.approx(brute_auc(p, y))
+    assert metrics.roc_auc(df, "p", by=["g"], range_rows=range_rows).first()["roc_auc"] == pytest.approx(brute_auc(p, y))
 
 
 def test_auc_of_one_class_is_null(spark):
