@@ -188,18 +188,20 @@ def out_of_fold(prepared: DataFrame, fold: str, settings: ModelSettings = ModelS
     return _union(parts)
 
 
-def walk_forward(prepared: DataFrame, settings: ModelSettings = ModelSettings(), fallback=True) -> DataFrame:
+def walk_forward(prepared: DataFrame, settings: ModelSettings = ModelSettings(), fallback=True,
+                 grouped: DataFrame | None = None) -> DataFrame:
     """Every shipment scored by models of earlier shipments only.
 
-    The first block has no past: its rows take vendor-grouped out-of-fold scores and are marked by
-    `warm_up`.
+    The first block has no past: its rows take vendor-grouped out-of-fold scores (`grouped`, where they are there
+    already) and are marked by `warm_up`.
     """
     parts = []
     for f in range(1, settings.folds + 1):
         model = fit_model(prepared.where(F.col("time_fold") < f), settings)
         parts.append(model.transform(prepared.where(F.col("time_fold") == f)))
     if fallback:
-        parts.append(out_of_fold(prepared, "vendor_fold", settings, where=F.col("time_fold") == 0))
+        first = F.col("time_fold") == 0
+        parts.append(out_of_fold(prepared, "vendor_fold", settings, where=first) if grouped is None else grouped.where(first))
     return _union(parts).withColumn("warm_up", F.col("time_fold") == 0)
 
 
@@ -223,11 +225,11 @@ def chronological_cv(walked: DataFrame) -> DataFrame:
     return auc.join(facts, "time_fold").orderBy("time_fold")
 
 
-def compare_split_strategies(prepared: DataFrame, settings: ModelSettings = ModelSettings()) -> DataFrame:
+def compare_split_strategies(prepared: DataFrame, settings: ModelSettings = ModelSettings(), grouped: DataFrame | None = None) -> DataFrame:
     """ROC-AUC of out-of-fold scores by random and by vendor-grouped folds."""
-    both = _union([out_of_fold(prepared, column, settings).select(
-        F.lit(name).alias("strategy"), "probability", "is_delayed")
-        for name, column in (("random", "random_fold"), ("vendor_grouped", "vendor_fold"))])
+    grouped = out_of_fold(prepared, "vendor_fold", settings) if grouped is None else grouped
+    both = _union([d.select(F.lit(name).alias("strategy"), "probability", "is_delayed") for name, d in (
+        ("random", out_of_fold(prepared, "random_fold", settings)), ("vendor_grouped", grouped))])
     return metrics.roc_auc(both, "probability", by=["strategy"])
 
 

@@ -206,7 +206,9 @@ def streamed_audit(spark, sf):
     rows = streams.audit_stream(
         _stream(spark, sf, AUDIT_INPUTS), lambda d: d.withColumn("Delay_Risk_Probability", F.col("raw_score")),
         ranges={"Distance_km": (100.0, 1200.0)})
-    return _audit_view(_run(spark, rows, "stream"))
+    out = fresh_path(spark, "stream")
+    streams.run_audit(rows, out, f"{out}-state")
+    return _audit_view(spark.read.schema(rows.schema).parquet(out))
 
 
 WINDOWS = """timed AS (SELECT *, date_diff('day', DATE '1970-01-01', Full_Date) AS d FROM scored),
@@ -274,7 +276,7 @@ def event_drift(spark, sf):
 
 # --- models: all folds, members, features and repeats; fewer and shallower trees keep a whole-table run short ---
 
-SMALL = model.ModelSettings(trees=8, depth=4)
+SMALL = model.ModelSettings(trees=4, depth=3)
 
 
 def _prepared(spark, sf, settings=SMALL):
@@ -319,13 +321,13 @@ def scoring_regimes(spark, sf):
 
 @query("feature_ablation")
 def feature_ablation(spark, sf):
-    settings = model.ModelSettings(trees=5, depth=4, method="none")
+    settings = model.ModelSettings(trees=4, depth=3, method="none")
     return model.feature_ablation(materialise(dated(spark, sf, ["Vendor_ID", *FEATURES]), "ablation"), settings)
 
 
 @query("calibration_methods")
 def calibration_methods(spark, sf):
-    settings = model.ModelSettings(trees=5, depth=4)
+    settings = model.ModelSettings(trees=2, depth=2)
     return model.calibration_methods(_prepared(spark, sf, settings), settings)
 
 
@@ -379,7 +381,7 @@ def raw_vehicle_guard(spark, sf):
 def training_run(spark, sf):
     """All training stages; the run's metadata document as it was stored."""
     folder = fresh_path(spark, "training")
-    settings = model.ModelSettings(trees=4, depth=3)
+    settings = model.ModelSettings(trees=2, depth=2)
     stored = fresh_path(spark, "star")
     writers.write_star(star_tables(spark, sf), stored)
     jobs.run_training(readers.load_star(spark, stored), folder, "all", settings)

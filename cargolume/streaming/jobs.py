@@ -16,15 +16,31 @@ def run_to_end(df: DataFrame, path: str, checkpoint: str, format="parquet") -> S
     return query
 
 
-def audit_stream(events: DataFrame, score, event_time="event_time", delay="7 days", **provenance) -> DataFrame:
-    """Valid rows, once per shipment, scored and flattened to the audit record.
+def audit_stream(events: DataFrame, score, **provenance) -> DataFrame:
+    """Valid rows, scored and flattened to the audit record; `run_audit` keeps each shipment once.
 
-    `score` adds Delay_Risk_Probability; it may be a fitted model's transform or an expression.
+    `score` adds Delay_Risk_Probability; it may be a fitted model's transform or an expression. Impossible rows leave
+    here: one of them must not use up the id of a corrected row.
     """
-    # Impossible rows leave first: one of them must not use up the id of a corrected row.
-    valid = valid_rows(physical_split(events, max_weight=100.0))
-    once = valid.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["Shipment_ID"])
-    return audit_rows(assessments(score(once), **provenance))
+    return audit_rows(assessments(score(valid_rows(physical_split(events, max_weight=100.0))), **provenance))
+
+
+def run_audit(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append what is there now, once per shipment, however late it comes.
+
+    Ids are checked against the log itself, not against a watermark: a late decision is kept, and a batch that is
+    repeated after a failure adds nothing.
+    """
+    spark = rows.sparkSession
+    spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(path)
+
+    def append(batch: DataFrame, _):
+        known = batch.sparkSession.read.schema(rows.schema).parquet(path).select("shipment_id")
+        batch.dropDuplicates(["shipment_id"]).join(known, "shipment_id", "left_anti").select(*rows.columns).write.mode("append").parquet(path)
+
+    query = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def bin_index(column: str, edges: list[float]):

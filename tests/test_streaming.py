@@ -29,7 +29,7 @@ def test_scoring_stream_is_once_per_shipment_and_resumes(spark):
     src, out = fresh_path(spark, "src"), fresh_path(spark, "out")
     def run():
         rows = streams.audit_stream(stream(spark, src), lambda d: d.withColumn("Delay_Risk_Probability", F.lit(0.3)))
-        streams.run_to_end(rows, out, out + "-state")
+        streams.run_audit(rows, out, out + "-state")
     feed(spark, src, [row(i, i) for i in range(6)] + [row(9, 1, sid="S1"), row(7, 2, weight=-1.0)])
     run()
     feed(spark, src, [row(i, i) for i in range(4, 8)])
@@ -39,6 +39,16 @@ def test_scoring_stream_is_once_per_shipment_and_resumes(spark):
     assert len(got.columns) == 22 and {r[0] for r in got.select("risk_level").distinct().collect()} == {"Medium Risk"}
 
 
+def test_late_decisions_are_kept(spark):
+    """Three files, the later ones two months older; all rows stay, whether read at once or one by one."""
+    src, out = fresh_path(spark, "src"), fresh_path(spark, "out")
+    for first, day in ((0, 90), (2, 30), (4, 0)):
+        feed(spark, src, [row(i, day) for i in (first, first + 1)] + [row(0, day)])
+        rows = streams.audit_stream(stream(spark, src), lambda d: d.withColumn("Delay_Risk_Probability", F.lit(0.3)))
+        streams.run_audit(rows, out, out + "-state")
+    assert sorted(r["shipment_id"] for r in spark.read.parquet(out).collect()) == [f"S{i}" for i in range(6)]
+
+
 def test_windows_close_on_the_watermark_and_drop_late_rows(spark):
     src, out = fresh_path(spark, "src"), fresh_path(spark, "out")
     def run():
