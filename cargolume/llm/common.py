@@ -5,6 +5,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargolume.session import fresh_path
+
 REGISTRY: dict = {}
 
 # A word: a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
@@ -23,13 +25,36 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes `df` to the shared folder and reads it back; then hints that the steps before are over.
+
+    Spark keeps a finished step's shuffle files until the driver's garbage collector finds its plan unused, which may
+    take half an hour. Every step here ends in a stored table, so nothing needs them; a collection frees their disk.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.stored_path = path
+    spark.sparkContext._jvm.System.gc()
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes stored tables, once all that was made from them is stored itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACES))
 
 
 def word_count(text: Column) -> Column:
@@ -120,3 +145,36 @@ def merge_repeats(batches):
 def repeated_tokens(packed: DataFrame) -> DataFrame:
     """Of `pack_repeats` rows of all tasks: the tokens that occur more than once in all."""
     return packed.repartition("block").sortWithinPartitions("block").mapInArrow(merge_repeats, "token long")
+
+
+def stored_tokens(texts: DataFrame, maker, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(k, tokens) of every row (k, text), the tokens that stand in the column more than once, and the table of both.
+
+    `maker` gives, once per task, a function from texts to their tokens (non-negative longs). One pass writes both
+    the tokens by row and each task's tokens packed in sorted blocks.
+    """
+    names, kind = ["k", "tokens", "block", "data"], texts.schema[0].dataType.simpleString()
+
+    def packed(held, k_type):
+        rows = pack_repeats(held)
+        return pa.RecordBatch.from_arrays([pa.nulls(len(rows), k_type), pa.nulls(len(rows), pa.list_(pa.int64())), rows.column(0), rows.column(1)], names)
+
+    def run(batches):
+        make, held, size, k_type = maker(), [], 0, None
+        for batch in batches:
+            k_type = batch.schema.field(0).type
+            for keys, part in text_slices(batch):
+                tokens = make(part)
+                offsets, n = pa.array(np.cumsum([0] + [len(t) for t in tokens]).astype(np.int32)), len(part)
+                flat = np.concatenate(tokens).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                held.append(flat)
+                size += len(flat)
+                if size > 2_000_000:
+                    yield packed(held, k_type)
+                    held, size = [], 0
+        if size:
+            yield packed(held, k_type)
+
+    rows = stored(texts.mapInArrow(run, f"k {kind}, tokens array<long>, block int, data binary"), label)
+    return rows.where("block IS NULL").select("k", "tokens"), repeated_tokens(rows.where("block IS NOT NULL").select("block", "data")), rows

@@ -9,8 +9,9 @@ otherwise. So a passage that many documents share makes no bucket.
 2. Tokens that occur once are found by merging packed sorted blocks, and dropped before anything is joined.
 3. Hubs: in each bucket (token and size band) every node meets the smallest node only. Verified links give
    components, so a group of thousands of copies is joined by that many pairs.
-4. Tiles: where a bucket still holds several components, its nodes are laid out in size-banded tiles (band and next
-   band); buckets of more than `TILE` rows are cut into block pairs. Only pairs of different components are compared.
+4. Tiles: where a bucket still holds several components, its nodes are compared by size and bitmap. Buckets of more
+   than `TILE` rows are laid out in size-banded tiles (a band and the next), and those again in pairs of blocks. Only
+   pairs of different components are compared.
 
 Pairs of 3 and 4 are screened by bitmaps: every bit set in one only is a shingle that the other lacks, which bounds the
 overlap from above. What is left is verified on sorted arrays of all shingles. Nothing is dropped but by those bounds.
@@ -29,15 +30,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolume.llm import common
-from cargolume.llm.common import pack_repeats, query, summed_blocks, table, text_slices
-from cargolume.session import materialise
+from cargolume.llm.common import discard, query, stored, stored_tokens, summed_blocks, table, text_slices
 
 SHINGLE = 5
 PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 256
-BITMAP_BITS = 1024
+LEAST_BITS, MOST_BITS = 512, 8192
 TILE = 512
 HUBS = 2             # hubs that a node is verified against
 BLOCK_TOKENS = 1 << 16
@@ -50,7 +49,7 @@ class WordHashes(dict):
     """Bytes of a word -> 64-bit hash, remembered."""
 
     def __missing__(self, word):
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -78,10 +77,37 @@ def node_of(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def width(n: int) -> int:
+    """Bits of the bitmap of a set of n shingles: sets of one size band have the same width, or the next."""
+    return min(max(LEAST_BITS, 1 << (n - 1).bit_length()), MOST_BITS) if n else LEAST_BITS
+
+
 def bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_BITS, bool)
-    bits[(s % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
+    size = width(len(s))
+    bits = np.zeros(size, bool)
+    bits[(s % np.uint64(size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(x: int, size: int, to: int) -> int:
+    """A bitmap of `size` bits brought down to `to`: the hash's low bits stay its place."""
+    while size > to:
+        size //= 2
+        x = (x & ((1 << size) - 1)) | (x >> size)
+    return x
+
+
+def may_link(n: int, x: int, m: int, y: int) -> bool:
+    """Whether bitmaps x and y of sets of n and m shingles allow the similarity.
+
+    A bit set on one side only is a shingle that the other side lacks.
+    """
+    wide, narrow = width(n), width(m)
+    if wide != narrow:
+        to = min(wide, narrow)
+        x, y = folded(x, wide, to), folded(y, narrow, to)
+    most = min(n - (x & ~y).bit_count(), m - (y & ~x).bit_count())
+    return (100 + PERCENT) * most >= PERCENT * (n + m)  # 100 * overlap >= 75 * (n + m - overlap)
 
 
 def prefix(s: np.ndarray, frequent: np.ndarray, bits: int) -> np.ndarray:
@@ -115,51 +141,25 @@ def signed(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             none = pa.nulls(len(parts))
             yield pa.RecordBatch.from_arrays(
                 [none.cast(id_type), none.cast(pa.binary()), none.cast(pa.int32()), none.cast(pa.binary()),
-                 pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+                 pa.array(range(len(parts)), pa.int32()), pa.array([p.astype(np.int32).tobytes() for p in parts], pa.binary())],
                 ["doc_id", "node", "n", "bitmap", "block", "data"])
 
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(run, SIGNED.format(id=kind)), "near-signatures")
-    counts = summed_blocks(rows.where("block IS NOT NULL").select("block", "data"), "int64")
+    rows = stored(docs.select("doc_id", "text").mapInArrow(run, SIGNED.format(id=kind)), "near-signatures")
+    counts = summed_blocks(rows.where("block IS NOT NULL").select("block", "data"), "int32")
     mean = counts.mean() if len(counts) else 0.0
     frequent = counts > mean + 6 * math.sqrt(mean) + 16 if len(counts) else np.zeros(1 << SKETCH_BITS, bool)
     return rows.where("block IS NULL").select("doc_id", "node", "n", "bitmap"), frequent
 
 
-def repeated_tokens(docs: DataFrame, shared, block_bits: int) -> DataFrame:
-    """Tokens that occur in two documents at least. Each task sends a token twice at most, packed in sorted blocks."""
+def tokens_of(docs: DataFrame, shared, block_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(k, tokens): every document's id and prefix; the tokens that two documents have at least; the table of both."""
     bits = 32 + block_bits
 
-    def run(batches):
-        hashes, held, size = WordHashes(), [], 0
-        for batch in batches:
-            for _, texts in text_slices(batch):
-                for t in texts:
-                    s = shingles(t, hashes)
-                    if len(s):
-                        held.append(prefix(s, shared.value, bits))
-                        size += len(held[-1])
-                if size > 4_000_000:
-                    yield pack_repeats(held)
-                    held, size = [], 0
-        if held:
-            yield pack_repeats(held)
-
-    return common.repeated_tokens(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"))
-
-
-def token_rows(docs: DataFrame, shared, block_bits: int) -> DataFrame:
-    """A row (doc_id, token) for each token of each document's prefix."""
-    bits, kind = 32 + block_bits, docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
+    def maker():
         hashes = WordHashes()
-        for batch in batches:
-            for keys, texts in text_slices(batch):
-                tokens = [prefix(s, shared.value, bits) if len(s := shingles(t, hashes)) else np.zeros(0, np.int64) for t in texts]
-                offsets = np.cumsum([0] + [len(t) for t in tokens]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(tokens)))], ["doc_id", "tokens"])
+        return lambda texts: [prefix(s, shared.value, bits) if len(s := shingles(t, hashes)) else np.zeros(0, np.int64) for t in texts]
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, tokens array<long>").select("doc_id", F.explode("tokens").alias("token"))
+    return stored_tokens(docs.select("doc_id", "text"), maker, "near-prefixes")
 
 
 def fits(a: str, b: str):
@@ -174,20 +174,17 @@ def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            if not len(batch):
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("bits_a", "bits_b"))
-            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
-            most = np.minimum(n - np.bitwise_count(x & ~y).sum(axis=1).astype(np.int64), m - np.bitwise_count(y & ~x).sum(axis=1).astype(np.int64))
-            # 100 * overlap >= 75 * (n + m - overlap)
-            keep = (100 + PERCENT) * most >= PERCENT * (n + m)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            n, x, m, y = (batch.column(c).to_pylist() for c in ("n_a", "bits_a", "n_b", "bits_b"))
+            keep = [may_link(i, int.from_bytes(u, "little"), j, int.from_bytes(v, "little")) for i, u, j, v in zip(n, x, m, y)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a binary, b binary")
 
 
-def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and compressed text of the given nodes (node, doc_id), stored."""
+def packed_texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node and compressed text of the nodes in `pairs`, stored; `nodes` has a doc_id for each."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = nodes.join(wanted, "node").select("node", "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pack(batches):
@@ -205,11 +202,13 @@ def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             keep = [node_of(shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"), hashes)) == n for n, p in zip(*(c.to_pylist() for c in batch.columns))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return materialise(met.mapInArrow(check, "node binary, packed binary").dropDuplicates(["node"]), "near-texts")
+    return stored(met.mapInArrow(check, "node binary, packed binary").dropDuplicates(["node"]), "near-texts")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets have the similarity, by exact intersection; stored."""
+    pairs = stored(pairs, "near-pairs")
+    texts = packed_texts(docs, nodes, pairs)
 
     def run(batches):
         hashes, unpack, sets = WordHashes(), zstandard.ZstdDecompressor(), {}
@@ -222,30 +221,33 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return sets[node]
 
         for batch in batches:
-            keep = []
-            for a, b, p, q in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = set_of(a, p), set_of(b, q)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for k in range(0, len(batch), 500):
+                part, keep = batch.slice(k, 500), []
+                for a, b, p, q in zip(*(c.to_pylist() for c in part.columns)):
+                    x, y = set_of(a, p), set_of(b, q)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     a = texts.select(F.col("node").alias("a"), F.col("packed").alias("p"))
     b = texts.select(F.col("node").alias("b"), F.col("packed").alias("q"))
     met = pairs.join(a, "a").join(b, "b").select("a", "b", "p", "q")
-    return materialise(met.mapInArrow(run, "a binary, b binary"), "near-links")
+    links = stored(met.mapInArrow(run, "a binary, b binary"), "near-links")
+    discard(pairs, texts)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
     """node and comp (the component's smallest node) of every node with a link, by min-label steps and jumps."""
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-edges")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp")), "near-labels")
+    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-edges")
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp")), "near-labels")
     while True:
         old = labels.select("node", "comp")
         near = both.join(old, F.col("b") == F.col("node")).groupBy("a").agg(F.min("comp").alias("next"))
         new = old.join(near, F.col("node") == F.col("a")).select("node", F.col("comp").alias("was"), F.least("comp", "next").alias("comp"))
         jump = old.select(F.col("node").alias("j"), F.col("comp").alias("jump"))
         new = new.join(jump, F.col("comp") == F.col("j")).select("node", "was", F.least("comp", "jump").alias("comp"))
-        labels = materialise(new, "near-labels")
+        labels = stored(new, "near-labels")
         if labels.where(F.col("was") != F.col("comp")).limit(1).count() == 0:
             return labels.select("node", "comp")
 
@@ -265,65 +267,64 @@ def band(size: str):
     return F.floor(F.log(F.col(size)) / math.log(100 / PERCENT) + 1e-9).cast("int")
 
 
-def tile_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a token and whose sizes allow the similarity.
+def tile_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a token, where sizes and bitmaps allow the similarity.
 
-    A tile holds the nodes of one band as owners and of the next as guests. A tile of more than TILE rows is cut into
-    blocks by node; every pair of blocks is a tile of its own.
+    A bucket of up to TILE rows is one tile. A larger one is dealt to a tile for each size band, with the nodes of the
+    band as owners and those of the next as guests; and a tile that is still larger is cut into blocks by node, every
+    pair of blocks being a tile of its own.
     """
-    placed = rows.withColumn("own", band("n")).select(
-        "token", "node", "n", "comp", F.explode(F.array(F.struct(F.col("own").alias("tile"), F.lit(True).alias("owner")),
-                                                         F.struct((F.col("own") - 1).alias("tile"), F.lit(False).alias("owner")))).alias("x")
-    ).select("token", "node", "n", "comp", "x.*")
-    sizes = placed.groupBy("token", "tile").agg(
-        F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("cuts"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-        F.max("owner").alias("owned")).where((F.col("low") != F.col("high")) & F.col("owned")).drop("low", "high", "owned")
-    met = placed.join(sizes, ["token", "tile"])
-    block = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
+    buckets = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    buckets = buckets.where(F.col("low") != F.col("high")).select("token", "rows")
+    open_ = rows.join(buckets, "token").withColumn("own", band("n"))
+    whole = F.array(F.struct(F.lit(-1).alias("tile"), F.lit(True).alias("owner")))
+    banded = F.array(F.struct(F.col("own").alias("tile"), F.lit(True).alias("owner")), F.struct((F.col("own") - 1).alias("tile"), F.lit(False).alias("owner")))
+    tiled = open_.select("token", "rows", "node", "n", "comp", F.explode(F.when(F.col("rows") <= TILE, whole).otherwise(banded)).alias("x"))
+    tiled = tiled.select("token", "rows", "node", "n", "comp", "x.*")
+    small = tiled.where("tile = -1").select("token", "tile", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "owner", "n", "node", "comp")
+    large = tiled.where("tile <> -1")
+    cuts = large.groupBy("token", "tile").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("cuts"))
+    large = large.join(cuts, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
-    cut = met.withColumn("block", block).select("token", "tile", "block", "owner", "node", "n", "comp", F.explode(others).alias("x"))
-    cut = cut.select("token", "tile", "x.i", "x.j", "block", "owner", "n", "node", "comp")
+    large = large.select("token", "tile", "block", "owner", "n", "node", "comp", F.explode(others).alias("x")).select(
+        "token", "tile", "x.i", "x.j", "block", "owner", "n", "node", "comp")
+    bits = nodes.select(F.col("node").alias("b_node"), "bitmap")
     key = ["token", "tile", "i", "j"]
-
-    def run(batches):
-        held, out, made = [], [], 0
-
-        def pairs_of(group):
-            _, _, i, j, block, owner, n, node, comp = group
-            owner, n, block = np.array(owner), np.array(n, np.int64), np.array(block)
-            _, comp_id = np.unique(np.array(comp, object), return_inverse=True)
-            keep = owner[:, None] | owner[None, :]
-            keep &= np.triu(np.ones((len(n), len(n)), bool), 1)
-            keep &= comp_id[:, None] != comp_id[None, :]
-            keep &= 100 * np.minimum.outer(n, n) >= PERCENT * np.maximum.outer(n, n)
-            if i[0] != j[0]:
-                keep &= block[:, None] != block[None, :]
-            for x, y in zip(*np.nonzero(keep)):
-                yield (node[x], node[y]) if node[x] < node[y] else (node[y], node[x])
-
-        def flush(group):
-            return list(pairs_of(list(zip(*group)))) if len(group) > 1 else []
-
-        now = None
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:4] != now:
-                    out += flush(held)
-                    held, now = [], row[:4]
-                    if len(out) > 20_000:
-                        yield as_batch(out)
-                        out = []
-                held.append(row)
-        out += flush(held)
-        if out:
-            yield as_batch(out)
+    tiles = small.unionByName(large).join(bits, F.col("node") == F.col("b_node")).drop("b_node")
+
+    def pairs_of(group):
+        """Of rows (i, j, block, owner, n, node, comp, bitmap), by size."""
+        group.sort(key=lambda r: r[4])
+        crossed = group[0][0] != group[0][1]
+        for k, (_, _, block, owner, n, node, comp, bits) in enumerate(group):
+            for _, _, block2, owner2, m, node2, comp2, bits2 in group[k + 1:]:
+                if 100 * n < PERCENT * m:
+                    break
+                if comp != comp2 and (owner or owner2) and (not crossed or block != block2) and may_link(n, bits, m, bits2):
+                    yield (node, node2) if node < node2 else (node2, node)
 
     def as_batch(found):
-        found = list(set(found))
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"])
 
-    tiles = cut.repartition(*key).sortWithinPartitions(*key)
-    return tiles.mapInArrow(run, "a binary, b binary").distinct()
+    def run(batches):
+        held, out, now = [], set(), None
+        for batch in batches:
+            for k in range(0, len(batch), 2_000):
+                for token, tile, *row in zip(*(c.to_pylist() for c in batch.slice(k, 2_000).columns)):
+                    if (token, tile, row[0], row[1]) != now:
+                        if len(held) > 1:
+                            out.update(pairs_of(held))
+                        held, now = [], (token, tile, row[0], row[1])
+                        if len(out) > 50_000:
+                            yield as_batch(list(out))
+                            out = set()
+                    row[7] = int.from_bytes(row[7], "little")
+                    held.append(row)
+        if len(held) > 1:
+            out.update(pairs_of(held))
+        yield as_batch(list(out))
+
+    return tiles.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -333,20 +334,22 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = spark.sparkContext.broadcast(frequent)
     total = signatures.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     block_bits = max(2, math.ceil(math.log2(max(total // 4, 1) / BLOCK_TOKENS + 1)))
-    nodes = materialise(signatures.where("n > 0").groupBy("node").agg(
+    nodes = stored(signatures.where("n > 0").groupBy("node").agg(
         F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("bitmap").alias("bitmap")), "near-nodes")
-    again = repeated_tokens(docs, shared, block_bits)
-    kept = materialise(token_rows(docs, shared, block_bits).join(again, "token"), "near-tokens")
+    tokens, again, both = tokens_of(docs, shared, block_bits)
+    kept = stored(tokens.select(F.col("k").alias("doc_id"), F.explode("tokens").alias("token")).join(again, "token"), "near-tokens")
+    discard(both)
     of_doc = signatures.select(F.col("doc_id").alias("d_id"), "node", "n")
     rows = kept.join(of_doc, F.col("doc_id").eqNullSafe(F.col("d_id"))).groupBy("token", "node").agg(F.min("n").alias("n"))
-    rows = materialise(rows, "near-rows")
-    several = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    involved = rows.join(several, "token").select("node").distinct()
-    texts = packed_texts(docs, nodes.join(involved, "node").select("node", "doc_id"))
-    links = verified(screened(hub_pairs(rows), nodes), texts)
+    rows = stored(rows, "near-rows")
+    discard(kept)
+    links = verified(screened(hub_pairs(rows), nodes), nodes, docs)
     first = components(links).withColumnRenamed("node", "c_node")
     placed = rows.join(first, F.col("node") == F.col("c_node"), "left").select("token", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    more = verified(screened(tile_pairs(materialise(placed, "near-placed")), nodes), texts)
+    placed = stored(placed, "near-placed")
+    discard(rows)
+    more = verified(tile_pairs(placed, nodes), nodes, docs)
+    discard(placed)
     return signatures.select("doc_id", "node", "n"), components(links.union(more))
 
 
