@@ -7,7 +7,7 @@ otherwise. So a passage that many documents share makes no bucket.
 
 1. One pass writes node, size and hashed bitmap of every document, and the sketch.
 2. Tokens that occur once are found by merging packed sorted blocks, and dropped before anything is joined.
-3. Hubs: in each bucket (token and size band) every node meets the smallest node only. Verified links give
+3. Hubs: in each bucket (token and size band) every node meets the most central node only. Verified links give
    components, so a group of thousands of copies is joined by that many pairs.
 4. Tiles: where a bucket still holds several components, its nodes are compared by size and bitmap. Buckets of more
    than `TILE` rows are laid out in size-banded tiles (a band and the next), and those again in pairs of blocks. Only
@@ -253,10 +253,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def hub_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): each node with the nodes that are smallest in most of its buckets."""
-    banded = rows.withColumn("band", band("n"))
-    smallest = banded.groupBy("token", "band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    met = banded.join(smallest, ["token", "band"]).where(F.col("node") != F.col("hub"))
+    """(a, b): each node with the hubs of most of its buckets.
+
+    A bucket's hub is its most central node, the one whose tokens are shared most. In a group of near copies that is
+    the text they come from, or the least changed one, so that most of the group links to it.
+    """
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    met = rows.join(shared, "token")
+    central = met.groupBy("node").agg(F.sum("k").alias("weight"))
+    banded = stored(met.join(central, "node").select("token", band("n").alias("band"), "node", "weight"), "near-buckets")
+    hubs = banded.groupBy("token", "band").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
+    met = banded.join(hubs, ["token", "band"]).where(F.col("node") != F.col("hub"))
     counted = met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("k"))
     best = counted.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "hub")), asc=False), 1, HUBS).alias("best"))
     return best.select(F.explode("best").alias("x"), "node").select(F.col("x.hub").alias("a"), F.col("node").alias("b"))
