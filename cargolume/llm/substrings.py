@@ -31,14 +31,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import pack_repeats, query, repeated_tokens, table, text_slices
-from cargolume.session import materialise
+from cargolume.llm.common import discard, query, stored, stored_tokens, table, text_slices
 
 LENGTH = 200
 GRAM = 64            # a power of two
-MOST = 1_000         # contexts of one anchor whose windows one task sorts
-PART = 1 << 20       # window starts handled at once
-WINDOWS = 40_000     # windows sorted at once
+MOST = 2_000         # contexts of one anchor whose windows one task sorts
+PART = 1 << 19       # window starts handled at once
+WINDOWS = 20_000     # windows sorted at once
 BLOCK_TOKENS = 1 << 16
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -112,39 +111,21 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
 
 
-def repeated_anchors(docs: DataFrame, bits: int) -> DataFrame:
-    def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            for _, texts in text_slices(batch):
-                _, _, token = anchors(*joined(encoded(texts)))
-                held.append(token >> (63 - bits))
-                size += len(token)
-                if size > 4_000_000:
-                    yield pack_repeats(held)
-                    held, size = [], 0
-        if size:
-            yield pack_repeats(held)
-
-    return repeated_tokens(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"))
+def anchors_of(docs: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(k, tokens): every text's anchors, each twice at most; the anchors that stand somewhere else too; the table of both."""
+    def tokens_of(texts):
+        data, ends = joined(encoded(texts))
+        start, _, token = anchors(data, ends)
+        cuts = per_text(start, ends)
+        out = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            x = np.sort(token[a:b] >> (63 - bits))
+            more = np.zeros(len(x), bool)
+            more[2:] = x[2:] == x[:-2]
+            out.append(x[~more])
+        return out
 
-
-def anchors_of_texts(docs: DataFrame, bits: int) -> DataFrame:
-    """A row (k, token, m) for each anchor token of a text; m is 2 if it is there several times."""
-    def run(batches):
-        for batch in batches:
-            for keys, texts in text_slices(batch):
-                data, ends = joined(encoded(texts))
-                start, _, token = anchors(data, ends)
-                cuts = per_text(start, ends)
-                each = [np.unique(token[a:b] >> (63 - bits), return_counts=True) for a, b in zip(cuts[:-1], cuts[1:])]
-                offsets = pa.array(np.cumsum([0] + [len(x) for x, _ in each]).astype(np.int32))
-                values = np.concatenate([x * 2 + (c > 1) for x, c in each])
-                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int64)))], ["k", "tokens"])
-
-    rows = docs.select(F.struct("doc_id", "t").alias("k"), "text").mapInArrow(run, f"k {key_type(docs)}, tokens array<long>")
-    rows = rows.select("k.doc_id", "k.t", F.explode("tokens").alias("x"))
-    return rows.select("doc_id", "t", F.shiftright("x", 1).alias("token"), (F.col("x") % 2 + 1).alias("m"))
+    return stored_tokens(docs.select(F.struct("doc_id", "t").alias("k"), "text"), lambda: tokens_of, "repeat-tokens")
 
 
 def key_type(docs: DataFrame) -> str:
@@ -163,7 +144,14 @@ def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = long.select(F.struct("doc_id", "t").alias("k"), "text").mapInArrow(pack, f"k {key_type(docs)}, packed binary")
     texts = texts.select(F.col("k.doc_id").alias("x_id"), F.col("k.t").alias("x_t"), "packed")
     met = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("t") == F.col("x_t")))
-    return materialise(met.select("doc_id", "t", "tokens", "packed").dropDuplicates(["doc_id", "t"]), "repeat-texts")
+    return stored(met.select("doc_id", "t", "tokens", "packed").dropDuplicates(["doc_id", "t"]), "repeat-texts")
+
+
+def rows_of(batches, step=100):
+    """Rows of Arrow batches as Python values, a few at a time."""
+    for batch in batches:
+        for k in range(0, len(batch), step):
+            yield from zip(*(c.to_pylist() for c in batch.slice(k, step).columns))
 
 
 def batch_of(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -182,7 +170,7 @@ def contexts(texts: DataFrame, bits: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             kinds, out = [batch.schema.field(0).type, pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()], []
-            for key, tokens, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, tokens, packed in rows_of([batch]):
                 raw = unpack.decompress(packed)
                 start, count, token = anchors(np.frombuffer(raw, np.uint8), np.array([len(raw)]))
                 token = token >> (63 - bits)
@@ -198,7 +186,7 @@ def contexts(texts: DataFrame, bits: int) -> DataFrame:
 
     rows = texts.select(F.struct("doc_id", "t").alias("k"), "tokens", "packed").mapInArrow(
         run, f"k {key_type(texts)}, token long, cid binary, count int, s int, starts binary")
-    return materialise(rows.select("token", "cid", "count", "k.doc_id", "k.t", "s", "starts"), "repeat-contexts")
+    return stored(rows.select("token", "cid", "count", "k.doc_id", "k.t", "s", "starts"), "repeat-contexts")
 
 
 EXAMPLE = {"token": pa.int64(), "cid": pa.binary(), "count": pa.int32(), "copies": pa.int64(), "place": pa.string(), "k": pa.int64(), "bytes": pa.binary()}
@@ -207,12 +195,14 @@ EXAMPLE = {"token": pa.int64(), "cid": pa.binary(), "count": pa.int32(), "copies
 def context_bytes(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     """The first example of each context (token, cid, count, copies, k) with its bytes and its place in text order."""
     def run(batches):
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for asked, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = unpack.decompress(packed)
-                yield batch_of([(a["token"], a["cid"], a["count"], a["copies"], a["place"], a["k"], raw[a["s"]:a["s"] + a["count"] - 1 + LENGTH])
-                                for a in asked], list(EXAMPLE), list(EXAMPLE.values()))
+        unpack, out = zstandard.ZstdDecompressor(), []
+        for asked, packed in rows_of(batches):
+            raw = unpack.decompress(packed)
+            out += [(a["token"], a["cid"], a["count"], a["copies"], a["place"], a["k"], raw[a["s"]:a["s"] + a["count"] - 1 + LENGTH]) for a in asked]
+            if len(out) > 2_000:
+                yield batch_of(out, list(EXAMPLE), list(EXAMPLE.values()))
+                out = []
+        yield batch_of(out, list(EXAMPLE), list(EXAMPLE.values()))
 
     # Places as text of equal length, in the order of (doc_id, t, start): a null id first, then negative ids.
     doc = F.col("first.doc_id")
@@ -270,14 +260,13 @@ def flagged(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         held, size, now = [], 0, None
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != now and size > WINDOWS:
-                    yield flush(held)
-                    held, size = [], 0
-                now = row[0]
-                held.append(row)
-                size += row[2]
+        for row in rows_of(batches, 1_000):
+            if row[0] != now and size > WINDOWS:
+                yield flush(held)
+                held, size = [], 0
+            now = row[0]
+            held.append(row)
+            size += row[2]
         if held:
             yield flush(held)
 
@@ -288,8 +277,8 @@ def flagged(rows: DataFrame) -> DataFrame:
 def flagged_by_window(rows: DataFrame, most: int) -> DataFrame:
     """The same for anchors with many contexts, dealt by (token, part of the windows' hashes).
 
-    A task sends each different window once, with its count and first place. What is repeated comes back by a join on
-    (token, part), where every context has one row.
+    A task sends each different window once, with its count and first place. What is repeated goes back to the contexts
+    by (token, part).
     """
     names = ["token", "part", "cid", "count", "copies", "place", "at", "hashes"]
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
@@ -300,15 +289,17 @@ def flagged_by_window(rows: DataFrame, most: int) -> DataFrame:
             yield hashes[16 * j:16 * j + 16], o, f"{place[:-12]}{int(place[-12:]) + o:012d}"
 
     def split(batches):
-        for batch in batches:
-            out = []
-            for token, cid, count, copies, place, k, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                parts, cuts = {}, k // most + 1
-                for o in range(count):
-                    h = xxhash.xxh3_128_digest(raw[o:o + LENGTH])
-                    parts.setdefault(int.from_bytes(h[:4], "big") % cuts, []).append((o, h))
-                out += [(token, part, cid, count, copies, place, np.array([o for o, _ in p], np.int16).tobytes(), b"".join(h for _, h in p)) for part, p in parts.items()]
-            yield batch_of(out, names, kinds)
+        out = []
+        for token, cid, count, copies, place, k, raw in rows_of(batches):
+            parts, cuts = {}, k // most + 1
+            for o in range(count):
+                h = xxhash.xxh3_128_digest(raw[o:o + LENGTH])
+                parts.setdefault(int.from_bytes(h[:4], "big") % cuts, []).append((o, h))
+            out += [(token, part, cid, count, copies, place, np.array([o for o, _ in p], np.int16).tobytes(), b"".join(h for _, h in p)) for part, p in parts.items()]
+            if len(out) > 2_000:
+                yield batch_of(out, names, kinds)
+                out = []
+        yield batch_of(out, names, kinds)
 
     def partial(batches):
         found = {}
@@ -316,35 +307,49 @@ def flagged_by_window(rows: DataFrame, most: int) -> DataFrame:
         def emit():
             return batch_of([(*key, *v) for key, v in found.items()], ["token", "part", "hash", "copies", "place"], [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.string()])
 
-        for batch in batches:
-            for token, part, copies, place, at, hashes in zip(*(c.to_pylist() for c in batch.columns)):
-                for h, _, p in windows_of(at, hashes, place):
-                    n, first = found.get((token, part, h), (0, p))
-                    found[token, part, h] = (n + copies, min(first, p))
-                if len(found) > 200_000:
-                    yield emit()
-                    found = {}
+        for token, part, copies, place, at, hashes in rows_of(batches):
+            for h, _, p in windows_of(at, hashes, place):
+                n, first = found.get((token, part, h), (0, p))
+                found[token, part, h] = (n + copies, min(first, p))
+            if len(found) > 100_000:
+                yield emit()
+                found = {}
         yield emit()
 
     def mark(batches):
-        for batch in batches:
-            out = []
-            for token, cid, count, place, at, hashes, known in zip(*(c.to_pylist() for c in batch.columns)):
+        """Rows by (token, part, salt): first what is known of the group, then its contexts."""
+        names, kinds, out, first = ["token", "cid", "count", "repeated", "owned"], [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()], [], {}
+        for token, cid, count, place, at, hashes, known in rows_of(batches, 20):
+            if known is not None:
                 first = {x["hash"]: x["first"] for x in known}
-                repeated, owned = np.zeros(count, bool), np.zeros(count, bool)
-                for h, o, p in windows_of(at, hashes, place):
-                    repeated[o], owned[o] = h in first, first.get(h) == p
-                out.append((token, cid, count, np.packbits(repeated).tobytes(), np.packbits(owned).tobytes()))
-            yield batch_of(out, ["token", "cid", "count", "repeated", "owned"], [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()])
+                continue
+            repeated, owned = np.zeros(count, bool), np.zeros(count, bool)
+            for h, o, p in windows_of(at, hashes, place):
+                repeated[o], owned[o] = h in first, first.get(h) == p
+            out.append((token, cid, count, np.packbits(repeated).tobytes(), np.packbits(owned).tobytes()))
+            if len(out) > 2_000:
+                yield batch_of(out, names, kinds)
+                out = []
+        yield batch_of(out, names, kinds)
 
-    kept = materialise(rows.select(*EXAMPLE).mapInArrow(
+    kept = stored(rows.select(*EXAMPLE).mapInArrow(
         split, "token long, part int, cid binary, count int, copies long, place string, at binary, hashes binary"), "repeat-windows")
     windows = kept.select("token", "part", "copies", "place", "at", "hashes").mapInArrow(
         partial, "token long, part int, hash binary, copies long, place string")
     again = windows.groupBy("token", "part", "hash").agg(F.sum("copies").alias("times"), F.min("place").alias("first")).where("times > 1")
-    known = again.groupBy("token", "part").agg(F.collect_list(F.struct("hash", "first")).alias("known"))
-    met = kept.join(known, ["token", "part"])
-    return met.select("token", "cid", "count", "place", "at", "hashes", "known").mapInArrow(mark, FLAGS)
+    again = again.groupBy("token", "part").agg(F.collect_list(F.struct("hash", "first")).alias("known"))
+    # A part's contexts are dealt by salt, about `most` to a task; each of these gets what is known of the part.
+    salts = kept.groupBy("token", "part").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("salts"))
+    known = stored(again.join(salts, ["token", "part"]), "repeat-known")
+    none = F.lit(None)
+    heads = known.select("token", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), none.cast("binary").alias("cid"), none.cast("int").alias("count"),
+                         none.cast("string").alias("place"), none.cast("binary").alias("at"), none.cast("binary").alias("hashes"), "known", F.lit(0).alias("kind"))
+    tails = kept.join(known.select("token", "part", "salts"), ["token", "part"]).select(
+        "token", "part", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int").alias("salt"), "cid", "count", "place", "at", "hashes",
+        none.cast(known.schema["known"].dataType).alias("known"), F.lit(1).alias("kind"))
+    key = ["token", "part", "salt"]
+    dealt = heads.unionByName(tails).repartition(*key).sortWithinPartitions(*key, "kind")
+    return dealt.select("token", "cid", "count", "place", "at", "hashes", "known").mapInArrow(mark, FLAGS)
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
@@ -385,14 +390,18 @@ def removals(docs: DataFrame, keep="none", most=MOST) -> DataFrame:
     total = d.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = 32 + max(2, math.ceil(math.log2(total / 70 / BLOCK_TOKENS + 1)))  # an anchor in about 70 bytes
     sources = copies_of(docs).where("is_first").select(F.col("doc_id").alias("r_id"), F.col("t").alias("r_t")).distinct()
-    kept = anchors_of_texts(d, bits).join(repeated_anchors(d, bits), "token")
+    tokens, again, both = anchors_of(d, bits)
+    kept = tokens.select("k.doc_id", "k.t", F.explode("tokens").alias("token")).join(again, "token")
     kept = kept.join(sources, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("t") == F.col("r_t")))
-    kept = materialise(kept.select("doc_id", "t", "token", "m"), "repeat-anchors").distinct()
+    anchored = stored(kept.select("doc_id", "t", "token"), "repeat-anchors")
+    discard(both)
+    kept = anchored.groupBy("doc_id", "t", "token").agg(F.count(F.lit(1)).alias("m"))
     several = kept.groupBy("token").agg(F.sum("m").alias("m")).where("m > 1").select("token")
     texts = with_texts(d, kept.join(several, "token").groupBy("doc_id", "t").agg(F.collect_list("token").alias("tokens")))
+    discard(anchored)
 
     found, place = contexts(texts, bits), F.struct("doc_id", "t", "s")
-    distinct = materialise(found.groupBy("token", "cid", "count").agg(
+    distinct = stored(found.groupBy("token", "cid", "count").agg(
         F.min(place).alias("first"), F.sum(F.octet_length("starts") / 4).cast("long").alias("copies")), "repeat-distinct")
     dealt = distinct.join(distinct.groupBy("token").agg(F.count(F.lit(1)).alias("k")), "token")
     nothing = F.lit(None).cast("binary")
