@@ -20,8 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import blocks, held_out, query, summed_blocks, table, text_slices
-from cargolume.session import materialise
+from cargolume.llm.common import blocks, held_out, query, stored, summed_blocks, table, text_slices
 
 GRAMS = 1 << 16
 ORDERS = 3
@@ -147,7 +146,7 @@ def softmax(z):
 
 def fit(docs: DataFrame) -> Model | None:
     """A model of the languages in `docs` (doc_id, text, lang); None if there is none."""
-    rows = materialise(training_rows(docs), "language-sample")
+    rows = stored(training_rows(docs), "language-sample")
     rows = rows.orderBy("draw", "doc_id", "lang")
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
     if not langs:
