@@ -20,8 +20,7 @@ with the text that is left; an empty table gives no rows.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import WORD, query, table, words
-from cargolume.session import materialise
+from cargolume.llm.common import discard, query, stored, table, words
 
 NEAR_WORDS = 8
 MODULUS = 2**61 - 1
@@ -33,10 +32,10 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """A row per line with words: doc_id, t, line, w (the words) and key, their digest."""
-    rows = keyed(docs).select("doc_id", "t", F.posexplode(F.split("text", "\n")).alias("line", "raw")).where(F.col("raw").rlike(WORD))
-    rows = rows.select("doc_id", "t", "line", words(F.col("raw")).alias("w"))
-    return rows.withColumn("key", F.unhex(F.md5(F.array_join("w", " "))))
+    """A row per line with words, stored: doc_id, t, line, key (digest of the words) and screens."""
+    rows = keyed(docs).select("doc_id", "t", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    rows = rows.select("doc_id", "t", "line", words(F.col("raw")).alias("w")).where(F.size("w") > 0)
+    return stored(rows.select("doc_id", "t", "line", F.unhex(F.md5(F.array_join("w", " "))).alias("key"), screens(F.col("w")).alias("screens")), "lines")
 
 
 def screens(w: Column) -> Column:
@@ -54,9 +53,9 @@ def screens(w: Column) -> Column:
     return F.when(n < NEAR_WORDS - 1, F.array().cast("array<long>")).when(n == 2 * half, F.array(*ends(half), *ends(quarter))).otherwise(F.array(*ends(half)))
 
 
-def first_lines(docs: DataFrame) -> DataFrame:
+def first_lines(rows: DataFrame) -> DataFrame:
     """The earliest of equal lines: key, doc_id, line, t, screens."""
-    rows = lines_of(docs).select("key", F.struct("doc_id", "line", "t", screens(F.col("w")).alias("screens")).alias("place"))
+    rows = rows.select("key", F.struct("doc_id", "line", "t", "screens").alias("place"))
     return rows.groupBy("key").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies")).select("key", "place.*", "copies")
 
 
@@ -139,24 +138,28 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 
 def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """key of every line with an earlier line within the bound."""
-    lines = materialise(near_candidates(firsts, docs), "line-candidates")
+    """key of every line with an earlier line within the bound, stored."""
+    lines = stored(near_candidates(firsts, docs), "line-candidates")
     found = earliest_partners(variants(lines))
     x = lines.select("doc_id", "line", "key", "w")
     y = lines.select(F.col("doc_id").alias("y_id"), F.col("line").alias("y_line"), F.col("w").alias("y_w"))
     f = found.select(F.col("doc_id").alias("f_id"), F.col("line").alias("f_line"), "p")
     both = x.join(f, x.doc_id.eqNullSafe(F.col("f_id")) & (x.line == F.col("f_line"))).join(
         y, F.col("p.doc_id").eqNullSafe(F.col("y_id")) & (F.col("p.line") == F.col("y_line")))
-    return both.where(within_one_edit(F.col("w"), F.col("y_w"))).select("key").distinct()
+    near = stored(both.where(within_one_edit(F.col("w"), F.col("y_w"))).select("key").distinct(), "line-near")
+    discard(lines)
+    return near
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, t and `gone`, the numbers of the lines to remove, for documents that lose any."""
-    firsts = materialise(first_lines(docs), "line-firsts")
+    rows = lines_of(docs)
+    firsts = stored(first_lines(rows), "line-firsts")
     near = near_lines(firsts, docs).withColumn("near", F.lit(True))
     known = firsts.join(near, "key", "left").where((F.col("copies") > 1) | F.col("near"))
-    known = known.select("key", F.struct("doc_id", "line").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
-    hits = lines_of(docs).select("doc_id", "t", "line", "key").join(known, "key")
+    known = stored(known.select("key", F.struct("doc_id", "line").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "line-known")
+    discard(firsts)
+    hits = rows.select("doc_id", "t", "line", "key").join(known, "key")
     hits = hits.where(F.col("near") | (F.struct("doc_id", "line") > F.col("first")))
     return hits.groupBy("doc_id", "t").agg(F.collect_set("line").alias("gone"))
 

@@ -16,8 +16,7 @@ doc_id get the same draw; an empty table gives no rows; a source without words g
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import query, table, word_count
-from cargolume.session import materialise
+from cargolume.llm.common import query, stored, table, word_count
 
 WEIGHTS = (5, 2, 1)  # by order of the source's name, repeating
 SHARE = 1.5          # of all words
@@ -79,7 +78,7 @@ def uses():
 
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, seed=SEED) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, times, taken (words, repeats counted)."""
-    sizes = materialise(measured(docs, seed), "mix-sizes")
+    sizes = stored(measured(docs, seed), "mix-sizes")
     cuts = source_cuts(sizes, weights, share, epochs)
     return sizes.join(cuts, F.col("source").eqNullSafe(F.col("t_source"))).select(
         "doc_id", "source", "size", "source_size", "target", uses().alias("times"), (F.col("size") * uses()).alias("taken"))
@@ -87,7 +86,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, seed=SEED)
 
 def repeat_documents(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, seed=SEED) -> DataFrame:
     """The mix itself: every row of `docs`, with all its columns, as often as the mix uses it."""
-    sizes = materialise(measured(docs, seed), "mix-sizes")
+    sizes = stored(measured(docs, seed), "mix-sizes")
     cuts = source_cuts(sizes, weights, share, epochs).select("t_source", "whole", "cut")
     row = docs.select("source", hash_cell(seed).alias("cell"), F.struct(*docs.columns).alias("row"))
     used = row.join(cuts, F.col("source").eqNullSafe(F.col("t_source")))

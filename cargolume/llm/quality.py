@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import blocks, held_out, query, summed_blocks, table, text_slices
-from cargolume.session import materialise
+from cargolume.llm.common import blocks, held_out, query, stored, summed_blocks, table, text_slices
 
 TRAIN_ROWS = 20_000
 WORDS = 1 << 15        # rows of the word table
@@ -175,7 +174,7 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    sample = materialise(training_rows(docs, labels), "quality-sample")
+    sample = stored(training_rows(docs, labels), "quality-sample")
     vectors = word_table(context_sums(sample))
     shared = sample.sparkSession.sparkContext.broadcast(vectors)
 

@@ -17,8 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import WORD, query, table, words
-from cargolume.session import materialise
+from cargolume.llm.common import WORD, query, stored, table, words
 
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -99,7 +98,7 @@ def posterior(votes, share, accuracy) -> float:
 
 def judged(docs: DataFrame) -> DataFrame:
     """The counts of every document with votes, `quality` (posterior), base_failed and kept."""
-    votes = materialise(voted(counted(docs)), "rule-votes")
+    votes = stored(voted(counted(docs)), "rule-votes")
     names = [f"v_{n}" for n in RULES]
     patterns = [tuple(r) for r in votes.groupBy(*names).count().collect()]
     share, accuracy = fit(sorted(patterns))

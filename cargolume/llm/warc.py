@@ -28,8 +28,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolume.llm.common import query, table
-from cargolume.session import fresh_path, materialise
+from cargolume.llm.common import query, stored, table
+from cargolume.session import fresh_path
 
 FRAME = 256 << 10
 BUNDLE = 16 << 20
@@ -168,7 +168,7 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     spark = pages.sparkSession
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
-    return materialise(with_kinds(pages).mapInArrow(run, INDEX), "warc-index")
+    return stored(with_kinds(pages).mapInArrow(run, INDEX), "warc-index")
 
 
 def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
