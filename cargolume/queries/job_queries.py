@@ -274,23 +274,23 @@ def event_drift(spark, sf):
     return _as_days(streams.bin_counts(events.withColumn("event_time", day), "value", [5.0, 10.0, 20.0], width="5 days"))
 
 
-# --- models: all folds, members, features and repeats; fewer and shallower trees keep a whole-table run short ---
+# --- models: all trees, depth, folds, members, features and repeats of the operator's defaults ---
 
-SMALL = model.ModelSettings(trees=4, depth=3)
+FULL = model.ModelSettings()
 
 
-def _prepared(spark, sf, settings=SMALL):
+def _prepared(spark, sf, settings=FULL):
     return model.prepare(dated(spark, sf, ["Vendor_ID", *FEATURES]), settings)
 
 
 @query("walk_forward_scores")
 def walk_forward_scores(spark, sf):
-    return model.walk_forward(_prepared(spark, sf), SMALL).select("Shipment_ID", "probability", "warm_up")
+    return model.walk_forward(_prepared(spark, sf), FULL).select("Shipment_ID", "probability", "warm_up")
 
 
 @query("walk_forward_quality")
 def walk_forward_quality(spark, sf):
-    walked = materialise(model.walk_forward(_prepared(spark, sf), SMALL, fallback=False), "walk")
+    walked = materialise(model.walk_forward(_prepared(spark, sf), FULL, fallback=False), "walk")
     return model.chronological_cv(walked)
 
 
@@ -305,47 +305,45 @@ def merged_scores(spark, sf):
 
 @query("chronological_evaluation")
 def chronological_evaluation(spark, sf):
-    _, test = model.chronological_evaluation(_prepared(spark, sf), SMALL)
+    _, test = model.chronological_evaluation(_prepared(spark, sf), FULL)
     return metrics.classification_report(test, "probability")
 
 
 @query("split_strategies")
 def split_strategies(spark, sf):
-    return model.compare_split_strategies(_prepared(spark, sf), SMALL)
+    return model.compare_split_strategies(_prepared(spark, sf), FULL)
 
 
 @query("scoring_regimes")
 def scoring_regimes(spark, sf):
-    return model.scoring_regimes(_prepared(spark, sf), SMALL)
+    return model.scoring_regimes(_prepared(spark, sf), FULL)
 
 
 @query("feature_ablation")
 def feature_ablation(spark, sf):
-    settings = model.ModelSettings(trees=4, depth=3, method="none")
-    return model.feature_ablation(materialise(dated(spark, sf, ["Vendor_ID", *FEATURES]), "ablation"), settings)
+    return model.feature_ablation(materialise(dated(spark, sf, ["Vendor_ID", *FEATURES]), "ablation"), FULL)
 
 
 @query("calibration_methods")
 def calibration_methods(spark, sf):
-    settings = model.ModelSettings(trees=2, depth=2)
-    return model.calibration_methods(_prepared(spark, sf, settings), settings)
+    return model.calibration_methods(_prepared(spark, sf), FULL)
 
 
 @query("impurity_importance")
 def impurity_importance(spark, sf):
-    return model.impurity_importance(spark, model.fit_model(_prepared(spark, sf), SMALL))
+    return model.impurity_importance(spark, model.fit_model(_prepared(spark, sf), FULL))
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    fitted, test = model.chronological_evaluation(_prepared(spark, sf), SMALL)
+    fitted, test = model.chronological_evaluation(_prepared(spark, sf), FULL)
     return model.permutation_importance(fitted, test)
 
 
 @query("saved_model_check")
 def saved_model_check(spark, sf):
     prepared = _prepared(spark, sf)
-    fitted, path = model.fit_model(prepared, SMALL), fresh_path(spark, "model")
+    fitted, path = model.fit_model(prepared, FULL), fresh_path(spark, "model")
     fitted.save(path)
     return model.verify_saved(spark, path, fitted, prepared.drop("features"))
 
@@ -355,7 +353,7 @@ def batch_scores(spark, sf):
     """Shipments file in, scored file out, by a saved model, with the audit log."""
     prepared = _prepared(spark, sf)
     folder = fresh_path(spark, "score")
-    model.fit_model(prepared, SMALL).save(f"{folder}/model")
+    model.fit_model(prepared, FULL).save(f"{folder}/model")
     prepared.select("Shipment_ID", "Vendor_ID", *FEATURES).write.parquet(f"{folder}/in")
     return jobs.run_batch_scoring(spark, f"{folder}/model", f"{folder}/in", f"{folder}/out", f"{folder}/audit")
 
@@ -372,7 +370,7 @@ def batch_decisions(spark, sf):
 def raw_vehicle_guard(spark, sf):
     """The guard on the model's own counterfactual scores."""
     prepared = _prepared(spark, sf)
-    fitted = model.fit_model(prepared, SMALL)
+    fitted = model.fit_model(prepared, FULL)
     grid = panels.counterfactual_grid(prepared.select("Shipment_ID", *FEATURES))
     return panels.vehicle_guard(fitted.transform(grid, "p"))
 
@@ -381,10 +379,9 @@ def raw_vehicle_guard(spark, sf):
 def training_run(spark, sf):
     """All training stages; the run's metadata document as it was stored."""
     folder = fresh_path(spark, "training")
-    settings = model.ModelSettings(trees=2, depth=2)
     stored = fresh_path(spark, "star")
     writers.write_star(star_tables(spark, sf), stored)
-    jobs.run_training(readers.load_star(spark, stored), folder, "all", settings)
+    jobs.run_training(readers.load_star(spark, stored), folder, "all", FULL)
     return spark.read.json(f"{folder}/metadata")
 
 
