@@ -1,14 +1,14 @@
 """Quality classifier: random-indexing word vectors pooled per document, and a two-layer network.
 
 Random indexing gives every word (hashed to one of `WORDS` rows) a sparse ternary index vector that follows from its
-row alone, and a context vector: its own index vectors plus those of its neighbours, added up over the training
-documents. A document is pooled to the mean of its words' normalised context vectors, that mean's length and the
+row alone, and a context vector: its own index vectors plus those of its neighbours, added up over all documents,
+labelled or not, but those held out. A document is pooled to the mean of its words' normalised context vectors, that mean's length and the
 logarithm of its word count. A network of one hidden layer is trained on those in numpy, and its logits are divided
 by a temperature fitted on rows that training did not see.
 
-The fit uses at most `TRAIN_ROWS` labelled documents, those with the smallest seeded hashes; everything that
-grows with the corpus (pooling, scoring) runs in Spark tasks, and context vectors are added up in blocks. Sums are
-whole numbers, so that a fit does not depend on the order of tasks.
+The network and the temperature are fitted on at most `TRAIN_ROWS` labelled documents, those with the smallest seeded
+hashes; everything that grows with the corpus (context vectors, pooling, scoring) runs in Spark tasks, and context
+vectors are added up in blocks. Sums are whole numbers, so that a fit does not depend on the order of tasks.
 
 Defined results: null and empty texts are documents without words, scored like any other; several labels of one id
 count as their mean, null labels not at all; with no labelled row, or one class only, the score is the share of label
@@ -17,6 +17,7 @@ count as their mean, null labels not at all; with no labelled row, or one class
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,22 +48,27 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, DIMENSIONS, (WORDS, NONZERO)), rng.choice(np.array([-1, 1]), (WORDS, NONZERO))
 
 
+class Seen(dict):
+    """Word -> its row of the word table, remembered."""
+
+    def __missing__(self, word):
+        self[word] = row = zlib.crc32(word.encode()) & (WORDS - 1)
+        return row
+
+
 class Words:
     """Texts to rows of the word table; remembers the words that a worker has seen."""
 
     def __init__(self):
-        self.seen: dict[str, int] = {}
+        self.seen = Seen()
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All words of the texts in order, and where each text begins (one more for the end)."""
         if len(self.seen) > 500_000:
             self.seen.clear()
         found = [TOKEN.findall(t) for t in texts]
-        for w in set().union(*found).difference(self.seen):
-            self.seen[w] = zlib.crc32(w.encode()) & (WORDS - 1)
-        get = self.seen.__getitem__
         ends = np.cumsum([0] + [len(f) for f in found])
-        return np.fromiter((r for f in found for r in map(get, f)), np.int64, int(ends[-1])), ends
+        return np.fromiter(map(self.seen.__getitem__, chain.from_iterable(found)), np.int64, int(ends[-1])), ends
 
 
 def context_sums(docs: DataFrame) -> np.ndarray:
@@ -70,19 +76,26 @@ def context_sums(docs: DataFrame) -> np.ndarray:
 
     def run(batches):
         at, sign = index_vectors()
-        words, sums = Words(), np.zeros(WORDS * DIMENSIONS, np.int64)
+        # A row of counts has a slot per dimension for each sign, so that one unweighted count serves both.
+        wide = 2 * DIMENSIONS
+        slot = [np.ascontiguousarray(at[:, k] + DIMENSIONS * (sign[:, k] < 0)) for k in range(NONZERO)]
+        words, counts = Words(), np.zeros(WORDS * wide, np.int64)
         for batch in batches:
             for _, texts in text_slices(batch):
                 rows, ends = words.rows(texts)
-                text = np.repeat(np.arange(len(texts)), np.diff(ends))
-                for shift in range(WINDOW + 1):
-                    a, b = rows[:len(rows) - shift], rows[shift:]
-                    inside = text[:len(rows) - shift] == text[shift:]
-                    a, b = a[inside], b[inside]
-                    for x, y in ((a, b), (b, a))[:1 if shift == 0 else 2]:
-                        for k in range(NONZERO):
-                            key = x * DIMENSIONS + at[y, k]
-                            sums += np.bincount(key, sign[y, k], len(sums)).astype(np.int64)
+                text, base = np.repeat(np.arange(len(texts)), np.diff(ends)), rows * wide
+                for k in range(0, len(rows), 200_000):  # bounded, also for one very long document
+                    keys = []
+                    for shift in range(WINDOW + 1):
+                        to = min(k + 200_000, len(rows) - shift)
+                        x, y = slice(k, max(to, k)), slice(k + shift, max(to, k) + shift)
+                        inside = text[x] == text[y]
+                        for a, b in ((x, y), (y, x))[:1 if shift == 0 else 2]:
+                            first, second = base[a][inside], rows[b][inside]
+                            keys += [first + s[second] for s in slot]
+                    counts += np.bincount(np.concatenate(keys), minlength=len(counts))
+        each = counts.reshape(WORDS, 2, DIMENSIONS)
+        sums = (each[:, 0] - each[:, 1]).ravel()
         yield blocks(sums, 64)
 
     sums = summed_blocks(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"), "int64")
@@ -90,7 +103,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
 
 
 def word_table(sums: np.ndarray) -> np.ndarray:
-    """Unit context vectors; a word that no training document holds keeps its index vector."""
+    """Unit context vectors; a word that no counted document holds keeps its index vector."""
     at, sign = index_vectors()
     values = sums.astype(np.float32)
     alone = np.flatnonzero(~sums.any(axis=1))
@@ -104,12 +117,12 @@ def pooled(rows: np.ndarray, ends: np.ndarray, vectors: np.ndarray) -> np.ndarra
     n = np.diff(ends)
     mean = np.zeros((len(n), vectors.shape[1]), np.float64)
     for k in range(0, len(rows), 200_000):  # bounded, also for one very long document
-        part = rows[k:k + 200_000]
+        part = vectors[rows[k:k + 200_000]]
         first = np.searchsorted(ends, k, "right") - 1
         last = np.searchsorted(ends, k + len(part), "left")
-        owners = [d for d in range(first, last) if n[d]]
-        starts = [max(int(ends[d]) - k, 0) for d in owners]
-        mean[owners] += np.add.reduceat(vectors[part], starts, axis=0)
+        for d in range(first, last):
+            if n[d]:
+                mean[d] += part[max(int(ends[d]) - k, 0):max(int(ends[d + 1]) - k, 0)].sum(axis=0, dtype=np.float64)
     mean /= np.maximum(n, 1)[:, None]
     return np.hstack([mean, np.linalg.norm(mean, axis=1, keepdims=True), np.log1p(n)[:, None] / 10]).astype(np.float32)
 
@@ -175,7 +188,7 @@ class Classifier:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     sample = stored(training_rows(docs, labels), "quality-sample")
-    vectors = word_table(context_sums(sample))
+    vectors = word_table(context_sums(docs.where(~held_out(3, 1))))
     shared = sample.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches):
