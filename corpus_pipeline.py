@@ -4,8 +4,9 @@ STAGES are (name, function); each function takes (spark, docs, sf_dir) and works
 result is written to the shared folder and read again as the next stage's docs.
 
 Defined results: a document that loses all its lines stays with an empty text (no words, so no near duplicates, no
-share of the mix); where the text changes and the table has `n_chars`, that is its new length; rows with equal
-doc_id stay or go together in the near-duplicate stage; an empty table gives no rows in every stage.
+share of the mix); where the text changes and the table has `n_chars`, that is its new length; the near-duplicate
+stage decides by row, not by doc_id: of equal ids the text with the smaller hash stays, a null id yields to any other,
+and of rows with equal id and text one stays; an empty table gives no rows in every stage.
 """
 
 import public_tokenizers
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolume.llm import bpe, lines, mixing, near, quality
-from cargolume.llm.common import table
+from cargolume.llm.common import stored, table
 from cargolume.session import materialise
 
 # SQL can express neither the classifier nor byte-pair merges; tests hold each stage against plain Python.
@@ -34,10 +35,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    groups = near.near_groups(docs.select("doc_id", "text"))
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("g_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")), "left_anti")
+    """Of each group of near duplicates one row stays, that with the smallest id."""
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("t"))
+    groups = near.near_groups(docs.select(key.alias("doc_id"), "text")).where("n_shingles > 0")
+    keys = groups.groupBy(F.col("doc_id").alias("g_key")).agg(F.min("component_id").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = stored(keys.select("g_key", (F.col("g_key") != F.col("kept")).alias("gone"), "n").where("gone OR n > 1"), "near-decided")
+    alone = docs.join(keys, key == F.col("g_key"), "left_anti")
+    equal = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row")).join(keys.where("NOT gone"), F.col("key") == F.col("g_key"))
+    return alone.unionByName(equal.groupBy("key").agg(F.min("row").alias("row")).select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
