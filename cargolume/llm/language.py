@@ -3,8 +3,8 @@
 Texts are lower-cased; runs of one to three code points are hashed to `GRAMS` features. A feature's value is its
 share of the text's n-grams times its inverse document frequency, which is counted over every document that may be
 learnt from. Training is online: follow-the-regularised-leader with elastic-net penalties, one document at a time,
-streamed from a stored sample of at most `TRAIN_PER_LANG` documents of each language (smallest seeded hashes). The L1
-penalty keeps weights at exactly zero unless a feature earns them. Logits are divided by a temperature fitted on
+streamed from a stored sample of at most `TRAIN_PER_LANG` documents of each language (smallest seeded hashes of id and
+text; rows with equal id and text count once). The L1 penalty keeps weights at exactly zero unless a feature earns them. Logits are divided by a temperature fitted on
 rows that training did not see.
 
 Scoring adds up weights over the n-grams of a text, so a text's length costs time but no memory beyond a slice.
@@ -80,11 +80,16 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return (sums[:GRAMS], int(sums[GRAMS])) if len(sums) else (np.zeros(GRAMS, np.int64), 0)
 
 
+def draws(docs: DataFrame) -> DataFrame:
+    """lang, text and the seeded draw of every row with a language: a hash of id and text."""
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(SEED)), 1)
+    return docs.where(F.col("lang").isNotNull()).select("lang", "text", draw.alias("draw"))
+
+
 def training_rows(docs: DataFrame, most=TRAIN_PER_LANG) -> DataFrame:
-    """lang and the counts of features of at most `most` documents a language, in a seeded order."""
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    ids = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64(F.col("doc_id"), F.lit(SEED)).alias("draw"))
-    ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    """draw, lang and the counts of features of at most `most` documents a language."""
+    ids = stored(draws(docs).select("lang", "draw").distinct(), "language-draws")
+    ids = ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("place") <= most)
 
     def run(batches):
         for batch in batches:
@@ -96,9 +101,9 @@ def training_rows(docs: DataFrame, most=TRAIN_PER_LANG) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "key": keys, "features": [i.astype(np.int32).tobytes() for i, _ in rows], "counts": [c.astype(np.int32).tobytes() for _, c in rows]})
 
-    sample = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id", "lang", "draw")), ["doc_id", "lang"])
-    rows = sample.select(F.to_json(F.struct("draw", "doc_id", "lang")).alias("key"), "text").mapInArrow(run, "key string, features binary, counts binary")
-    return rows.select(F.from_json("key", "draw long, doc_id long, lang string").alias("k"), "features", "counts").select("k.*", "features", "counts")
+    sample = draws(docs).join(F.broadcast(ids.select("lang", "draw")), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    rows = sample.select(F.to_json(F.struct("draw", "lang")).alias("key"), "text").mapInArrow(run, "key string, features binary, counts binary")
+    return rows.select(F.from_json("key", "draw long, lang string").alias("k"), "features", "counts").select("k.*", "features", "counts")
 
 
 class Model:
@@ -147,7 +152,7 @@ def softmax(z):
 def fit(docs: DataFrame) -> Model | None:
     """A model of the languages in `docs` (doc_id, text, lang); None if there is none."""
     rows = stored(training_rows(docs), "language-sample")
-    rows = rows.orderBy("draw", "doc_id", "lang")
+    rows = rows.orderBy("draw", "lang")
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
     if not langs:
         return None

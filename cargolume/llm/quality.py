@@ -12,7 +12,7 @@ vectors are added up in blocks. Sums are whole numbers, so that a fit does not d
 
 Defined results: null and empty texts are documents without words, scored like any other; several labels of one id
 count as their mean, null labels not at all; with no labelled row, or one class only, the score is the share of label
-1 (0.5 without any); rows with equal doc_id are scored one by one; an empty table gives no rows.
+1 (0.5 without any); rows with equal doc_id are scored one by one, and in the sample those with equal text count once; an empty table gives no rows.
 """
 
 import re
@@ -174,11 +174,14 @@ class Network:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most=TRAIN_ROWS) -> DataFrame:
-    """doc_id, text and label of the sample; its ids are at most `most`, so that they may be broadcast."""
+    """doc_id, text and label of the sample: at most `most` rows, those with equal id and text count once."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.avg("quality") >= 0.5).cast("int").alias("label"))
     chosen = known.where(~held_out(3, 1)).orderBy(F.xxhash64(F.col("doc_id"), F.lit(SEED)), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
+    keys = rows.select("doc_id", "t").join(F.broadcast(chosen), "doc_id").distinct()
+    keys = keys.orderBy(F.xxhash64(F.col("doc_id"), F.col("t"), F.lit(SEED)), "doc_id", "t").limit(most)
+    return rows.join(F.broadcast(keys), ["doc_id", "t"]).groupBy("doc_id", "t").agg(F.min("text").alias("text"), F.min("label").alias("label")).drop("t")
 
 
 class Classifier:
