@@ -470,7 +470,7 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
                            shadow_price_per_ton=None, prices=prices))
 
 
-def frontier(wide: DataFrame, caps: dict, points=6, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:
+def frontier(wide: DataFrame, caps: dict, points=12, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:
     """Plans at ceilings from the cheapest plan's emissions down to the greenest plan's."""
     cheapest = allocate(wide, caps, None, fleet=fleet, whole=whole, tightness=tightness)
     greenest = minimum_emission_plan(wide, caps, fleet, whole, tightness)
