@@ -24,7 +24,7 @@ from cargolume.llm.common import blocks, held_out, query, stored, summed_blocks,
 
 GRAMS = 1 << 16
 ORDERS = 3
-TRAIN_PER_LANG = 1_000
+TRAIN_PER_LANG = 1_500
 EPOCHS = 3
 SCALE = 50.0                            # of feature values, which are shares
 ALPHA, BETA, L1, L2 = 0.2, 1.0, 0.05, 1e-3
@@ -89,6 +89,13 @@ def draws(docs: DataFrame) -> DataFrame:
 def training_rows(docs: DataFrame, most=TRAIN_PER_LANG) -> DataFrame:
     """draw, lang and the counts of features of at most `most` documents a language."""
     ids = stored(draws(docs).select("lang", "draw").distinct(), "language-draws")
+    # Cells of draws grow in width with the draw (eight for each power of two), so the last one needed holds about a tenth
+    # of `most`, whatever the input: what is ranked by language is little more than what is kept.
+    ids = ids.withColumn("cell", F.floor(F.log2(F.col("draw") + F.lit(1.0)) * 8).cast("int"))
+    counts = ids.groupBy("lang", "cell").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("cell")) - F.col("n")
+    cells = counts.withColumn("before", before).where(F.col("before") < most).select("lang", "cell")
+    ids = ids.join(F.broadcast(cells), ["lang", "cell"])
     ids = ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("place") <= most)
 
     def run(batches):
