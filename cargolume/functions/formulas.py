@@ -94,18 +94,20 @@ def delay_index(rating="Vendor_Rating", distance="Distance_km", weather=WEATHER_
         + vendor * amplifier + far
 
 
+def outside_range(ranges: dict) -> Column:
+    """(feature, side, value, edge) of each numeric feature outside the training range {feature: (min, max)}; side is low or high."""
+    def found(name, side, edge):
+        return F.struct(F.lit(name).alias("feature"), F.lit(side).alias("side"), F.col(name).cast("double").alias("value"), F.lit(float(edge)).alias("edge"))
+
+    each = [F.when(F.col(name) < low, found(name, "low", low)).when(F.col(name) > high, found(name, "high", high))
+            for name, (low, high) in ranges.items()]
+    return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+
 def extrapolation_warnings(ranges: dict) -> Column:
     """Texts for the numeric features outside the training range {feature: (min, max)}."""
-    texts = []
-    for name, (low, high) in ranges.items():
-        value = F.col(name)
-        shown = F.format_string("%.6g", value)
-        texts.append(
-            F.when(value < low, F.concat(F.lit(f"{name}="), shown,
-                                         F.lit(f" (trained from {low:g})")))
-            .when(value > high, F.concat(F.lit(f"{name}="), shown,
-                                         F.lit(f" (trained up to {high:g})"))))
-    return F.filter(F.array(*texts), lambda t: t.isNotNull())
+    return F.transform(outside_range(ranges), lambda x: F.format_string(
+        "%s=%.6g (trained %s %.6g)", x["feature"], x["value"], F.when(x["side"] == "low", "from").otherwise("up to"), x["edge"]))
 
 
 def parent_feature(name="feature", categorical=("Weather_Condition", "Traffic_Density", "Vehicle_Type")) -> Column:

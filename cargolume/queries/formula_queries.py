@@ -113,10 +113,8 @@ SELECT Shipment_ID,
     CASE WHEN Vendor_Rating < 1.75 THEN 'Vendor_Rating low' WHEN Vendor_Rating > 4.65 THEN 'Vendor_Rating high' END) AS flags FROM ship"""))
 def extrapolation_flags(spark, sf):
     df = shipments(spark, sf, ["Shipment_ID", "Distance_km", "Weight_tons", "Vendor_Rating"])
-    texts = fx.extrapolation_warnings(
-        {"Distance_km": (100.0, 1200.0), "Weight_tons": (2.0, 22.0), "Vendor_Rating": (1.75, 4.65)})
-    short = F.transform(texts, lambda t: F.concat(
-        F.split_part(t, F.lit("="), F.lit(1)), F.when(t.contains("below"), " low").otherwise(" high")))
+    out = fx.outside_range({"Distance_km": (100.0, 1200.0), "Weight_tons": (2.0, 22.0), "Vendor_Rating": (1.75, 4.65)})
+    short = F.transform(out, lambda x: F.concat_ws(" ", x["feature"], x["side"]))
     return df.select("Shipment_ID", F.array_join(short, "|").alias("flags"))
 
 
