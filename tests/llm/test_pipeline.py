@@ -4,6 +4,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from cargolume.llm import quality
@@ -21,7 +22,7 @@ FOLDER = "/root/testdata/sf0.001"
 def results(spark):
     """The input and every stage's rows."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    docs = materialise(docs.union(cases.table(spark).select(*docs.columns).where("doc_id < 0")), "input")
+    docs = materialise(docs.union(cases.table(spark).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns).where("doc_id < 0")), "input")
     out = [docs]
     for name, stage in cp.STAGES:
         out.append(materialise(stage(spark, out[-1], FOLDER), name))
