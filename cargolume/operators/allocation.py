@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cargolume import params as P
 from cargolume.errors import InfeasiblePlanError, UnprovenPlanError
 from cargolume.functions.keys import spread_key, uniform
-from cargolume.operators.ordering import _kth_hash, kth_values
+from cargolume.operators.ordering import _kth_hash, kth_by_group, kth_values
 from cargolume.operators.panels import wide_panel
 from cargolume.session import literal_rows, materialise
 
@@ -99,18 +99,33 @@ def minimum_freight_plan(shipments: DataFrame, caps: dict) -> DataFrame:
 
 # --- dual prices ----------------------------------------------------------------------------------
 
-def _fold_prices(k: int, prices: list[np.ndarray], tau: float, wide: DataFrame) -> list:
-    """For each price vector (carbon, fleet...): smoothed value, slopes and curvature, in one pass.
+@dataclass(frozen=True)
+class _Ask:
+    """One plan to be found: costs are `paid` (freight and expected penalties) times `by_paid` plus emissions times `by_kg`."""
+
+    caps: dict
+    epsilon: float | None = None
+    by_paid: float = 1.0
+    by_kg: float = 0.0
+    offset: float = 0.0
+    start: tuple | None = None
+
+    def cap(self, fleet, rows):
+        return [float(self.caps.get(v, rows)) for v in fleet]
+
+
+def _fold_prices(k: int, asks: list[tuple], wide: DataFrame) -> list:
+    """For each (price vector, smoothing, ask): smoothed value, slopes and curvature; all of them in one pass.
 
     Prices and smoothing ride in one array literal, so the generated code is the same in every pass.
     """
     ks = range(k)
     options = ", ".join(
-        f"struct({j} AS j, {tau!r}D AS tau, " + ", ".join(f"{float(x)!r}D AS t{d}" for d, x in enumerate(p)) + ")"
-        for j, p in enumerate(prices))
+        f"struct({j} AS j, {float(tau)!r}D AS tau, {float(a.by_paid)!r}D AS w, {float(a.by_kg + p[0])!r}D AS t0, " + ", ".join(f"{float(x)!r}D AS t{d + 1}" for d, x in enumerate(p[1:])) + ")"
+        for j, (p, tau, a) in enumerate(asks))
     e = [f"e{i}" for i in ks]
-    base = wide.selectExpr(*e, *[f"c{i}" for i in ks], f"explode(array({options})) AS t")
-    base = base.selectExpr("t.j AS j", "t.tau AS tau", *e, *[f"c{i} + t.t0 * e{i} + t.t{i + 1} AS r{i}" for i in ks])
+    base = wide.selectExpr(*e, *[f"b{i}" for i in ks], f"explode(array({options})) AS t")
+    base = base.selectExpr("t.j AS j", "t.tau AS tau", *e, *[f"t.w * b{i} + t.t0 * e{i} + t.t{i + 1} AS r{i}" for i in ks])
     base = base.selectExpr("*", f"least({', '.join(f'r{i}' for i in ks)}) AS m")
     base = base.selectExpr("j", "tau", "m", *e, *[f"exp((m - r{i}) / tau) AS w{i}" for i in ks])
     base = base.selectExpr("*", " + ".join(f"w{i}" for i in ks) + " AS w")
@@ -120,10 +135,9 @@ def _fold_prices(k: int, prices: list[np.ndarray], tau: float, wide: DataFrame)
             "sum(" + " + ".join(f"y{i} * (e{i} - eb) * (e{i} - eb)" for i in ks) + ") AS ee"]
     sums += [f"sum(y{i}) AS n{i}" for i in ks] + [f"sum(y{i} * (e{i} - eb)) AS x{i}" for i in ks]
     sums += [f"sum(y{i} * y{l}) AS q{i}_{l}" for i in ks for l in range(i, k)]
-    aggs = [F.expr(x) for x in sums]
-    rows = {row["j"]: row for row in base.groupBy("j").agg(*aggs).collect()}
+    rows = {row["j"]: row for row in base.groupBy("j").agg(*[F.expr(x) for x in sums]).collect()}
     out = []
-    for j, p in enumerate(prices):
+    for j, (p, tau, _) in enumerate(asks):
         row = rows[j]
         grad = np.array([row["e"]] + [row[f"n{i}"] for i in range(k)])
         hess = np.zeros((k + 1, k + 1))
@@ -141,35 +155,35 @@ CELL_BINS = 16
 
 
 def _cells(wide: DataFrame, k: int):
-    """Panel rows alike in cost and emission differences, as (rows, mean costs, mean emissions) arrays.
+    """Panel rows alike in what they pay and emit, as (rows, mean payments, mean emissions) arrays; the same for every ceiling.
 
     At most CELL_BINS to the power of 2 (k - 1) cells reach the driver, whatever the panel's size.
     """
-    gaps = {f"{a}_{i}": F.col(f"{a}{i}") - F.col(f"{a}0") for a in "ce" for i in range(1, k)}
+    gaps = {f"{a}_{i}": F.col(f"{a}{i}") - F.col(f"{a}0") for a in "be" for i in range(1, k)}
     spans = wide.agg(*[f(x).alias(f"{n}_{name}") for name, x in gaps.items() for n, f in (("lo", F.min), ("hi", F.max))]).first()
     slots = []
     for name, x in gaps.items():
         low, high = spans[f"lo_{name}"] or 0.0, spans[f"hi_{name}"] or 0.0
         step = (high - low) / CELL_BINS
         slots.append((F.least(F.floor((x - low) / step), F.lit(CELL_BINS - 1)) if step > 0 else F.lit(0)).alias(name))
-    rows = wide.groupBy(*slots).agg(F.count("*").alias("n"), *[F.avg(f"{a}{i}").alias(f"{a}{i}") for a in "ce" for i in range(k)]).collect()
+    rows = wide.groupBy(*slots).agg(F.count("*").alias("n"), *[F.avg(f"{a}{i}").alias(f"{a}{i}") for a in "be" for i in range(k)]).collect()
     rows = sorted(rows, key=lambda r: tuple(r[n] for n in gaps))
-    return (np.array([float(r["n"]) for r in rows]), *(np.array([[r[f"{a}{i}"] for i in range(k)] for r in rows]) for a in "ce"))
+    return (np.array([float(r["n"]) for r in rows]), *(np.array([[r[f"{a}{i}"] for i in range(k)] for r in rows]) for a in "be"))
 
 
-def _fold_cells(cells, prices: list[np.ndarray], tau: float) -> list:
+def _fold_cells(cells, asks: list[tuple]) -> list:
     """What `_fold_prices` gives, on cells."""
-    n, c, e = cells
+    n, b, e = cells
     out = []
-    for p in prices:
-        reduced = c + p[0] * e + p[1:]
+    for p, tau, a in asks:
+        reduced = a.by_paid * b + (a.by_kg + p[0]) * e + p[1:]
         least = reduced.min(axis=1, keepdims=True)
         w = np.exp((least - reduced) / tau)
         total = w.sum(axis=1, keepdims=True)
         y = w / total
         value = float(n @ (least - tau * np.log(total))[:, 0])
         moved = np.hstack([(y * e).sum(axis=1, keepdims=True), y])
-        k = c.shape[1]
+        k = b.shape[1]
         curve = np.zeros((k + 1, k + 1))
         off = e - moved[:, :1]
         curve[0, 0] = n @ (y * off * off).sum(axis=1)
@@ -179,27 +193,56 @@ def _fold_cells(cells, prices: list[np.ndarray], tau: float) -> list:
     return out
 
 
-def dual_prices(wide: DataFrame, caps: list[float], epsilon: float | None, rows: int, spread: float,
-                tightness=2e-4, passes=80, start=None, exact=1e-10, cells=None):
-    """Prices that maximise the smoothed dual; Newton steps on k + 1 prices, three step lengths at a time.
+def _together(searches: list, fold) -> list:
+    """Runs searches side by side and returns their results: what all of them ask in a step is answered in one pass."""
+    results, asked = [None] * len(searches), {}
 
-    The search lowers the smoothing step by step on `cells`, without a job; the result is then polished at the last
-    smoothing on the whole panel, where every pass is one aggregate.
+    def go_on(i, answers):
+        try:
+            asked[i] = searches[i].send(answers)
+        except StopIteration as end:
+            asked.pop(i, None)
+            results[i] = end.value
+
+    for i in range(len(searches)):
+        go_on(i, None)
+    while asked:
+        flat = [(i, x) for i, xs in asked.items() for x in xs]
+        answers = fold([x for _, x in flat])
+        for i in list(asked):
+            go_on(i, [a for (j, _), a in zip(flat, answers) if j == i])
+    return results
+
+
+def dual_prices(wide: DataFrame, asks: list[_Ask], limits: list, rows: int, spreads: list, fleet, cells, tightness=2e-4, passes=80,
+                starts=None, exact=1e-10) -> list:
+    """For every ask (prices, smoothing, sums at them): prices that maximise the smoothed dual, by Newton steps on k + 1 prices.
+
+    A search lowers its smoothing step by step on `cells`, without a job, from its neighbour's result; what is found is
+    then polished at the last smoothing on the whole panel. All asks are polished together: a pass is one aggregate for all.
     """
-    k = len(caps)
-    cells = _cells(wide, k) if cells is None else cells
+    k = len(fleet)
     reach = float(cells[0] @ (cells[2].max(axis=1) - cells[2].min(axis=1))) / max(rows, 1) or 1e-9
-    near = _climb(lambda p, tau: _fold_cells(cells, p, tau), k, caps, epsilon, rows, spread, reach, tightness, 2_000, start, exact, False)[0]
+    near, last = [], None
+    for i, a in enumerate(asks):
+        start = starts[i] if starts and starts[i] is not None else a.start if a.start is not None else last
+        search = _climb(a, k, a.cap(fleet, rows), limits[i], rows, spreads[i], reach, tightness, 2_000, start, exact, False)
+        last = tuple(_together([search], lambda x: _fold_cells(cells, x))[0][0])
+        near.append(last)
+
+    def polished(a, limit, spread, near):
+        # Where few rows are near a switch, or cells are too coarse, the smoothing is lowered step by step on the panel too.
+        for most, from_, final_only in ((25, near, True), (passes, near, False), (passes, None, False)):
+            found = yield from _climb(a, k, a.cap(fleet, rows), limit, rows, spread, reach, tightness, most, from_, exact, final_only)
+            if found[-1]:
+                break
+        return found[:-1]
 
-    # Where few rows are near a switch, or cells are too coarse, the smoothing is lowered step by step on the panel too.
-    for most, from_, final_only in ((25, near, True), (passes, near, False), (passes, None, False)):
-        *found, there = _climb(lambda p, tau: _fold_prices(k, p, tau, wide), k, caps, epsilon, rows, spread, reach, tightness, most, from_, exact, final_only)
-        if there:
-            break
-    return found
+    return _together([polished(a, limits[i], spreads[i], near[i]) for i, a in enumerate(asks)], lambda x: _fold_prices(k, x, wide))
 
 
-def _climb(fold, k, caps, epsilon, rows, spread, reach, tightness, passes, start, exact, final_only):
+def _climb(ask, k, caps, epsilon, rows, spread, reach, tightness, passes, start, exact, final_only):
+    """A search that yields lists of (prices, smoothing, ask) and is sent what `_fold_prices` says of them."""
     right = np.array([0.0 if epsilon is None else epsilon, *caps])
     binding = sum(caps) == rows  # all caps bind: fleet prices may take any sign, and one is a free choice
     free_sign = np.array([False] + [binding] * k)
@@ -207,9 +250,9 @@ def _climb(fold, k, caps, epsilon, rows, spread, reach, tightness, passes, start
     theta = np.zeros(k + 1) if start is None else np.where(held & (np.arange(k + 1) == 0), 0.0, np.array(start))
     last = max(spread * tightness, 1e-12)
     tau = last if final_only else max(spread, 1e-9) if start is None else max(spread / 50.0, last)
-    used, here = 0, None
+    used = 0
     while True:
-        here = fold([theta], tau)[0]
+        here = (yield [(theta, tau, ask)])[0]
         used += 1
         value = here[1] - theta @ right
         final, radius = tau <= last, 20.0
@@ -234,8 +277,8 @@ def _climb(fold, k, caps, epsilon, rows, spread, reach, tightness, passes, start
             tries = []
             for t in (1.0, 0.3, 0.05):
                 p = theta + t * step
-                tries.append(np.where(free_sign, p, np.maximum(p, 0.0)))
-            found = fold(tries, tau)
+                tries.append((np.where(free_sign, p, np.maximum(p, 0.0)), tau, ask))
+            found = yield tries
             used += 1
             best = max(found, key=lambda x: x[1] - x[0] @ right)
             gained = best[1] - best[0] @ right
@@ -255,55 +298,94 @@ def _climb(fold, k, caps, epsilon, rows, spread, reach, tightness, passes, start
         tau = max(tau / 12.0, last)
 
 
-def _reduced(k, theta):
-    return [F.col(f"c{i}") + float(theta[0]) * F.col(f"e{i}") + float(theta[i + 1]) for i in range(k)]
-
-
-def _shares(wide, k, theta, tau):
-    df = wide.select("*", *[x.alias(f"r{i}") for i, x in enumerate(_reduced(k, theta))])
-    df = df.withColumn("m", F.least(*[F.col(f"r{i}") for i in range(k)]))
-    df = df.select("*", *[F.exp((F.col("m") - F.col(f"r{i}")) / tau).alias(f"w{i}") for i in range(k)])
-    total = sum((F.col(f"w{i}") for i in range(1, k)), F.col("w0"))
-    return df.withColumn("w", total).select("*", *[(F.col(f"w{i}") / F.col("w")).alias(f"y{i}") for i in range(k)])
-
-
-def _move(df, src, dst, count, fleet):
-    """Shift exactly `count` shipments from one vehicle to another, least regret first."""
-    regret = F.col(f"r{dst}") - F.col(f"r{src}")
-    rows = df.where(F.col("pick") == src).select(spread_key().alias("_tie"), regret.alias("_x"))
-    (edge, below), = kth_values(rows, "_x", [count - 1])
-    tied = rows.where(F.col("_x") == edge)
-    tie = _kth_hash(tied, count - 1 - below, tied.count())
-    go = (F.col("pick") == src) & ((regret < edge) | ((regret == edge) & (spread_key() <= tie)))
-    return df.withColumn("pick", F.when(go, F.lit(dst)).otherwise(F.col("pick")))
-
-
-def _whole(wide, k, theta, tau, caps, fleet):
-    """One vehicle per shipment: drawn from the shares by a repeatable uniform, then repaired to the caps."""
-    df = _shares(wide, k, theta, tau)
-    u, upto, pick = uniform(7, F.col("Shipment_ID")), F.lit(0.0), F.lit(0)
-    for i in range(k - 1):
-        upto = upto + F.col(f"y{i}")
-        pick = pick + (u >= upto).cast("int")
-    df = materialise(df.select("Shipment_ID", *[f"{a}{i}" for a in "cefpr" for i in range(k) if f"{a}{i}" in df.columns],
-                               pick.alias("pick")), "picks")
-    counts = {r["pick"]: r["count"] for r in df.groupBy("pick").count().collect()}
-    over = {i: counts.get(i, 0) - caps[i] for i in range(k)}
-    for src in range(k):
-        for dst in range(k):
-            m = int(min(over[src], -over[dst]))
-            if over[src] > 0 and m > 0:
-                df = _move(df, src, dst, m, fleet)
-                over[src] -= m
-                over[dst] += m
-    return df
-
-
-def _value(k, name, pick="pick"):
-    out = F.col(f"{name}0")
-    for i in range(1, k):
-        out = F.when(F.col(pick) == i, F.col(f"{name}{i}")).otherwise(out)
-    return out
+def _reduced(k, ask, theta):
+    return [float(ask.by_paid) * F.col(f"b{i}") + float(ask.by_kg + theta[0]) * F.col(f"e{i}") + float(theta[i + 1]) for i in range(k)]
+
+
+def _share_columns(k, ask, theta, tau) -> list:
+    """The shares of the vehicles in a row, as expressions."""
+    r = _reduced(k, ask, theta)
+    least = F.least(*r)
+    w = [F.exp((least - x) / tau) for x in r]
+    total = reduce(lambda a, b: a + b, w)
+    return [x / total for x in w]
+
+
+def _of(pick, name, k):
+    """The value that a row has for the vehicle that is picked."""
+    return F.get(F.array(*[F.col(f"{name}{i}") for i in range(k)]), pick)
+
+
+class _Whole:
+    """One vehicle per shipment for several asks at once: drawn from the shares by a repeatable uniform, repaired to the caps.
+
+    The draws of all asks stand side by side in one stored table, `pick0`, `pick1`, ...; repairs are expressions over it.
+    """
+
+    def __init__(self, wide, asks, found, fleet, rows):
+        self.k, self.asks, self.found, self.fleet = len(fleet), asks, found, fleet
+        picks, u = [], uniform(7, F.col("Shipment_ID"))
+        for j, (a, (theta, tau, _)) in enumerate(zip(asks, found)):
+            upto, pick = F.lit(0.0), F.lit(0)
+            for y in _share_columns(self.k, a, theta, tau)[:-1]:
+                upto = upto + y
+                pick = pick + (u >= upto).cast("int")
+            picks.append(pick.alias(f"pick{j}"))
+        self.table = materialise(wide.select(*wide.columns, *picks), "picks")
+        self.picks = [F.col(f"pick{j}") for j in range(len(asks))]
+        over = [dict.fromkeys(range(self.k), 0.0) for _ in asks]
+        for r in self._each(lambda j: self.picks[j]).groupBy("j", "pick").count().collect():
+            over[r["j"]][r["pick"]] = r["count"]
+        for j, a in enumerate(asks):
+            for i, cap in enumerate(a.cap(fleet, rows)):
+                over[j][i] -= cap
+        self._repair(over)
+
+    def _each(self, pick):
+        """A row per shipment and ask: j, pick and the values of the vehicle picked."""
+        rows = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), pick(j).cast("int").alias("pick")) for j in range(len(self.asks))]))
+        return self.table.select(*[c for c in self.table.columns if c[0] in "befp" and c[1:].isdigit()], rows.alias("x")).select("*", "x.j", "x.pick")
+
+    def _repair(self, over):
+        """Shifts exactly what is over from one vehicle to another, least regret first; one move of every ask at a time."""
+        while True:
+            moves = {}
+            for j, o in enumerate(over):
+                pair = next(((s, d) for s in range(self.k) for d in range(self.k) if o[s] >= 1 and o[d] <= -1), None)
+                if pair:
+                    moves[j] = (*pair, int(min(o[pair[0]], -o[pair[1]])))
+            if not moves:
+                return
+            regret = {}
+            for j, (src, dst, _) in moves.items():
+                r = _reduced(self.k, self.asks[j], self.found[j][0])
+                regret[j] = r[dst] - r[src]
+            tie = F.pmod(F.xxhash64("Shipment_ID", F.lit(13)), F.lit(1 << 52)).cast("double")
+
+            def rows(value, also):
+                each = [F.when((self.picks[j] == src) & also(j), F.struct(F.lit(j).alias("group"), value(j).alias("x"))) for j, (src, _, _) in moves.items()]
+                return self.table.select(F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("x")).select("x.*")
+
+            edges = kth_by_group(rows(lambda j: regret[j], lambda j: F.lit(True)), {j: m - 1 for j, (_, _, m) in moves.items()})
+            ties = kth_by_group(rows(lambda j: tie, lambda j: regret[j] == edges[j][0]), {j: m - 1 - edges[j][1] for j, (_, _, m) in moves.items()})
+            for j, (src, dst, m) in moves.items():
+                go = (self.picks[j] == src) & ((regret[j] < edges[j][0]) | ((regret[j] == edges[j][0]) & (tie <= ties[j][0])))
+                self.picks[j] = F.when(go, F.lit(dst)).otherwise(self.picks[j])
+                over[j][src] -= m
+                over[j][dst] += m
+
+    def sums(self, risk):
+        """Per ask: what it pays, emits, costs in freight, is expected late, and its shipments per vehicle."""
+        rows = self._each(lambda j: self.picks[j])
+        value = lambda n: _of(F.col("pick"), n, self.k)
+        out = rows.groupBy("j").agg(
+            F.sum(value("b")).alias("b"), F.sum(value("e")).alias("e"), F.sum(value("f")).alias("f"),
+            (F.sum(value("p")) if risk else F.lit(None).cast("double")).alias("p"), *[F.count_if(F.col("pick") == i).alias(f"n{i}") for i in range(self.k)])
+        return {r["j"]: r for r in out.collect()}
+
+    def assignment(self, j):
+        names = F.get(F.array(*[F.lit(v) for v in self.fleet]), self.picks[j])
+        return self.table.select("Shipment_ID", names.alias("Vehicle_Type"), F.lit(1.0).alias("share"))
 
 
 class _Missed(Exception):
@@ -313,66 +395,89 @@ class _Missed(Exception):
         self.lower, self.theta = lower, theta
 
 
-def _solve(wide, caps, epsilon, rows, spread, fleet, risk, whole, tightness, start=None,
-           offset=0.0):
-    """Solve on stored columns c (objective), e, f and p; returns a Plan with both bounds."""
+def _solve(wide, asks: list[_Ask], rows, spreads, fleet, risk, whole, tightness) -> list:
+    """A Plan with both bounds for every ask, or a _Missed."""
     k = len(fleet)
-    cap = [float(caps.get(v, rows)) for v in fleet]
-    limit, theta, lower, cells = epsilon, start, None, _cells(wide, k)
-    if limit is not None and not whole:
-        limit *= 1 - 1e-7  # shares meet their target up to the search's tolerance, and a ceiling is hard
+    cells = _cells(wide, k)
+    # Shares meet their target up to the search's tolerance, and a ceiling is hard.
+    limits = [a.epsilon if a.epsilon is None or whole else a.epsilon * (1 - 1e-7) for a in asks]
+    out, lower, shadow, starts = [None] * len(asks), [None] * len(asks), [None] * len(asks), [None] * len(asks)
+    open_ = list(range(len(asks)))
     for attempt in range(4):
-        theta, tau, (_, _, _, curve) = dual_prices(
-            wide, cap, limit, rows, spread, tightness, start=theta, exact=1e-7 if whole else 1e-10, cells=cells)
-        if lower is None:
-            hard = wide.agg(F.sum(F.least(*_reduced(k, theta)))).first()[0]
-            lower = hard - float(theta @ np.array([epsilon or 0.0, *cap])) - offset
-            shadow = None if epsilon is None else float(theta[0]) * 1000.0
+        mine = [asks[i] for i in open_]
+        found = dual_prices(wide, mine, [limits[i] for i in open_], rows, [spreads[i] for i in open_], fleet, cells, tightness,
+                            starts=[starts[i] for i in open_], exact=1e-7 if whole else 1e-10)
+        if attempt == 0:
+            hard = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.least(*_reduced(k, a, theta)).alias("x")) for j, (a, (theta, _, _)) in enumerate(zip(mine, found))]))
+            for r in wide.select(hard.alias("x")).select("x.*").groupBy("j").agg(F.sum("x").alias("x")).collect():
+                a, theta = asks[r["j"]], found[r["j"]][0]
+                lower[r["j"]] = r["x"] - float(theta @ np.array([a.epsilon or 0.0, *a.cap(fleet, rows)])) - a.offset
+                shadow[r["j"]] = None if a.epsilon is None else float(theta[0]) * 1000.0
         if not whole:
+            return [_shared(wide, k, a, f, lower[i], shadow[i], fleet, risk) for i, (a, f) in enumerate(zip(asks, found))]
+        drawn = _Whole(wide, mine, found, fleet, rows)
+        sums, missed = drawn.sums(risk), []
+        for j, i in enumerate(open_):
+            a, (theta, tau, (_, _, _, curve)), s = asks[i], found[j], sums[j]
+            starts[i] = tuple(map(float, theta))
+            if a.epsilon is None or s["e"] <= a.epsilon:
+                out[i] = Plan(drawn.assignment(j), s["f"], s["e"], {v: float(s[f"n{x}"]) for x, v in enumerate(fleet)}, a.epsilon, shadow[i],
+                              lower[i], a.by_paid * s["b"] + a.by_kg * s["e"] - a.offset, s["p"], 0, starts[i])
+                continue
+            # Drawing whole vehicles misses the ceiling by chance: aim lower by what it missed, and some.
+            noise = float(np.sqrt(max(curve[0, 0] * tau, 0.0)))
+            limits[i] = limits[i] - 2.0 * max(s["e"] - a.epsilon, noise) * (attempt + 1)
+            missed.append(i)
+        if missed:
+            floor = wide.agg(F.sum(F.least(*[F.col(f"e{i}") for i in range(k)]))).first()[0]
+            open_ = [i for i in missed if limits[i] > floor]
+        if not missed or not open_:
             break
-        df = _whole(wide, k, theta, tau, cap, fleet)
-        sums = df.agg(F.sum(_value(k, "c")).alias("c"), F.sum(_value(k, "e")).alias("e"),
-                      F.sum(_value(k, "f")).alias("f"),
-                      (F.sum(_value(k, "p")) if risk else F.lit(None)).alias("p"),
-                      *[F.count_if(F.col("pick") == i).alias(f"n{i}") for i in range(k)]).first()
-        if epsilon is None or sums["e"] <= epsilon:
-            names = F.element_at(F.array(*[F.lit(v) for v in fleet]), F.col("pick") + 1)
-            return Plan(df.select("Shipment_ID", names.alias("Vehicle_Type"), F.lit(1.0).alias("share")),
-                        sums["f"], sums["e"], {v: float(sums[f"n{i}"]) for i, v in enumerate(fleet)}, epsilon, shadow,
-                        lower, sums["c"] - offset, sums["p"], 0, tuple(map(float, theta)))
-        # Drawing whole vehicles misses the ceiling by chance: aim lower by what it missed, and some.
-        noise = float(np.sqrt(max(curve[0, 0] * tau, 0.0)))
-        limit = limit - 2.0 * max(sums["e"] - epsilon, noise) * (attempt + 1)
-        floor = wide.agg(F.sum(F.least(*[F.col(f"e{i}") for i in range(k)]))).first()[0]
-        if limit <= floor:
-            break
-    if whole:
-        raise _Missed(lower, theta)
-    df = _shares(wide, k, theta, tau)
+    return [_Missed(lower[i], np.array(starts[i])) if p is None else p for i, p in enumerate(out)]
+
+
+def _shared(wide, k, ask, found, lower, shadow, fleet, risk) -> Plan:
+    """The plan of the shares themselves, which may split a shipment between vehicles."""
+    theta, tau, _ = found
+    df = wide.select("*", *[y.alias(f"y{i}") for i, y in enumerate(_share_columns(k, ask, theta, tau))])
     y = [F.col(f"y{i}") for i in range(k)]
 
     def dot(name):
-        return F.sum(sum((y[i] * F.col(f"{name}{i}") for i in range(1, k)), y[0] * F.col(f"{name}0")))
+        return F.sum(reduce(lambda a, b: a + b, [y[i] * F.col(f"{name}{i}") for i in range(k)]))
 
-    sums = df.agg(dot("c").alias("c"), dot("e").alias("e"), dot("f").alias("f"),
-                  (dot("p") if risk else F.lit(None)).alias("p"),
-                  F.count_if(F.greatest(*y) < 1 - 1e-6).alias("split"),
-                  *[F.sum(y[i]).alias(f"n{i}") for i in range(k)]).first()
+    sums = df.agg(dot("b").alias("b"), dot("e").alias("e"), dot("f").alias("f"), (dot("p") if risk else F.lit(None)).alias("p"),
+                  F.count_if(F.greatest(*y) < 1 - 1e-6).alias("split"), *[F.sum(y[i]).alias(f"n{i}") for i in range(k)]).first()
     pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("v"), y[i].alias("s")) for i, v in enumerate(fleet)]))
     assignment = df.select("Shipment_ID", pairs.alias("x")).select(
         "Shipment_ID", F.col("x.v").alias("Vehicle_Type"), F.col("x.s").alias("share")).where("share > 1e-9")
-    return Plan(assignment, sums["f"], sums["e"], {v: sums[f"n{i}"] for i, v in enumerate(fleet)}, epsilon, shadow,
-                lower, sums["c"] - offset, sums["p"], int(sums["split"]), tuple(map(float, theta)))
+    return Plan(assignment, sums["f"], sums["e"], {v: sums[f"n{i}"] for i, v in enumerate(fleet)}, ask.epsilon, shadow,
+                lower, ask.by_paid * sums["b"] + ask.by_kg * sums["e"] - ask.offset, sums["p"], int(sums["split"]), tuple(map(float, theta)))
+
+
+@dataclass(frozen=True)
+class _Stats:
+    """Rows, and of payments and emissions the mean range over the vehicles; the total range of emissions."""
+
+    rows: int
+    paid: float
+    kg: float
+    span: float
+
+    def spread(self, ask):
+        return ask.by_paid * self.paid + ask.by_kg * self.kg
 
 
-def _stats(wide, k, *names):
-    """Rows, then for each cost the mean range over the vehicles and the total range; one scan."""
+def _priced(wide, penalty, k):
+    """The panel with b0.., what a shipment pays on each vehicle, and its `_Stats`."""
+    risk = "p0" in wide.columns
+    priced = wide.select("*", *[(F.col(f"f{i}") + penalty * F.col(f"p{i}") if risk else F.col(f"f{i}")).alias(f"b{i}") for i in range(k)])
+
     def gap(name):
         cols = [F.col(f"{name}{i}") for i in range(k)]
         return F.greatest(*cols) - F.least(*cols)
 
-    row = wide.agg(F.count("*"), *[f(gap(n)) for n in names for f in (F.avg, F.sum)]).first()
-    return row[0], *[float(x or 0.0) for x in row[1:]]
+    row = priced.agg(F.count("*"), F.avg(gap("b")), F.avg(gap("e")), F.sum(gap("e"))).first()
+    return priced, _Stats(row[0], *[float(x or 0.0) for x in row[1:]])
 
 
 def build_wide(shipments: DataFrame, risk=None, fleet=P.VEHICLES) -> DataFrame:
@@ -394,27 +499,21 @@ def panel_faults(wide: DataFrame) -> DataFrame:
                     F.count_if(blank("p")).alias("no_risk"))
 
 
-def _costed(wide, k, risk, penalty, span, delta=P.SLACK_WEIGHT):
-    cost = []
-    for i in range(k):
-        c = F.col(f"f{i}")
-        if risk:
-            c = c + penalty * F.col(f"p{i}")
-        if span:
-            c = c + (delta / span) * F.col(f"e{i}")  # ties go to the lower emission
-        cost.append(c.alias(f"c{i}"))
-    return wide.select("*", *cost)
+GREENEST = {"by_paid": 0.0, "by_kg": 1.0}
 
 
 def minimum_emission_plan(wide: DataFrame, caps: dict, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> Plan:
     """The greenest plan that the caps allow, cost ignored."""
-    k = len(fleet)
-    rows, spread, _ = _stats(wide, k, "e")
-    _require_room(caps, rows, fleet)
-    costed = wide.select("*", *[F.col(f"e{i}").alias(f"c{i}") for i in range(k)])
-    plan = _solve(costed, caps, None, rows, spread, fleet, "p0" in wide.columns, whole, tightness)
-    if not plan.meets(caps, rows):
-        raise UnprovenPlanError(f"no plan was found that meets the caps; the bound is {plan.lower_bound:.2f} kg")
+    priced, stats = _priced(wide, 0.0, len(fleet))
+    _require_room(caps, stats.rows, fleet)
+    ask = _Ask(caps, **GREENEST)
+    plan = _solve(priced, [ask], stats.rows, [stats.spread(ask)], fleet, "p0" in wide.columns, whole, tightness)[0]
+    return _green(plan, caps, stats.rows)
+
+
+def _green(plan, caps, rows):
+    if isinstance(plan, _Missed) or not plan.meets(caps, rows):
+        raise UnprovenPlanError("no plan was found that meets the caps")
     return _proven(plan)
 
 
@@ -430,6 +529,35 @@ def _require_room(caps, rows, fleet):
         raise InfeasiblePlanError(f"the caps hold {room} of {rows} shipments")
 
 
+def _ceiling(caps, epsilon, stats, greenest, start=None) -> _Ask:
+    """The ask for a plan under a ceiling; raises where the greenest plan shows that there is none."""
+    if epsilon < greenest.lower_bound * (1 - 1e-9):
+        raise InfeasiblePlanError(f"the ceiling {epsilon:.1f} kg is below {greenest.lower_bound:.1f} kg, the least that the caps allow")
+    if epsilon < greenest.co2_kg * (1 - 1e-12):
+        raise UnprovenPlanError(f"the ceiling {epsilon:.1f} kg lies between the bound {greenest.lower_bound:.1f} and the best plan found, {greenest.co2_kg:.1f}")
+    # Ties go to the lower emission. The tie-break rewards room under the ceiling, so the bound also holds for the cost without it.
+    delta = P.SLACK_WEIGHT / stats.span if stats.span else 0.0
+    return _Ask(caps, epsilon, 1.0, delta, delta * epsilon, start)
+
+
+def _settled(found, ask, rows, greenest, risk, penalty) -> Plan:
+    """The plan that was found, or the greenest where no other meets the ceiling; proven, or an error."""
+    if not isinstance(found, _Missed):
+        if found.meets(ask.caps, rows):
+            # At the greenest end a price has no meaning: no money buys a lower ceiling.
+            edge = ask.epsilon is not None and ask.epsilon <= greenest.lower_bound * (1 + 1e-6)
+            return _proven(replace(found, shadow_price_per_ton=None) if edge else found)
+        lower, prices = found.lower_bound, found.prices
+    else:
+        lower, prices = found.lower, tuple(map(float, found.theta))
+    if greenest is None or not greenest.meets(ask.caps, rows):
+        raise UnprovenPlanError(f"no plan was found that meets caps and ceiling; the bound is {lower:.2f}")
+    # At the very edge the prices run off, so none is reported; the greenest plan fits, and the bound still holds.
+    paid = greenest.freight + (penalty * greenest.expected_delays if risk else 0.0)
+    return _proven(replace(greenest, epsilon_kg=ask.epsilon, lower_bound=min(lower, paid), objective=paid,
+                           shadow_price_per_ton=None, prices=prices))
+
+
 def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penalty=P.SLA_PENALTY,
              fleet=P.VEHICLES, whole=True, tightness=2e-4, greenest: Plan | None = None,
              start=None) -> Plan:
@@ -437,54 +565,38 @@ def allocate(wide: DataFrame, caps: dict, epsilon_kg: float | None = None, penal
 
     `whole=False` returns shares, which may split a shipment between vehicles.
     """
-    k, risk = len(fleet), "p0" in wide.columns
-    rows, _, span = _stats(wide, k, "e")
-    _require_room(caps, rows, fleet)
-    if epsilon_kg is not None:
+    risk = "p0" in wide.columns
+    priced, stats = _priced(wide, penalty, len(fleet))
+    _require_room(caps, stats.rows, fleet)
+    if epsilon_kg is None:
+        ask = _Ask(caps, start=start)
+    else:
         greenest = greenest or minimum_emission_plan(wide, caps, fleet, whole, tightness)
-        if epsilon_kg < greenest.lower_bound * (1 - 1e-9):
-            raise InfeasiblePlanError(
-                f"the ceiling {epsilon_kg:.1f} kg is below {greenest.lower_bound:.1f} kg, the least that the caps allow")
-        if epsilon_kg < greenest.co2_kg * (1 - 1e-12):
-            raise UnprovenPlanError(
-                f"the ceiling {epsilon_kg:.1f} kg lies between the bound {greenest.lower_bound:.1f} and the best plan "
-                f"found, {greenest.co2_kg:.1f}")
-    # The tie-break rewards room under the ceiling, so the bound also holds for the cost without it.
-    offset = P.SLACK_WEIGHT * epsilon_kg / span if epsilon_kg is not None and span else 0.0
-    costed = _costed(wide, k, risk, penalty, span if epsilon_kg is not None else None)
-    rows, spread, _ = _stats(costed, k, "c")
-    try:
-        plan = _solve(costed, caps, epsilon_kg, rows, spread, fleet, risk, whole, tightness, start, offset)
-        lower, prices = plan.lower_bound, plan.prices
-        if plan.meets(caps, rows):
-            # At the greenest end a price has no meaning: no money buys a lower ceiling.
-            edge = epsilon_kg is not None and epsilon_kg <= greenest.lower_bound * (1 + 1e-6)
-            return _proven(replace(plan, shadow_price_per_ton=None) if edge else plan)
-    except _Missed as e:
-        lower, prices = e.lower, tuple(map(float, e.theta))
-    if greenest is None or not greenest.meets(caps, rows):
-        raise UnprovenPlanError(f"no plan was found that meets caps and ceiling; the bound is {lower:.2f}")
-    # At the very edge the prices run off, so none is reported; the greenest plan fits, and the bound still holds.
-    paid = greenest.freight + (penalty * greenest.expected_delays if risk else 0.0)
-    return _proven(replace(greenest, epsilon_kg=epsilon_kg, lower_bound=min(lower, paid), objective=paid,
-                           shadow_price_per_ton=None, prices=prices))
+        ask = _ceiling(caps, epsilon_kg, stats, greenest, start)
+    found = _solve(priced, [ask], stats.rows, [stats.spread(ask)], fleet, risk, whole, tightness)[0]
+    return _settled(found, ask, stats.rows, greenest, risk, penalty)
 
 
-def frontier(wide: DataFrame, caps: dict, points=12, fleet=P.VEHICLES, whole=True, tightness=2e-4) -> list[Plan]:
-    """Plans at ceilings from the cheapest plan's emissions down to the greenest plan's."""
-    cheapest = allocate(wide, caps, None, fleet=fleet, whole=whole, tightness=tightness)
-    greenest = minimum_emission_plan(wide, caps, fleet, whole, tightness)
-    high, low, plans, start = cheapest.co2_kg, greenest.co2_kg, [], cheapest.prices
+def frontier(wide: DataFrame, caps: dict, points=12, fleet=P.VEHICLES, whole=True, tightness=2e-4, penalty=P.SLA_PENALTY) -> list[Plan]:
+    """Plans at ceilings from the cheapest plan's emissions down to the greenest plan's, all found together.
+
+    Two solves: both ends, then every ceiling. In a solve all prices are searched in the same passes over the panel.
+    """
+    risk = "p0" in wide.columns
+    priced, stats = _priced(wide, penalty, len(fleet))
+    _require_room(caps, stats.rows, fleet)
+    ends = [_Ask(caps), _Ask(caps, **GREENEST)]
+    cheapest, greenest = _solve(priced, ends, stats.rows, [stats.spread(a) for a in ends], fleet, risk, whole, tightness)
+    cheapest, greenest = _settled(cheapest, ends[0], stats.rows, None, risk, penalty), _green(greenest, caps, stats.rows)
+    asks, plans = [], []
     for step in range(points):
-        ceiling = high - (high - low) * step / max(points - 1, 1)
+        ceiling = cheapest.co2_kg - (cheapest.co2_kg - greenest.co2_kg) * step / max(points - 1, 1)
+        asks.append(_ceiling(caps, max(ceiling, greenest.co2_kg), stats, greenest, cheapest.prices if step == 0 else None))
+    for ask, found in zip(asks, _solve(priced, asks, stats.rows, [stats.spread(a) for a in asks], fleet, risk, whole, tightness)):
         try:
-            plans.append(allocate(wide, caps, ceiling, fleet=fleet, whole=whole, tightness=tightness, greenest=greenest,
-                                  start=start))
-            start = plans[-1].prices
-        except InfeasiblePlanError:
-            break
+            plans.append(_settled(found, ask, stats.rows, greenest, risk, penalty))
         except UnprovenPlanError:
-            plans.append(Plan(None, None, None, {}, ceiling, state="unproven"))
+            plans.append(Plan(None, None, None, {}, ask.epsilon, state="unproven"))
     return plans
 
 
@@ -510,7 +622,7 @@ def carbon_price_sweep(wide: DataFrame, prices_per_ton, fleet=P.VEHICLES) -> Dat
     best = F.least(*[F.struct(c.alias("c"), F.lit(i).alias("i")) for i, c in enumerate(cost)])
     picked = priced.withColumn("pick", best["i"])
     return picked.groupBy("price_per_ton").agg(
-        F.sum(_value(k, "f")).alias("freight"), F.sum(_value(k, "e")).alias("co2_kg"),
+        F.sum(_of(F.col("pick"), "f", k)).alias("freight"), F.sum(_of(F.col("pick"), "e", k)).alias("co2_kg"),
         *[F.count_if(F.col("pick") == i).alias("n_" + v.lower().replace(" ", "_")) for i, v in enumerate(fleet)])
 
 

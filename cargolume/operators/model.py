@@ -1,23 +1,20 @@
-"""Delay-risk model: balanced random forest, cross-fitted calibration, out-of-fold scoring."""
+"""Delay-risk model: balanced random forests, cross-fitted calibration, out-of-fold scoring.
+
+Forests are grown and applied by `forest`; here are the jobs around them. All forests of a comparison are one job, and
+all rows of a comparison are scored in one job, each by the forest of its fit.
+"""
 
 import json
-from dataclasses import dataclass
-
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier)
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolume.errors import IntegrityError
 from cargolume.functions import formulas as fx
-from cargolume.functions.formulas import KNOWN_LEVELS
-from cargolume.operators import metrics, ordering, splits
+from cargolume.operators import forest, metrics, ordering, splits
 from cargolume.operators.star import project_features
-from cargolume.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
+from cargolume.schemas import FEATURES
 from cargolume.session import literal_rows, materialise
 
 
@@ -25,184 +22,150 @@ from cargolume.session import literal_rows, materialise
 class ModelSettings:
     """Forest and calibration settings.
 
-    `grid` rounds scores to that many steps before a curve is fitted, which bounds the points that reach one node; a
-    curve is an approximation to half a step.
+    `fit_rows` bounds what a fit learns from: a sample by hash of the rows that it may see, with every day in it. All rows
+    are scored.
     """
 
     trees: int = 300
-    depth: int = 30  # the deepest that the library grows
+    depth: int = 30
     min_leaf: int = 2
     members: int = 5
     folds: int = 5
     seed: int = 42
     method: str = "isotonic"  # or "sigmoid", or "none" for one uncalibrated forest
-    grid: int = 100_000
+    fit_rows: int = 10_000
     features: tuple = tuple(FEATURES)
 
+    def __post_init__(self):
+        if self.method not in ("isotonic", "sigmoid", "none"):
+            raise ValueError(f"unknown method {self.method!r}")
 
-def feature_stages(spark: SparkSession, features=tuple(FEATURES)) -> PipelineModel:
-    """Numeric columns as they are, categories one-hot; an unknown level sets all its dummies to 0.
+    def grown_as(self) -> dict:
+        """What the trees depend on; the curve does not change them."""
+        return {"trees": self.trees, "depth": self.depth, "min_leaf": self.min_leaf, "members": 0 if self.method == "none" else self.members,
+                "seed": self.seed, "features": sorted(self.features)}
 
-    The vocabularies are known, so nothing is fitted and every fold has the same layout.
-    """
-    cats = [c for c in CATEGORICAL_FEATURES if c in features]
-    numbers = [c for c in NUMERIC_FEATURES if c in features]
-    stages = []
-    if cats:
-        index, dummy = [f"{c}_index" for c in cats], [f"{c}_vec" for c in cats]
-        indexers = [StringIndexerModel.from_labels(KNOWN_LEVELS[c], inputCol=c, outputCol=i, handleInvalid="keep")
-                    for c, i in zip(cats, index)]
-        empty = PipelineModel(indexers).transform(spark.createDataFrame([], ", ".join(f"{c} string" for c in cats)))
-        # The index has a last slot for unknown levels; its dummy is the one that is dropped.
-        stages = [*indexers, OneHotEncoder(inputCols=index, outputCols=dummy, dropLast=True).fit(empty)]
-    assembler = VectorAssembler(inputCols=numbers + [f"{c}_vec" for c in cats], outputCol="features")
-    return PipelineModel([*stages, assembler])
-
-
-def prepare(df: DataFrame, settings: ModelSettings = ModelSettings(), day="Full_Date") -> DataFrame:
-    """Stored training table: features, label, and every fold column the jobs below use."""
-    # Each fold column reads its input several times, so every step starts from a stored table.
-    df = splits.expanding_folds(materialise(df, "folds"), settings.folds, day)
-    df = splits.grouped_folds(df.withColumnRenamed("fold", "time_fold"), settings.folds)
-    df = splits.stratified_folds(materialise(df.withColumnRenamed("fold", "vendor_fold"), "folds"), settings.folds)
-    df = df.withColumn("inner_fold", F.pmod(F.xxhash64("Shipment_ID", F.lit(settings.seed)), F.lit(settings.members)).cast("int"))
-    df = df.withColumnRenamed("fold", "random_fold").withColumn("label", F.col("is_delayed").cast("double"))
-    stages = feature_stages(df.sparkSession, settings.features)
-    drop = [f"{c}_{s}" for c in CATEGORICAL_FEATURES for s in ("index", "vec")]
-    return materialise(stages.transform(df).drop(*drop), "training", spread=True)
-
-
-def _forest(train: DataFrame, settings: ModelSettings, i: int) -> RandomForestClassificationModel:
-    """Classes weigh n / (2 n_class), as if they were balanced."""
-    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    n = sum(counts.values())
-    weight = F.lit(1.0)
-    for label, rows in counts.items():
-        weight = F.when(F.col("label") == label, F.lit(n / (2.0 * rows))).otherwise(weight)
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", weightCol="_weight", numTrees=settings.trees, maxDepth=settings.depth,
-        minInstancesPerNode=settings.min_leaf, seed=settings.seed + i, featureSubsetStrategy="sqrt",
-        probabilityCol=f"_prob{i}", rawPredictionCol=f"_raw{i}", predictionCol=f"_pred{i}")
-    return forest.fit(train.withColumn("_weight", weight))
-
-
-def _forest_score(model: RandomForestClassificationModel, df: DataFrame, i: int, out: str) -> DataFrame:
-    made = model.transform(df)
-    return made.withColumn(out, vector_to_array(f"_prob{i}")[1]).drop(f"_prob{i}", f"_raw{i}", f"_pred{i}")
-
-
-def _calibrator(scored: DataFrame, settings: ModelSettings, i: int):
-    """Fitted on (score, late share, weight) on a grid of scores, so the curve has a bounded number of points."""
-    point = F.round(F.col("_s") * settings.grid) / settings.grid
-    points = scored.groupBy(point.alias(f"_s{i}")).agg(F.avg("label").alias("rate"), F.count("*").cast("double").alias("w"))
-    if settings.method == "isotonic":
-        return IsotonicRegression(featuresCol=f"_s{i}", labelCol="rate", weightCol="w", predictionCol=f"_c{i}").fit(points)
-    both = points.select(f"_s{i}", F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), (F.col("w") * F.col("rate")).alias("w")),
-        F.struct(F.lit(0.0).alias("label"), (F.col("w") * (1.0 - F.col("rate"))).alias("w")))).alias("x")).select(f"_s{i}", "x.*")
-    ready = VectorAssembler(inputCols=[f"_s{i}"], outputCol=f"_v{i}").transform(both.where("w > 0"))
-    return LogisticRegression(featuresCol=f"_v{i}", labelCol="label", weightCol="w", maxIter=100, tol=1e-9,
-                              standardization=False).fit(ready)
+    @property
+    def curve(self) -> str:
+        return "plain" if self.method == "none" else self.method
+
+
+FOLDS = ("time", "vendor", "random")
+
+
+def prepare(df: DataFrame, settings: ModelSettings = ModelSettings(), day="Full_Date", folds=FOLDS) -> DataFrame:
+    """Stored training table: features, label, and the fold columns asked for."""
+    df = materialise(df.withColumn("label", F.col("is_delayed").cast("double")), "training", spread=True)
+    make = {"time": lambda d: splits.expanding_folds(d, settings.folds, day), "vendor": lambda d: splits.grouped_folds(d, settings.folds),
+            "random": lambda d: splits.stratified_folds(d, settings.folds)}
+    for name in folds:  # each fold column reads its input several times
+        df = materialise(make[name](df).withColumnRenamed("fold", f"{name}_fold"), "training")
+    return df
 
 
 @dataclass(frozen=True)
 class CalibratedForest:
-    """Mean of k forests, each calibrated on the rows it was not fitted on."""
+    """Mean of k forests, each calibrated on the rows it was not fitted on; its trees are kept under `digest`."""
 
-    stages: PipelineModel
-    forests: list
-    calibrators: list
+    spark: SparkSession
+    digest: str
+    edges: dict
     settings: ModelSettings
 
     def transform(self, df: DataFrame, out="probability") -> DataFrame:
         """Adds the probability; raises when a feature column is missing."""
-        names = df.columns
-        if "features" not in names:
-            project_features(df, list(self.settings.features))
-            df = self.stages.transform(df)
-        for i, forest in enumerate(self.forests):
-            df = _forest_score(forest, df, i, f"_s{i}")
-            if not self.calibrators:
-                df = df.withColumn(f"_c{i}", F.col(f"_s{i}"))
-            elif self.settings.method == "isotonic":
-                df = self.calibrators[i].transform(df)
-            else:
-                c = self.calibrators[i]
-                df = df.withColumn(f"_c{i}", fx.sigmoid(F.col(f"_s{i}") * float(c.coefficients[0]) + float(c.intercept)))
-        k = len(self.forests)
-        mean = sum((F.col(f"_c{i}") for i in range(1, k)), F.col("_c0")) / float(k)
-        # The average of k values in [0, 1] may leave it by a rounding error.
-        return df.withColumn(out, F.least(F.greatest(mean, F.lit(0.0)), F.lit(1.0))).select(*names, out)
+        return apply_fits(df, F.lit("model"), {"model": self}, out)
+
+    def trees(self) -> DataFrame:
+        return forest.forests(self.spark, [self.digest])
 
     def save(self, path: str) -> None:
-        self.stages.write().overwrite().save(f"{path}/stages")
-        for i, f in enumerate(self.forests):
-            f.write().overwrite().save(f"{path}/forest-{i}")
-        for i, c in enumerate(self.calibrators):
-            c.write().overwrite().save(f"{path}/calibrator-{i}")
-        spark = SparkSession.active()
-        text = json.dumps({**self.settings.__dict__, "forests": len(self.forests), "calibrators": len(self.calibrators)})
-        spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+        self.trees().write.mode("overwrite").parquet(f"{path}/trees")
+        text = json.dumps({"settings": asdict(self.settings), "edges": self.edges, "digest": self.digest})
+        self.spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> "CalibratedForest":
+    def load(spark: SparkSession, path: str) -> "SavedForest":
         kept = json.loads(spark.read.text(f"{path}/settings").first()[0])
-        forests, calibrators = kept.pop("forests"), kept.pop("calibrators")
-        kept["features"] = tuple(kept["features"])
-        settings = ModelSettings(**kept)
-        reader = IsotonicRegressionModel if settings.method == "isotonic" else LogisticRegressionModel
-        return CalibratedForest(
-            PipelineModel.load(f"{path}/stages"),
-            [RandomForestClassificationModel.load(f"{path}/forest-{i}") for i in range(forests)],
-            [reader.load(f"{path}/calibrator-{i}") for i in range(calibrators)], settings)
+        kept["settings"]["features"] = tuple(kept["settings"]["features"])
+        return SavedForest(spark, kept["digest"], kept["edges"], ModelSettings(**kept["settings"]), path)
+
+
+@dataclass(frozen=True)
+class SavedForest(CalibratedForest):
+    """A forest read from where it was saved."""
+
+    path: str = ""
+
+    def trees(self) -> DataFrame:
+        return self.spark.read.schema(forest.TREES).parquet(f"{self.path}/trees")
+
+
+def apply_fits(df: DataFrame, fit: Column, models: dict[str, CalibratedForest], out="probability") -> DataFrame:
+    """Adds the probability that the model named by `fit` gives to each row: distinct cells are scored, then joined.
+
+    All models must share their bin edges, as those of one `fit_many` do. `df` is read twice.
+    """
+    one = next(iter(models.values()))
+    if any(m.edges != one.edges for m in models.values()):
+        raise ValueError("the models were fitted on different bins")
+    project_features(df, sorted({c for m in models.values() for c in m.settings.features}))
+    missing = [F.lit(v).alias(c) for c, v in NEUTRAL.items() if c not in df.columns]
+    digests = F.create_map(*[F.lit(x) for name, m in models.items() for x in (name, m.digest)])
+    curves = F.create_map(*[F.lit(x) for name, m in models.items() for x in (name, m.settings.curve)])
+    coded = df.select("*", *missing).withColumns({"_digest": digests[fit], "_curve": curves[fit], "_cell": forest.cell_of(one.edges)}).drop(*[c for c in NEUTRAL if c not in df.columns])
+    # A saved and a kept forest may have the same digest; either gives the same trees.
+    trees = None if not isinstance(one, SavedForest) else one.trees()
+    scores = forest.cell_scores(df.sparkSession, coded.select(F.col("_digest").alias("digest"), F.col("_cell").alias("cell")), trees)
+    scores = scores.select(F.col("digest").alias("s_digest"), F.col("cell").alias("s_cell"), "plain", "isotonic", "sigmoid")
+    chosen = F.when(F.col("_curve") == "plain", F.col("plain")).when(F.col("_curve") == "sigmoid", F.col("sigmoid")).otherwise(F.col("isotonic"))
+    met = coded.join(scores, (F.col("_digest") == F.col("s_digest")) & (F.col("_cell") == F.col("s_cell")), "left")
+    return met.withColumn(out, chosen).select(*[c for c in df.columns if c != out], out)
+
+
+# Features that no model of a comparison uses may be missing; any value does for them.
+NEUTRAL = {c: (0.0 if c in ("Distance_km", "Weight_tons", "Vendor_Rating") else "") for c in FEATURES}
+
+
+def fit_many(df: DataFrame, fits: dict[str, tuple[Column, ModelSettings]], day="Full_Date") -> dict[str, CalibratedForest]:
+    """A model for every fit (rows that it may learn from, settings); those with the same rows and settings are one."""
+    some = next(iter(fits.values()))[1]
+    sample = forest.samples(df, {n: w for n, (w, _) in fits.items()}, some.fit_rows, some.seed, day)
+    edges = forest.edges_of(sample.dropDuplicates(["order"]))
+    digests = forest.grown(sample, edges, {n: s.grown_as() for n, (_, s) in fits.items()})
+    return {n: CalibratedForest(df.sparkSession, digests[n], edges, s) for n, (_, s) in fits.items()}
 
 
 def fit_model(train: DataFrame, settings: ModelSettings = ModelSettings()) -> CalibratedForest:
-    """Cross-fitted: forest i learns from the other inner folds, its curve from fold i."""
-    stages = feature_stages(train.sparkSession, settings.features)
-    if settings.method == "none":
-        return CalibratedForest(stages, [_forest(train, settings, 0)], [], settings)
-    forests, curves = [], []
-    for i in range(settings.members):
-        forest = _forest(train.where(F.col("inner_fold") != i), settings, i)
-        held = _forest_score(forest, train.where(F.col("inner_fold") == i), i, "_s")
-        forests.append(forest)
-        curves.append(_calibrator(held, settings, i))
-    return CalibratedForest(stages, forests, curves, settings)
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def out_of_fold(prepared: DataFrame, fold: str, settings: ModelSettings = ModelSettings(), where=None) -> DataFrame:
+    """Cross-fitted: forest i learns from the other inner folds, its curves from fold i."""
+    return fit_many(train, {"model": (F.lit(True), settings)})["model"]
+
+
+def fold_fits(fold: str, settings: ModelSettings, prefix="") -> dict[str, tuple[Column, ModelSettings]]:
+    """A fit for every fold, on the others."""
+    return {f"{prefix}{f}": (F.col(fold) != f, settings) for f in range(settings.folds)}
+
+
+def named(fold: str, prefix="") -> Column:
+    return F.concat(F.lit(prefix), F.col(fold).cast("string"))
+
+
+def out_of_fold(prepared: DataFrame, fold: str, settings: ModelSettings = ModelSettings()) -> DataFrame:
     """Scores of each fold by a model of the other folds."""
-    parts = []
-    for f in range(settings.folds):
-        model = fit_model(prepared.where(F.col(fold) != f), settings)
-        held = prepared.where(F.col(fold) == f)
-        parts.append(model.transform(held if where is None else held.where(where)))
-    return _union(parts)
+    return apply_fits(prepared, named(fold), fit_many(prepared, fold_fits(fold, settings)))
 
 
-def walk_forward(prepared: DataFrame, settings: ModelSettings = ModelSettings(), fallback=True,
-                 grouped: DataFrame | None = None) -> DataFrame:
+def walk_forward(prepared: DataFrame, settings: ModelSettings = ModelSettings(), fallback=True) -> DataFrame:
     """Every shipment scored by models of earlier shipments only.
 
-    The first block has no past: its rows take vendor-grouped out-of-fold scores (`grouped`, where they are there
-    already) and are marked by `warm_up`.
+    The first block has no past: its rows take vendor-grouped out-of-fold scores and are marked by `warm_up`.
     """
-    parts = []
-    for f in range(1, settings.folds + 1):
-        model = fit_model(prepared.where(F.col("time_fold") < f), settings)
-        parts.append(model.transform(prepared.where(F.col("time_fold") == f)))
+    fits = {f"walk-{f}": (F.col("time_fold") < f, settings) for f in range(1, settings.folds + 1)}
+    fit, rows = named("time_fold", "walk-"), prepared.where("time_fold > 0")
     if fallback:
-        first = F.col("time_fold") == 0
-        parts.append(out_of_fold(prepared, "vendor_fold", settings, where=first) if grouped is None else grouped.where(first))
-    return _union(parts).withColumn("warm_up", F.col("time_fold") == 0)
+        fits |= fold_fits("vendor_fold", settings, "vendor-")
+        fit, rows = F.when(F.col("time_fold") == 0, named("vendor_fold", "vendor-")).otherwise(fit), prepared
+    return apply_fits(rows, fit, fit_many(prepared, fits)).withColumn("warm_up", F.col("time_fold") == 0)
 
 
 def merge_scores(df: DataFrame, walk: str, grouped: str) -> DataFrame:
@@ -212,8 +175,8 @@ def merge_scores(df: DataFrame, walk: str, grouped: str) -> DataFrame:
 
 def chronological_evaluation(prepared: DataFrame, settings: ModelSettings = ModelSettings(), fraction=0.8):
     """(model that never saw the test rows, scored test table)."""
-    split = splits.require_chronology(splits.chronological_holdout(prepared, fraction))
-    model = fit_model(materialise(split.where("split = 'train'"), "train", spread=True), settings)
+    split = materialise(splits.require_chronology(splits.chronological_holdout(prepared, fraction)), "split")
+    model = fit_model(split.where("split = 'train'"), settings)
     return model, materialise(model.transform(split.where("split = 'test'")), "test")
 
 
@@ -225,89 +188,113 @@ def chronological_cv(walked: DataFrame) -> DataFrame:
     return auc.join(facts, "time_fold").orderBy("time_fold")
 
 
-def compare_split_strategies(prepared: DataFrame, settings: ModelSettings = ModelSettings(), grouped: DataFrame | None = None) -> DataFrame:
+def compare_split_strategies(prepared: DataFrame, settings: ModelSettings = ModelSettings()) -> DataFrame:
     """ROC-AUC of out-of-fold scores by random and by vendor-grouped folds."""
-    grouped = out_of_fold(prepared, "vendor_fold", settings) if grouped is None else grouped
-    both = _union([d.select(F.lit(name).alias("strategy"), "probability", "is_delayed") for name, d in (
-        ("random", out_of_fold(prepared, "random_fold", settings)), ("vendor_grouped", grouped))])
-    return metrics.roc_auc(both, "probability", by=["strategy"])
+    rows = prepared.withColumn("strategy", F.explode(F.array(F.lit("random"), F.lit("vendor_grouped"))))
+    fit = F.concat_ws("-", "strategy", F.when(F.col("strategy") == "random", F.col("random_fold")).otherwise(F.col("vendor_fold")))
+    fits = fold_fits("random_fold", settings, "random-") | fold_fits("vendor_fold", settings, "vendor_grouped-")
+    return metrics.roc_auc(apply_fits(rows, fit, fit_many(prepared, fits)), "probability", by=["strategy"])
 
 
-def scoring_regimes(prepared: DataFrame, settings: ModelSettings = ModelSettings(), walked: DataFrame | None = None) -> DataFrame:
+def scoring_regimes(prepared: DataFrame, settings: ModelSettings = ModelSettings()) -> DataFrame:
     """Quality of calibrated out-of-fold, uncalibrated out-of-fold and calibrated in-sample scores."""
-    walked = walk_forward(prepared, settings) if walked is None else walked
-    plain = walk_forward(prepared, ModelSettings(**{**settings.__dict__, "method": "none"}))
-    inside = fit_model(prepared, settings).transform(prepared)
-    named = _union([d.select(F.lit(n).alias("regime"), "probability", "is_delayed") for n, d in (
-        ("calibrated out-of-fold", walked), ("uncalibrated out-of-fold", plain), ("calibrated in-sample", inside))])
-    return metrics.metric_bundle(named, "probability", by=["regime"])
-
-
-def feature_ablation(df: DataFrame, settings: ModelSettings = ModelSettings(), drop=tuple(FEATURES)) -> DataFrame:
+    plain = ModelSettings(**{**settings.__dict__, "method": "none"})
+    fits = {"inside": (F.lit(True), settings)}
+    for kind, chosen in (("calibrated", settings), ("uncalibrated", plain)):
+        fits |= {f"{kind}-walk-{f}": (F.col("time_fold") < f, chosen) for f in range(1, settings.folds + 1)}
+        fits |= fold_fits("vendor_fold", chosen, f"{kind}-vendor-")
+    rows = prepared.withColumn("regime", F.explode(F.array(*[F.lit(x) for x in ("calibrated out-of-fold", "uncalibrated out-of-fold", "calibrated in-sample")])))
+    kind = F.split_part("regime", F.lit(" "), F.lit(1))
+    out = F.concat_ws("-", kind, F.when(F.col("time_fold") == 0, named("vendor_fold", "vendor-")).otherwise(named("time_fold", "walk-")))
+    fit = F.when(F.col("regime") == "calibrated in-sample", F.lit("inside")).otherwise(out)
+    return metrics.metric_bundle(apply_fits(rows, fit, fit_many(prepared, fits)), "probability", by=["regime"])
+
+
+def feature_ablation(prepared: DataFrame, settings: ModelSettings = ModelSettings(), drop=tuple(FEATURES)) -> DataFrame:
     """ROC-AUC of random out-of-fold scores without one feature at a time."""
-    prepared = prepare(df, settings)
-    parts = [out_of_fold(prepared, "random_fold", settings).select(
-        F.lit("none").alias("dropped"), "probability", "is_delayed")]
+    fits = fold_fits("random_fold", settings, "none-")
     for name in drop:
         fewer = ModelSettings(**{**settings.__dict__, "features": tuple(f for f in settings.features if f != name)})
-        stages = feature_stages(df.sparkSession, fewer.features)
-        made = stages.transform(prepared.drop("features"))
-        parts.append(out_of_fold(made, "random_fold", fewer).select(
-            F.lit(name).alias("dropped"), "probability", "is_delayed"))
-    return metrics.roc_auc(_union(parts), "probability", by=["dropped"])
+        fits |= fold_fits("random_fold", fewer, f"{name}-")
+    rows = prepared.withColumn("dropped", F.explode(F.array(*[F.lit(x) for x in ("none", *drop)])))
+    scored = apply_fits(rows, F.concat_ws("-", "dropped", "random_fold"), fit_many(prepared, fits))
+    return metrics.roc_auc(scored, "probability", by=["dropped"])
 
 
 def calibration_methods(prepared: DataFrame, settings: ModelSettings = ModelSettings(), seeds=(1, 2, 3)) -> DataFrame:
-    """Calibration error of isotonic and sigmoid curves per seed on random out-of-fold scores."""
-    parts = []
+    """Calibration error of isotonic and sigmoid curves per seed on random out-of-fold scores; both curves on the same forests."""
+    fits, rows = {}, prepared.withColumns({"seed": F.explode(F.array(*map(F.lit, seeds)))})
+    rows = rows.withColumn("method", F.explode(F.array(F.lit("isotonic"), F.lit("sigmoid"))))
     for seed in seeds:
         for method in ("isotonic", "sigmoid"):
             chosen = ModelSettings(**{**settings.__dict__, "seed": seed, "method": method})
-            parts.append(out_of_fold(prepared, "random_fold", chosen).select(
-                F.lit(seed).alias("seed"), F.lit(method).alias("method"), "probability", "is_delayed"))
-    error = metrics.calibration_error(_union(parts), "probability", by=["seed", "method"])
+            fits |= fold_fits("random_fold", chosen, f"{method}-{seed}-")
+    scored = apply_fits(rows, F.concat_ws("-", "method", "seed", "random_fold"), fit_many(prepared, fits))
+    error = metrics.calibration_error(scored, "probability", by=["seed", "method"])
     return error.groupBy("seed").agg(
         F.max(F.when(F.col("method") == "isotonic", F.col("ece"))).alias("isotonic_ece"),
         F.max(F.when(F.col("method") == "sigmoid", F.col("ece"))).alias("sigmoid_ece")).withColumn(
         "difference", F.col("isotonic_ece") - F.col("sigmoid_ece"))
 
 
-def feature_names(model: CalibratedForest) -> list[str]:
-    """Names of the vector's slots: number columns, then one per known level."""
-    out = [c for c in NUMERIC_FEATURES if c in model.settings.features]
-    return out + [f"{c}_{v}" for c in CATEGORICAL_FEATURES if c in model.settings.features for v in KNOWN_LEVELS[c]]
-
-
 def impurity_importance(spark: SparkSession, model: CalibratedForest) -> DataFrame:
     """Mean impurity importance of the members, summed to the source column."""
-    vectors = [f.featureImportances.toArray() for f in model.forests]
-    rows = [(n, float(sum(v[i] for v in vectors) / len(vectors))) for i, n in enumerate(feature_names(model))]
-    return literal_rows(spark, ["feature", "importance"], rows).groupBy(fx.parent_feature().alias("feature")).agg(
-        F.bround(F.sum("importance"), 4).alias("importance")).orderBy(F.desc("importance"))
+    each = model.trees().where("tree >= 0").select("member", F.posexplode("importance").alias("slot", "share"))
+    names = F.array(*[F.lit(n) for n in forest.SLOT_NAMES])
+    used = F.get(names, F.col("slot"))
+    total = each.groupBy(used.alias("feature")).agg(F.sum("share").alias("share"))
+    all_ = total.agg(F.sum("share").alias("s")).scalar()
+    parents = total.groupBy(fx.parent_feature().alias("feature")).agg(F.bround(F.try_divide(F.sum("share"), F.first(all_)), 4).alias("importance"))
+    return parents.where(F.col("feature").isin(list(model.settings.features))).orderBy(F.desc("importance"))
+
+
+def shuffled_place(place: Column, side: Column, repeat: Column, seed: int) -> Column:
+    """Where row `place` of side * side places goes in a repeat: a bijection that is computed, not sorted.
+
+    A Feistel network over two digits of base `side`: each round adds a hash of one digit to the other.
+    """
+    start = F.struct(F.floor(place / side).cast("long").alias("left"), (place % side).alias("right"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda x, k: F.struct(
+        x["right"].alias("left"), ((x["left"] + F.pmod(F.xxhash64(x["right"], repeat, F.lit(seed), k), side)) % side).alias("right")),
+        lambda x: x["left"] * side + x["right"])
+
+
+ROUNDS = 6
+WALK = 64  # most places beyond the last row that a walk may meet; their share is about 2 / root(rows)
+
+
+def permuted(rows: DataFrame, repeats: int, seed: int, place="_place") -> DataFrame:
+    """(repeat, place, donor): for every repeat a permutation of the places 0..n-1 of `rows`, without a sort.
+
+    The network permutes the next square number of places; who lands beyond the last row goes on until he is inside.
+    """
+    n = rows.count()
+    side = F.lit(max(1, int(n ** 0.5) + (int(n ** 0.5) ** 2 < n))).cast("long")
+    each = rows.select(F.col(place).alias("place"), F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
+    donor = shuffled_place(F.col("place"), side, F.col("repeat"), seed)
+    walked = each.withColumn("donor", donor)
+    walked = walked.withColumn("donor", F.when(F.col("donor") < n, F.col("donor")).otherwise(F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALK)), F.col("donor"), lambda at, _: F.when(at < n, at).otherwise(shuffled_place(at, side, F.col("repeat"), seed)))))
+    return walked.withColumn("donor", F.when(F.col("donor") < n, F.col("donor")).otherwise(F.raise_error(F.lit("a walk did not end")).cast("long")))
 
 
 def permutation_importance(model: CalibratedForest, test: DataFrame, repeats=20, seed=42) -> DataFrame:
     """Drop of the ROC-AUC when one feature is shuffled, mean and deviation over the repeats.
 
-    Each repeat numbers the rows in two random orders; a row takes the values of the row with its number in the
-    other order. One pairing per repeat serves all features.
+    Rows are numbered once. In every repeat a row takes the values of its donor, by one join on the computed place; one
+    pairing serves all features.
     """
     features = list(model.settings.features)
-    base = test.select("Shipment_ID", "is_delayed", *features)
-    rows = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-
-    def numbered(order):
-        keyed = rows.withColumn("_key", F.concat_ws("|", "Shipment_ID", "repeat", F.lit(seed), F.lit(order)))
-        return ordering.positions(keyed, "repeat", "_key", "_place", overall=False).drop("_key")
-
-    donors = numbered("donor").select("repeat", "_place", *[F.col(c).alias(f"d_{c}") for c in features])
-    paired = numbered("taker").join(donors, ["repeat", "_place"])
+    rows = materialise(ordering.positions(test.select("Shipment_ID", "is_delayed", *features).withColumn("_all", F.lit(0)), "_all", "Shipment_ID", "_place", overall=False).drop("_all"), "numbered")
+    donors = rows.select(F.col("_place").alias("donor"), *[F.col(c).alias(f"d_{c}") for c in features])
+    paired = permuted(rows, repeats, seed).join(rows, F.col("place") == F.col("_place")).join(donors, "donor")
     swapped = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features]))).select(
         "repeat", "feature", "is_delayed",
         *[F.when(F.col("feature") == c, F.col(f"d_{c}")).otherwise(F.col(c)).alias(c) for c in features])
-    shuffled = metrics.roc_auc(model.transform(swapped), "probability", by=["feature", "repeat"])
-    whole = metrics.roc_auc(model.transform(base), "probability").scalar()
-    drops = shuffled.withColumn("drop", whole - F.col("roc_auc"))
+    both = swapped.unionByName(rows.select(F.lit(-1).alias("repeat"), F.lit("").alias("feature"), "is_delayed", *features))
+    auc = materialise(metrics.roc_auc(model.transform(materialise(both, "swapped")), "probability", by=["feature", "repeat"]), "swapped-auc")
+    whole = auc.where("repeat < 0").select("roc_auc").scalar()
+    drops = auc.where("repeat >= 0").withColumn("drop", whole - F.col("roc_auc"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("auc_drop"), F.stddev_pop("drop").alias("std")).orderBy(F.desc("auc_drop"))
 
 

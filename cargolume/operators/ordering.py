@@ -139,6 +139,47 @@ def kth_values(df: DataFrame, column: str, ranks: list[int], pick_rows=PICK_ROWS
     return [(state[k][0], state[k][2]) for k in ranks]
 
 
+def kth_by_group(rows: DataFrame, ranks: dict[int, int], pick_rows=5_000, bins=BINS) -> dict[int, tuple]:
+    """`kth_values` for several groups of (group, x) at once: group -> (value, rows below it) at its 0-based rank.
+
+    All groups share every pass, which sends at most `bins` rows a group to the driver.
+    """
+    def inside(state):
+        lo, hi = ({g: float(s[i]) for g, s in state.items()} for i in (0, 1))
+        return rows.where(F.col("group").isin(list(state)) & F.col("x").between(_of_group(lo), _of_group(hi)))
+
+    found = {r["group"]: r for r in rows.groupBy("group").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n")).collect()}
+    for g, k in ranks.items():
+        if g not in found or not 0 <= k < found[g]["n"]:
+            raise ValueError(f"rank {k} lies outside the {found[g]['n'] if g in found else 0} rows of group {g}")
+    state = {g: (found[g]["lo"], found[g]["hi"], 0, found[g]["n"]) for g in ranks}  # low, high, rows below, rows inside
+    while open_ := {g: s for g, s in state.items() if s[0] < s[1]}:
+        near = {g: s for g, s in open_.items() if s[3] <= pick_rows}
+        wide = {g: s for g, s in open_.items() if g not in near}
+        if near:
+            hist = inside(near).groupBy("group", F.col("x").alias("b")).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("z"))
+        else:
+            step = {g: (s[1] - s[0]) / bins for g, s in wide.items()}
+            slot = F.least(F.floor((F.col("x") - _of_group({g: float(s[0]) for g, s in wide.items()})) / _of_group(step)), F.lit(bins - 1))
+            hist = inside(wide).groupBy("group", slot.alias("b")).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("z"))
+        by = {}
+        for h in hist.collect():
+            by.setdefault(h["group"], []).append(h)
+        for g, hs in by.items():
+            seen = state[g][2]
+            for h in sorted(hs, key=lambda h: h["a"]):
+                if ranks[g] < seen + h["n"]:
+                    state[g] = (h["a"], h["z"], seen, h["n"])
+                    break
+                seen += h["n"]
+    return {g: (s[0], s[2]) for g, s in state.items()}
+
+
+def _of_group(values: dict):
+    """The row's entry of a dict by group number, as an array that is looked into by number."""
+    return F.get(F.array(*[F.lit(float(values[g])) if g in values else F.lit(None).cast("double") for g in range(max(values) + 1)]), F.col("group"))
+
+
 def quantiles(df: DataFrame, column: str, fractions: list[float]) -> list[float]:
     """Exact linearly interpolated quantiles."""
     n = df.where(F.col(column).isNotNull()).count()

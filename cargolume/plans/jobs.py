@@ -57,13 +57,12 @@ def run_training(tables: dict[str, DataFrame], folder: str, stage="all",
     dims = (tables["dim_vendor"], tables["dim_route"], tables["dim_date"])
     prepared = model.prepare(star.analytical_dataset(tables["fact"], *dims), settings)
     eval_model, test = model.chronological_evaluation(prepared, settings)
-    grouped = materialise(model.out_of_fold(prepared, "vendor_fold", settings), "grouped")
-    walked = materialise(model.walk_forward(prepared, settings, grouped=grouped), "walk")
+    walked = materialise(model.walk_forward(prepared, settings), "walk")
     folds = model.chronological_cv(walked)
     out = {"prepared": prepared, "evaluation_model": eval_model, "test": test, "chronological_cv": folds,
            "holdout_auc": metrics.roc_auc(test, "probability").first()[0],
            "report": metrics.classification_report(test, "probability"),
-           "split_comparison": model.compare_split_strategies(prepared, settings, grouped),
+           "split_comparison": model.compare_split_strategies(prepared, settings),
            "weather_shift": metrics.distribution_shift(model.splits.chronological_holdout(prepared))}
     if stage == "evaluate":
         return out
@@ -81,7 +80,7 @@ def run_training(tables: dict[str, DataFrame], folder: str, stage="all",
         return out
     final = model.fit_model(prepared, settings)
     final.save(f"{folder}/model")
-    verified = model.verify_saved(prepared.sparkSession, f"{folder}/model", final, prepared.drop("features"))
+    verified = model.verify_saved(prepared.sparkSession, f"{folder}/model", final, prepared)
     marks = fingerprint.data_fingerprint(prepared.sparkSession, {**tables, "scored": scored})
     meta = run_metadata(prepared, settings, quality, out["holdout_auc"], folds, marks)
     writers.write_metadata(meta, f"{folder}/metadata")

@@ -279,18 +279,18 @@ def event_drift(spark, sf):
 FULL = model.ModelSettings()
 
 
-def _prepared(spark, sf, settings=FULL):
-    return model.prepare(dated(spark, sf, ["Vendor_ID", *FEATURES]), settings)
+def _prepared(spark, sf, *folds):
+    return model.prepare(dated(spark, sf, ["Vendor_ID", *FEATURES]), FULL, folds=folds)
 
 
 @query("walk_forward_scores")
 def walk_forward_scores(spark, sf):
-    return model.walk_forward(_prepared(spark, sf), FULL).select("Shipment_ID", "probability", "warm_up")
+    return model.walk_forward(_prepared(spark, sf, "time", "vendor"), FULL).select("Shipment_ID", "probability", "warm_up")
 
 
 @query("walk_forward_quality")
 def walk_forward_quality(spark, sf):
-    walked = materialise(model.walk_forward(_prepared(spark, sf), FULL, fallback=False), "walk")
+    walked = materialise(model.walk_forward(_prepared(spark, sf, "time"), FULL, fallback=False), "walk")
     return model.chronological_cv(walked)
 
 
@@ -311,22 +311,22 @@ def chronological_evaluation(spark, sf):
 
 @query("split_strategies")
 def split_strategies(spark, sf):
-    return model.compare_split_strategies(_prepared(spark, sf), FULL)
+    return model.compare_split_strategies(_prepared(spark, sf, "vendor", "random"), FULL)
 
 
 @query("scoring_regimes")
 def scoring_regimes(spark, sf):
-    return model.scoring_regimes(_prepared(spark, sf), FULL)
+    return model.scoring_regimes(_prepared(spark, sf, "time", "vendor"), FULL)
 
 
 @query("feature_ablation")
 def feature_ablation(spark, sf):
-    return model.feature_ablation(materialise(dated(spark, sf, ["Vendor_ID", *FEATURES]), "ablation"), FULL)
+    return model.feature_ablation(_prepared(spark, sf, "random"), FULL)
 
 
 @query("calibration_methods")
 def calibration_methods(spark, sf):
-    return model.calibration_methods(_prepared(spark, sf), FULL)
+    return model.calibration_methods(_prepared(spark, sf, "random"), FULL)
 
 
 @query("impurity_importance")
@@ -345,7 +345,7 @@ def saved_model_check(spark, sf):
     prepared = _prepared(spark, sf)
     fitted, path = model.fit_model(prepared, FULL), fresh_path(spark, "model")
     fitted.save(path)
-    return model.verify_saved(spark, path, fitted, prepared.drop("features"))
+    return model.verify_saved(spark, path, fitted, prepared)
 
 
 @query("batch_scores")
