@@ -70,3 +70,60 @@ def test_chain_links_through_the_middle(spark):
     rows = [(k + 1, " ".join(w[:60 - 4 * k] if k == 0 else w[4 * k:60 + 4 * k] if k == 1 else w[8:])) for k in range(3)]
     got = near.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+
+
+def named(text_rows):
+    """component_id by the rule for null ids: the smallest id of the group, null only where all are null."""
+    sets = [shingle_set(t) for _, t in text_rows]
+    keys = brute([(k, t) for k, (_, t) in enumerate(text_rows)])
+    of = {k: c for k, _, c in keys}
+    out = []
+    for k, (d, _) in enumerate(text_rows):
+        ids = [e for q, (e, _) in enumerate(text_rows) if of[q] == of[k] and e is not None]
+        out.append((d, len(sets[k]), (min(ids) if ids else None) if sets[k] else d))
+    return sorted(out, key=repr)
+
+
+def test_null_and_repeated_ids_and_long_texts(spark):
+    long = " ".join(f"w{k * 7919 % 30011}" for k in range(20_000))
+    words = [f"v{k}" for k in range(60)]
+    rows = [(None, " ".join(words)), (None, " ".join(words[:58])), (7, " ".join(words[1:])), (7, " ".join(words[:5])), (7, "other text here"), (None, "alone with null id"),
+            (None, "twin null"), (None, "twin null"), (1, long), (2, long + " and more"), (3, long[: len(long) // 2]), (7, " ".join(words)), (None, None), (7, "")]
+    got = near.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == named(rows)
+
+
+@pytest.mark.parametrize("tile", [4, 512])
+def test_tiles_give_a_pair_once(spark, monkeypatch, tile):
+    """Texts just below the bound share many tokens; each pair comes out of one tile."""
+    monkeypatch.setattr(near, "TILE", tile)
+    seen = []
+    plain = near.tile_pairs
+
+    def pairs(*a):
+        made = plain(*a)
+        seen.extend(map(tuple, made.collect()))
+        return made
+
+    monkeypatch.setattr(near, "tile_pairs", pairs)
+    rnd = random.Random(3)
+    base = [f"b{k}" for k in range(100)]
+    rows = [(d, " ".join(base[:70] + [f"x{d}y{rnd.random()}" for _ in range(30)])) for d in range(40)] + [(100 + d, " ".join(base[d:])) for d in range(10)]
+    got = near.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    assert len(seen) == len(set(seen)) and all(a < b for a, b in seen)
+
+
+def test_wider_bitmaps_bound_the_overlap():
+    rnd = random.Random(8)
+    hashes = near.WordHashes()
+    for _ in range(200):
+        base = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.choice([6, 40, 300, 700]))]
+        other = [w for w in base if rnd.random() < rnd.choice([0.9, 0.99])]
+        x, y = (near.shingles(" ".join(w), hashes) for w in (base, other))
+        if len(x) and len(y):
+            both = len(set(x.tolist()) & set(y.tolist()))
+            if 100 * both >= 75 * (len(x) + len(y) - both):
+                for times in (1, near.WIDER):
+                    bits = [int.from_bytes(near.bitmap(s, times), "little") for s in (x, y)]
+                    assert near.may_link(len(x), bits[0], len(y), bits[1], times)
