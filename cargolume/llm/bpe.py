@@ -7,13 +7,15 @@ has a rank. All rows of a matrix shrink together, so a bucket of width L ends af
 longer than `LONGEST` bytes is merged on a heap instead, which gives the same ids in n log n.
 
 Defined results: a null or empty text has no tokens and decodes to no bytes; ids of special tokens are never made;
+rows are encoded one by one, also those of equal doc_id; a very long text is encoded part by part, cut between pieces;
 an empty table gives no rows; decoding fails on ids that are not in the vocabulary.
 """
 
 import base64
 import heapq
+from array import array
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,8 @@ NONE = np.int32(2**31 - 1)
 LONGEST = 256
 WIDTHS = [*range(2, 17), 20, 24, 32, 48, 64, 96, 128, 192, LONGEST]
 BUCKET = [min(w for w in WIDTHS if w >= n) for n in range(LONGEST + 1)]  # by length
-CACHED = 400_000         # pieces that a worker keeps
+CACHED = 24 << 20        # bytes of pieces and ids that a task keeps
+ENTRY = 180              # bytes that an entry takes besides them
 CHUNK = 2_000_000        # characters whose pieces are encoded together
 
 
@@ -82,7 +85,8 @@ class Codec:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}  # ids as packed 32-bit numbers
+        self.held = 0
 
     def encode_bytes(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each piece."""
@@ -179,14 +183,20 @@ class Codec:
         return out + self._encode(chunk)
 
     def _encode(self, pieces_of: list[list[str]]) -> list[np.ndarray]:
-        new = set().union(*pieces_of).difference(self.cache)
-        if len(self.cache) + len(new) > CACHED:
-            self.cache.clear()
-            new = set().union(*pieces_of)
-        new = list(new)
-        self.cache.update(zip(new, self.encode_bytes([p.encode() for p in new])))
+        new = list(set().union(*pieces_of).difference(self.cache))
+        for piece, ids in zip(new, self.encode_bytes([p.encode() for p in new])):
+            self.cache[piece] = array("i", ids).tobytes()
+            self.held += ENTRY + len(piece) + 4 * len(ids)
         get = self.cache.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, pieces)), np.int32) for pieces in pieces_of]
+        out = [np.frombuffer(b"".join(map(get, pieces)), np.int32) for pieces in pieces_of]
+        for piece in (p for p in new if len(p) > LONGEST):
+            self.held -= ENTRY + len(piece) + len(self.cache.pop(piece))
+        if self.held > CACHED:
+            self.forget()
+        return out
+
+    def forget(self) -> None:
+        self.cache, self.held = {}, 0
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -209,6 +219,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 values = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, pa.array(values))], ["doc_id", "ids"])
+        use.forget()  # the worker goes on to other tasks
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
