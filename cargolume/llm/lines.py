@@ -9,7 +9,8 @@ share a variant are never paired with each other, however many they are. The dis
 verified on the words.
 
 Before variants are made, lines are screened: an edit leaves the first or the last words up to a power of two (at
-least a quarter of the line) as they are, so a line that shares neither with any other line has no near line.
+least a quarter of the line) as they are, so a line that shares neither with any other line has no near line. A line
+that shares its first words only can differ behind them only, and loses words there only; likewise for its last words.
 
 Defined results: a null text has no lines; lines without words always stay; a line counts as a copy by its words, so
 white space does not matter; what is earlier is judged on the input, also when the earlier line goes itself; rows with
@@ -38,13 +39,17 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return stored(rows.select("doc_id", "t", "line", F.unhex(F.md5(F.array_join("w", " "))).alias("key"), screens(F.col("w")).alias("screens")), "lines")
 
 
+def half_of(n: Column) -> Column:
+    """The power of two that is at most half of n."""
+    return F.pow(F.lit(2), F.floor(F.log2(n / 2))).cast("int")
+
+
 def screens(w: Column) -> Column:
     """Hashes of the first and of the last words, up to the power of two that is at most half the line.
 
     A line of 2^k words also gives those for half that, which a line with one word less uses.
     """
-    n = F.size(w)
-    half = F.pow(F.lit(2), F.floor(F.log2(n / 2))).cast("int")
+    n, half = F.size(w), half_of(F.size(w))
 
     def ends(size):
         return [F.xxhash64(F.lit(0), size, F.slice(w, 1, size)), F.xxhash64(F.lit(1), size, F.slice(w, -size, size))]
@@ -60,15 +65,15 @@ def first_lines(rows: DataFrame) -> DataFrame:
 
 
 def near_candidates(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """Lines that share a screen with another: doc_id, line, key and their words."""
-    screened = firsts.select("key", "doc_id", "line", "t", F.explode("screens").alias("screen"))
+    """Lines that share a screen with another: doc_id, line, key, `hits` (a bit for each of its screens) and their words."""
+    screened = firsts.select("key", "doc_id", "line", "t", F.posexplode("screens").alias("at", "screen"))
     shared = screened.groupBy("screen").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("screen")
-    chosen = screened.join(shared, "screen").groupBy("key", "doc_id", "line", "t").agg(F.count(F.lit(1)).alias("hits"))
-    by_doc = chosen.groupBy(F.col("doc_id").alias("c_id"), F.col("t").alias("c_t")).agg(F.collect_list(F.struct("line", "key")).alias("found"))
+    chosen = screened.join(shared, "screen").groupBy("key", "doc_id", "line", "t").agg(F.bit_or(F.expr("shiftleft(1, at)")).alias("hits"))
+    by_doc = chosen.groupBy(F.col("doc_id").alias("c_id"), F.col("t").alias("c_t")).agg(F.collect_list(F.struct("line", "key", "hits")).alias("found"))
     d = keyed(docs)
     texts = d.join(by_doc, d.doc_id.eqNullSafe(F.col("c_id")) & d.t.eqNullSafe(F.col("c_t")))
     at = texts.select("doc_id", F.split("text", "\n").alias("raw"), F.explode("found").alias("f"))
-    rows = at.select("doc_id", "f.line", "f.key", words(F.get("raw", F.col("f.line"))).alias("w"))
+    rows = at.select("doc_id", "f.line", "f.key", "f.hits", words(F.get("raw", F.col("f.line"))).alias("w"))
     return rows.dropDuplicates(["key"])  # rows with equal id and text give the same line twice
 
 
@@ -89,33 +94,37 @@ def running_sums(d: DataFrame, values: str, into: str) -> DataFrame:
 def variants(lines: DataFrame) -> DataFrame:
     """A row per variant: doc_id, line, variant and `without`, the place of the word left out (-1: none).
 
-    A variant's hash adds up hashes of (word, place); leaving a word out moves the later ones up by one place.
+    A variant's hash adds up hashes of (word, place); leaving a word out moves the later ones up by one place. Equal
+    hashes of other words do no harm, since partners are verified, but for a chance of about lines^2 / 2^61 that one
+    hides a later partner.
     """
-    d = lines.select("doc_id", "line", "w", F.size("w").alias("n"))
-    names = []
-    for seed in (1, 2):
-        def h(word, place):
-            return F.pmod(F.xxhash64(word, place, F.lit(seed)), F.lit(MODULUS))
-
-        here, moved = F.col("here"), F.col("moved")
-        d = d.withColumn("here", F.transform("w", lambda x, i: h(x, i))).withColumn("moved", F.transform("w", lambda x, i: h(x, i - 1)))
-        # The sum without word i is (words before i in place) + (words after i moved up): `start` for the first word,
-        # then a step from each word to the next. Nothing that takes a pass may stand alone inside a lambda.
-        start = F.aggregate(F.slice(moved, 2, F.greatest(F.size(moved) - 1, F.lit(0))), F.lit(0).cast("long"), lambda a, b: (a + b) % MODULUS)
-        step = lambda x, i: F.when(i == 0, start).otherwise((F.get(here, i - 1) - F.get(moved, i) + MODULUS) % MODULUS)
-        d = running_sums(d.withColumn("steps", F.transform(here, step)), "steps", "run")
-        whole = F.aggregate(here, F.lit(0).cast("long"), lambda a, b: (a + b) % MODULUS)
-        d = d.withColumn(f"v{seed}", F.concat("run", F.array(whole))).drop("here", "moved", "steps", "run")
-        names.append(f"v{seed}")
-    each = d.select("doc_id", "line", "n", F.posexplode(F.arrays_zip(*names)).alias("i", "v"))
-    out = F.col("i") < F.col("n")
-    return each.select(
-        "doc_id", "line", F.xxhash64("v.v1", "v.v2", F.when(out, F.col("n") - 1).otherwise(F.col("n"))).alias("variant"),
-        F.when(out, F.col("i")).otherwise(-1).alias("without")).where((F.col("n") >= NEAR_WORDS) | (F.col("without") == -1))
+    def h(word, place):
+        return F.pmod(F.xxhash64(word, place), F.lit(MODULUS))
+
+    here, moved, n = F.col("here"), F.col("moved"), F.col("n")
+    d = lines.select("doc_id", "line", "hits", F.size("w").alias("n"), F.transform("w", lambda x, i: h(x, i)).alias("here"), F.transform("w", lambda x, i: h(x, i - 1)).alias("moved"))
+    # The sum without word i is (words before i in place) + (words after i moved up): `start` for the first word,
+    # then a step from each word to the next. Nothing that takes a pass may stand alone inside a lambda.
+    d = d.withColumn("start", F.aggregate(F.slice(moved, 2, F.greatest(F.size(moved) - 1, F.lit(0))), F.lit(0).cast("long"), lambda a, b: (a + b) % MODULUS))
+    step = lambda x, i: F.when(i == 0, F.col("start")).otherwise((F.get(here, i - 1) - F.get(moved, i) + MODULUS) % MODULUS)
+    d = running_sums(d.withColumn("steps", F.transform(here, step)), "steps", "run")
+    whole = F.aggregate(here, F.lit(0).cast("long"), lambda a, b: (a + b) % MODULUS)
+    half = half_of(n)
+    quarter, hit = (half / 2).cast("int"), lambda k: F.col("hits").bitwiseAND(1 << k) > 0
+    first = F.when(hit(2), quarter).when(hit(0), half).otherwise(n)
+    last = n - F.when(hit(3), quarter).when(hit(1), half).otherwise(n)
+    each = d.select("doc_id", "line", "n", first.alias("first"), last.alias("last"), F.posexplode(F.concat("run", F.array(whole))).alias("i", "v"))
+    i, out = F.col("i"), F.col("i") < n
+    kept = each.where(~out | ((n >= NEAR_WORDS) & ((i >= F.col("first")) | (i < F.col("last")))))
+    return kept.select(
+        "doc_id", "line", F.xxhash64("v", F.when(out, n - 1).otherwise(n)).alias("variant"), F.when(out, i).otherwise(-1).alias("without"))
 
 
 def earliest_partners(rows: DataFrame) -> DataFrame:
-    """doc_id, line and p, the place of the earliest line with which it shares a variant in a way that bounds the edits."""
+    """doc_id, line and p, the place of the earliest line with which it shares a variant in a way that bounds the edits.
+
+    `rows` is a stored table, since it is read twice.
+    """
     place = F.struct("doc_id", "line")
     roles = rows.groupBy("variant", "without").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     whole = F.col("without") == -1
@@ -140,14 +149,15 @@ def within_one_edit(a: Column, b: Column) -> Column:
 def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """key of every line with an earlier line within the bound, stored."""
     lines = stored(near_candidates(firsts, docs), "line-candidates")
-    found = earliest_partners(variants(lines))
+    rows = stored(variants(lines), "line-variants")
+    found = earliest_partners(rows)
     x = lines.select("doc_id", "line", "key", "w")
     y = lines.select(F.col("doc_id").alias("y_id"), F.col("line").alias("y_line"), F.col("w").alias("y_w"))
     f = found.select(F.col("doc_id").alias("f_id"), F.col("line").alias("f_line"), "p")
     both = x.join(f, x.doc_id.eqNullSafe(F.col("f_id")) & (x.line == F.col("f_line"))).join(
         y, F.col("p.doc_id").eqNullSafe(F.col("y_id")) & (F.col("p.line") == F.col("y_line")))
     near = stored(both.where(within_one_edit(F.col("w"), F.col("y_w"))).select("key").distinct(), "line-near")
-    discard(lines)
+    discard(lines, rows)
     return near
 
 
