@@ -5,18 +5,17 @@ prefixes: the first quarter (and one) of their shingles in any order that is com
 shingles last that are frequent in the corpus, by a count sketch of fixed size over all documents, and is random
 otherwise. So a passage that many documents share makes no bucket.
 
-1. One pass writes node, size and hashed bitmaps of every document, and the sketch.
+1. One pass writes node, size and hashed bitmap of every document, and the sketch.
 2. Tokens that occur once are found by merging packed sorted blocks, and dropped before anything is joined.
 3. Hubs: in each bucket (token and size band) every node meets the most central node only. Verified links give
    components, so a group of thousands of copies is joined by that many pairs.
 4. Tiles: where a bucket still holds several components, its nodes are compared by size and bitmap. Buckets of more
    than `TILE` rows are laid out in size-banded tiles (a band and the next), and those again in pairs of blocks. Only
-   pairs of different components are compared. A node carries its tokens of such buckets, and a pair that shares several
-   comes out of the first of them only.
+   pairs of different components are compared.
 
 Pairs of 3 and 4 are screened by bitmaps: every bit set in one only is a shingle that the other lacks, which bounds the
-overlap from above. Tiles use small bitmaps; the distinct pairs that they let through meet ones of four times the width.
-What is left is verified on sorted arrays of all shingles. Nothing is dropped but by those bounds.
+overlap from above. At two bits and more a shingle, few pairs pass that share less than three quarters of either. What is
+left is verified on sorted arrays of all shingles. Nothing is dropped but by those bounds.
 
 Defined results: words as in `common.WORD` with A-Z in lower case; a text of one to four words has one shingle; null,
 empty and blank texts have none and link with nothing; rows with equal doc_id are separate texts, as are those with
@@ -25,7 +24,6 @@ an empty table gives no rows.
 """
 
 import math
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +38,7 @@ SHINGLE = 5
 PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 256
-LEAST_BITS, MOST_BITS = 512, 8192
-WIDER = 4            # times the bits of a bitmap for the second screen
+LEAST_BITS, MOST_BITS = 1024, 16384
 TILE = 512
 HUBS = 2             # hubs that a node is verified against
 BLOCK_TOKENS = 1 << 16
@@ -82,13 +79,13 @@ def node_of(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def width(n: int, times=1) -> int:
+def width(n: int) -> int:
     """Bits of the bitmap of a set of n shingles: sets of one size band have the same width, or the next."""
-    return times * (min(max(LEAST_BITS, 1 << (n - 1).bit_length()), MOST_BITS) if n else LEAST_BITS)
+    return min(max(LEAST_BITS, 2 << (n - 1).bit_length()), MOST_BITS) if n else LEAST_BITS
 
 
-def bitmap(s: np.ndarray, times=1) -> bytes:
-    size = width(len(s), times)
+def bitmap(s: np.ndarray) -> bytes:
+    size = width(len(s))
     bits = np.zeros(size, bool)
     bits[(s % np.uint64(size)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -102,12 +99,12 @@ def folded(x: int, size: int, to: int) -> int:
     return x
 
 
-def may_link(n: int, x: int, m: int, y: int, times=1) -> bool:
+def may_link(n: int, x: int, m: int, y: int) -> bool:
     """Whether bitmaps x and y of sets of n and m shingles allow the similarity.
 
     A bit set on one side only is a shingle that the other side lacks.
     """
-    wide, narrow = width(n, times), width(m, times)
+    wide, narrow = width(n), width(m)
     if wide != narrow:
         to = min(wide, narrow)
         x, y = folded(x, wide, to), folded(y, narrow, to)
@@ -127,11 +124,11 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-SIGNED = ["doc_id", "t", "node", "n", "bitmap", "wide", "block", "data"]
+SIGNED = ["doc_id", "t", "node", "n", "bitmap", "block", "data"]
 
 
 def signed(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, t, node, n, bitmap, wide) of every document, stored; and which sketch cells are frequent."""
+    """(doc_id, t, node, n, bitmap) of every document, stored; and which sketch cells are frequent."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -145,21 +142,21 @@ def signed(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 none = pa.nulls(len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [keys, batch.column(2).slice(at, len(texts)), pa.array([node_of(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32()),
-                     *[pa.array([bitmap(s, times) for s in sets], pa.binary()) for times in (1, WIDER)], none.cast(pa.int32()), none.cast(pa.binary())], SIGNED)
+                     pa.array([bitmap(s) for s in sets], pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], SIGNED)
                 at += len(texts)
         if id_type is not None:
             parts = counts.reshape(SKETCH_BLOCKS, -1)
             none = pa.nulls(len(parts))
             yield pa.RecordBatch.from_arrays(
-                [none.cast(id_type), none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary()),
+                [none.cast(id_type), none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.int32()), none.cast(pa.binary()),
                  pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], SIGNED)
 
-    schema = f"doc_id {kind}, t long, node binary, n int, bitmap binary, wide binary, block int, data binary"
+    schema = f"doc_id {kind}, t long, node binary, n int, bitmap binary, block int, data binary"
     rows = stored(docs.select("doc_id", "text", text_hash().alias("t")).mapInArrow(run, schema), "near-signatures")
     counts = summed_blocks(rows.where("block IS NOT NULL").select("block", "data"), "int64")
     mean = counts.mean() if len(counts) else 0.0
     frequent = counts > mean + 6 * math.sqrt(mean) + 16 if len(counts) else np.zeros(1 << SKETCH_BITS, bool)
-    return rows.where("block IS NULL").select(*SIGNED[:6]), frequent
+    return rows.where("block IS NULL").select(*SIGNED[:5]), frequent
 
 
 def tokens_of(docs: DataFrame, shared, block_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -202,14 +199,14 @@ def fits(a: str, b: str):
 
 
 def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose wide bitmaps allow the similarity."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("bits_a"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("bits_b"))
+    """Pairs (a, b) of nodes whose bitmaps allow the similarity."""
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bitmap").alias("bits_a"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bitmap").alias("bits_b"))
 
     def run(batches):
         for batch in batches:
             n, x, m, y = (batch.column(c).to_pylist() for c in ("n_a", "bits_a", "n_b", "bits_b"))
-            keep = [may_link(i, int.from_bytes(u, "little"), j, int.from_bytes(v, "little"), WIDER) for i, u, j, v in zip(n, x, m, y)]
+            keep = [may_link(i, int.from_bytes(u, "little"), j, int.from_bytes(v, "little")) for i, u, j, v in zip(n, x, m, y)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a binary, b binary")
@@ -311,12 +308,11 @@ def open_rows(rows: DataFrame) -> DataFrame:
 
 
 def tile_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a token, where sizes and bitmaps allow the similarity; each once.
+    """Pairs (a, b) of different components that share a token, where sizes and bitmaps allow the similarity.
 
     A bucket of up to TILE rows is one tile. A larger one is dealt to a tile for each size band, with the nodes of the
     band as owners and those of the next as guests; and a tile that is still larger is cut into blocks by node, every
-    pair of blocks being a tile of its own. Two nodes meet in one tile of each token that they share, and are a pair in
-    that of the smallest such token: every row carries its node's tokens.
+    pair of blocks being a tile of its own.
     """
     whole = F.array(F.struct(F.lit(-1).alias("tile"), F.lit(True).alias("owner")))
     banded = F.array(F.struct(F.col("own").alias("tile"), F.lit(True).alias("owner")), F.struct((F.col("own") - 1).alias("tile"), F.lit(False).alias("owner")))
@@ -329,56 +325,43 @@ def tile_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
     large = large.select("token", "tile", "block", "owner", "n", "node", "comp", F.explode(others).alias("x")).select(
         "token", "tile", "x.i", "x.j", "block", "owner", "n", "node", "comp")
-    key = ["token", "tile", "i", "j"]
-    by_node = small.unionByName(large).groupBy("node").agg(
-        F.first("n").alias("n"), F.first("comp").alias("comp"), F.collect_list(F.struct(*key, "block", "owner")).alias("places"))
-    known = by_node.withColumn("tokens", F.array_sort(F.array_distinct(F.transform("places", lambda x: x["token"]))))
     bits = nodes.select(F.col("node").alias("b_node"), "bitmap")
-    tiles = known.join(bits, F.col("node") == F.col("b_node")).select(F.explode("places").alias("x"), "n", "node", "comp", "bitmap", "tokens")
-    tiles = tiles.select(*[f"x.{c}" for c in key], "x.block", "x.owner", "n", "node", "comp", "bitmap", "tokens")
+    key = ["token", "tile", "i", "j"]
+    tiles = small.unionByName(large).join(bits, F.col("node") == F.col("b_node")).drop("b_node")
 
-    def pairs_of(token, group):
-        """Of rows (i, j, block, owner, n, node, comp, bitmap, tokens), by size."""
+    def pairs_of(group):
+        """Of rows (i, j, block, owner, n, node, comp, bitmap), by size."""
         group.sort(key=lambda r: r[4])
         crossed = group[0][0] != group[0][1]
-        before = {}  # place in the group -> the node's smaller tokens
-
-        def smaller(k):
-            if k not in before:
-                tokens = group[k][8]
-                before[k] = frozenset(tokens[:bisect_left(tokens, token)])
-            return before[k]
-
-        for k, (_, _, block, owner, n, node, comp, bits, _) in enumerate(group):
-            for q in range(k + 1, len(group)):
-                _, _, block2, owner2, m, node2, comp2, bits2, _ = group[q]
+        for k, (_, _, block, owner, n, node, comp, bits) in enumerate(group):
+            for _, _, block2, owner2, m, node2, comp2, bits2 in group[k + 1:]:
                 if 100 * n < PERCENT * m:
                     break
-                if comp != comp2 and (owner or owner2) and (not crossed or block != block2) and may_link(n, bits, m, bits2) and smaller(k).isdisjoint(smaller(q)):
+                if comp != comp2 and (owner or owner2) and (not crossed or block != block2) and may_link(n, bits, m, bits2):
                     yield (node, node2) if node < node2 else (node2, node)
 
     def as_batch(found):
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"])
 
     def run(batches):
-        held, out, now = [], [], None
+        held, out, now = [], set(), None
         for batch in batches:
             for k in range(0, len(batch), 2_000):
                 for token, tile, *row in zip(*(c.to_pylist() for c in batch.slice(k, 2_000).columns)):
                     if (token, tile, row[0], row[1]) != now:
                         if len(held) > 1:
-                            out += pairs_of(now[0], held)
+                            out.update(pairs_of(held))
                         held, now = [], (token, tile, row[0], row[1])
                         if len(out) > 50_000:
-                            yield as_batch(out)
-                            out = []
+                            yield as_batch(list(out))
+                            out = set()
                     row[7] = int.from_bytes(row[7], "little")
                     held.append(row)
         if len(held) > 1:
-            out += pairs_of(now[0], held)
-        yield as_batch(out)
+            out.update(pairs_of(held))
+        yield as_batch(list(out))
 
-    return tiles.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a binary, b binary")
+    return tiles.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -389,7 +372,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = signatures.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     block_bits = max(2, math.ceil(math.log2(max(total // 4, 1) / BLOCK_TOKENS + 1)))
     nodes = stored(signatures.where("n > 0").groupBy("node").agg(
-        F.min("n").alias("n"), F.min(F.struct("doc_id", "t")).alias("of"), F.min("bitmap").alias("bitmap"), F.min("wide").alias("wide")), "near-nodes")
+        F.min("n").alias("n"), F.min(F.struct("doc_id", "t")).alias("of"), F.min("bitmap").alias("bitmap")), "near-nodes")
     tokens, again, both = tokens_of(docs, shared, block_bits)
     met = tokens.select("node", "n", F.explode("tokens").alias("token")).join(again, "token")
     rows = stored(met.groupBy("token", "node").agg(F.min("n").alias("n")), "near-rows")
@@ -401,7 +384,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     discard(rows)
     open_ = open_rows(placed)
     discard(placed)
-    more = verified(screened(tile_pairs(open_, nodes), nodes), nodes, docs)
+    more = verified(tile_pairs(open_, nodes), nodes, docs)
     discard(open_)
     return signatures.select("doc_id", "node", "n"), components(links.union(more))
 
