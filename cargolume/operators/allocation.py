@@ -22,6 +22,7 @@ from cargolume.session import literal_rows, materialise
 
 
 MAX_GAP = 1e-3  # a plan further above its bound than this share is not returned
+DRAWS = 6       # draws of whole vehicles before a ceiling is given up
 
 
 @dataclass(frozen=True)
@@ -109,6 +110,7 @@ class _Ask:
     by_kg: float = 0.0
     offset: float = 0.0
     start: tuple | None = None
+    edge: bool = False  # at the least emission there is: its price runs off, so it is not polished for long
 
     def cap(self, fleet, rows):
         return [float(self.caps.get(v, rows)) for v in fleet]
@@ -151,21 +153,25 @@ def _fold_prices(k: int, asks: list[tuple], wide: DataFrame) -> list:
     return out
 
 
-CELL_BINS = 16
+CELL_BINS = (96, 48, 16)  # per difference; the first that gives at most CELLS of them
+CELLS = 30_000
 
 
 def _cells(wide: DataFrame, k: int):
     """Panel rows alike in what they pay and emit, as (rows, mean payments, mean emissions) arrays; the same for every ceiling.
 
-    At most CELL_BINS to the power of 2 (k - 1) cells reach the driver, whatever the panel's size.
+    A bounded number reaches the driver, whatever the panel's size: CELLS, or the last of CELL_BINS to the power of 2 (k - 1).
     """
     gaps = {f"{a}_{i}": F.col(f"{a}{i}") - F.col(f"{a}0") for a in "be" for i in range(1, k)}
     spans = wide.agg(*[f(x).alias(f"{n}_{name}") for name, x in gaps.items() for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    slots = []
-    for name, x in gaps.items():
-        low, high = spans[f"lo_{name}"] or 0.0, spans[f"hi_{name}"] or 0.0
-        step = (high - low) / CELL_BINS
-        slots.append((F.least(F.floor((x - low) / step), F.lit(CELL_BINS - 1)) if step > 0 else F.lit(0)).alias(name))
+    for bins in CELL_BINS:
+        slots = []
+        for name, x in gaps.items():
+            low, high = spans[f"lo_{name}"] or 0.0, spans[f"hi_{name}"] or 0.0
+            step = (high - low) / bins
+            slots.append((F.least(F.floor((x - low) / step), F.lit(bins - 1)) if step > 0 else F.lit(0)).alias(name))
+        if bins == CELL_BINS[-1] or wide.select(F.xxhash64(*slots).alias("x")).agg(F.approx_count_distinct("x")).first()[0] <= CELLS:
+            break
     rows = wide.groupBy(*slots).agg(F.count("*").alias("n"), *[F.avg(f"{a}{i}").alias(f"{a}{i}") for a in "be" for i in range(k)]).collect()
     rows = sorted(rows, key=lambda r: tuple(r[n] for n in gaps))
     return (np.array([float(r["n"]) for r in rows]), *(np.array([[r[f"{a}{i}"] for i in range(k)] for r in rows]) for a in "be"))
@@ -215,11 +221,12 @@ def _together(searches: list, fold) -> list:
 
 
 def dual_prices(wide: DataFrame, asks: list[_Ask], limits: list, rows: int, spreads: list, fleet, cells, tightness=2e-4, passes=80,
-                starts=None, exact=1e-10) -> list:
+                starts=None, exact=1e-10, enough=5e-8) -> list:
     """For every ask (prices, smoothing, sums at them): prices that maximise the smoothed dual, by Newton steps on k + 1 prices.
 
     A search lowers its smoothing step by step on `cells`, without a job, from its neighbour's result; what is found is
     then polished at the last smoothing on the whole panel. All asks are polished together: a pass is one aggregate for all.
+    A search ends at `exact`, the largest share by which a bound is missed; where it gets stuck, `enough` will do.
     """
     k = len(fleet)
     reach = float(cells[0] @ (cells[2].max(axis=1) - cells[2].min(axis=1))) / max(rows, 1) or 1e-9
@@ -231,9 +238,10 @@ def dual_prices(wide: DataFrame, asks: list[_Ask], limits: list, rows: int, spre
         near.append(last)
 
     def polished(a, limit, spread, near):
-        # Where few rows are near a switch, or cells are too coarse, the smoothing is lowered step by step on the panel too.
-        for most, from_, final_only in ((25, near, True), (passes, near, False), (passes, None, False)):
-            found = yield from _climb(a, k, a.cap(fleet, rows), limit, rows, spread, reach, tightness, most, from_, exact, final_only)
+        # Where few rows are near a switch, or cells are too coarse, the smoothing is lowered step by step on the panel too;
+        # but not for draws, which are repaired and held against the bound, whatever the prices.
+        for most, from_, final_only in ((5 if a.edge else 25, near, True), (passes, near, False), (passes, None, False))[:1 if a.edge else 2 if enough > 1e-6 else 3]:
+            found = yield from _climb(a, k, a.cap(fleet, rows), limit, rows, spread, reach, tightness, most, from_, exact, final_only, enough)
             if found[-1]:
                 break
         return found[:-1]
@@ -241,7 +249,7 @@ def dual_prices(wide: DataFrame, asks: list[_Ask], limits: list, rows: int, spre
     return _together([polished(a, limits[i], spreads[i], near[i]) for i, a in enumerate(asks)], lambda x: _fold_prices(k, x, wide))
 
 
-def _climb(ask, k, caps, epsilon, rows, spread, reach, tightness, passes, start, exact, final_only):
+def _climb(ask, k, caps, epsilon, rows, spread, reach, tightness, passes, start, exact, final_only, enough=5e-8):
     """A search that yields lists of (prices, smoothing, ask) and is sent what `_fold_prices` says of them."""
     right = np.array([0.0 if epsilon is None else epsilon, *caps])
     binding = sum(caps) == rows  # all caps bind: fleet prices may take any sign, and one is a free choice
@@ -294,7 +302,7 @@ def _climb(ask, k, caps, epsilon, rows, spread, reach, tightness, passes, start,
         if final or used >= passes:
             slope = here[2] - right
             rest = np.where(held | (~free_sign & (theta <= 0) & (slope < 0)), 0.0, slope)
-            return theta, tau, here, final and np.max(np.abs(rest) / scale) < max(exact, 5e-8)
+            return theta, tau, here, final and np.max(np.abs(rest) / scale) < enough
         tau = max(tau / 12.0, last)
 
 
@@ -322,9 +330,9 @@ class _Whole:
     The draws of all asks stand side by side in one stored table, `pick0`, `pick1`, ...; repairs are expressions over it.
     """
 
-    def __init__(self, wide, asks, found, fleet, rows):
+    def __init__(self, wide, asks, found, fleet, rows, seed=7):
         self.k, self.asks, self.found, self.fleet = len(fleet), asks, found, fleet
-        picks, u = [], uniform(7, F.col("Shipment_ID"))
+        picks, u = [], uniform(seed, F.col("Shipment_ID"))
         for j, (a, (theta, tau, _)) in enumerate(zip(asks, found)):
             upto, pick = F.lit(0.0), F.lit(0)
             for y in _share_columns(self.k, a, theta, tau)[:-1]:
@@ -403,10 +411,10 @@ def _solve(wide, asks: list[_Ask], rows, spreads, fleet, risk, whole, tightness)
     limits = [a.epsilon if a.epsilon is None or whole else a.epsilon * (1 - 1e-7) for a in asks]
     out, lower, shadow, starts = [None] * len(asks), [None] * len(asks), [None] * len(asks), [None] * len(asks)
     open_ = list(range(len(asks)))
-    for attempt in range(4):
+    for attempt in range(DRAWS):
         mine = [asks[i] for i in open_]
         found = dual_prices(wide, mine, [limits[i] for i in open_], rows, [spreads[i] for i in open_], fleet, cells, tightness,
-                            starts=[starts[i] for i in open_], exact=1e-7 if whole else 1e-10)
+                            starts=[starts[i] for i in open_], exact=3e-5 if whole else 1e-10, enough=1e-3 if whole else 5e-8)  # draws are repaired
         if attempt == 0:
             hard = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.least(*_reduced(k, a, theta)).alias("x")) for j, (a, (theta, _, _)) in enumerate(zip(mine, found))]))
             for r in wide.select(hard.alias("x")).select("x.*").groupBy("j").agg(F.sum("x").alias("x")).collect():
@@ -415,23 +423,28 @@ def _solve(wide, asks: list[_Ask], rows, spreads, fleet, risk, whole, tightness)
                 shadow[r["j"]] = None if a.epsilon is None else float(theta[0]) * 1000.0
         if not whole:
             return [_shared(wide, k, a, f, lower[i], shadow[i], fleet, risk) for i, (a, f) in enumerate(zip(asks, found))]
-        drawn = _Whole(wide, mine, found, fleet, rows)
-        sums, missed = drawn.sums(risk), []
+        drawn = _Whole(wide, mine, found, fleet, rows, seed=7 + attempt)
+        sums, again, floor = drawn.sums(risk), [], None
         for j, i in enumerate(open_):
             a, (theta, tau, (_, _, _, curve)), s = asks[i], found[j], sums[j]
             starts[i] = tuple(map(float, theta))
             if a.epsilon is None or s["e"] <= a.epsilon:
-                out[i] = Plan(drawn.assignment(j), s["f"], s["e"], {v: float(s[f"n{x}"]) for x, v in enumerate(fleet)}, a.epsilon, shadow[i],
-                              lower[i], a.by_paid * s["b"] + a.by_kg * s["e"] - a.offset, s["p"], 0, starts[i])
+                plan = Plan(drawn.assignment(j), s["f"], s["e"], {v: float(s[f"n{x}"]) for x, v in enumerate(fleet)}, a.epsilon, shadow[i],
+                            lower[i], a.by_paid * s["b"] + a.by_kg * s["e"] - a.offset, s["p"], 0, starts[i])
+                if out[i] is None or plan.objective < out[i].objective:
+                    out[i] = plan
+                if out[i].gap > MAX_GAP:
+                    again.append(i)
                 continue
-            # Drawing whole vehicles misses the ceiling by chance: aim lower by what it missed, and some.
+            # Drawing whole vehicles misses the ceiling by chance: aim lower by what it missed, or by what it may.
             noise = float(np.sqrt(max(curve[0, 0] * tau, 0.0)))
-            limits[i] = limits[i] - 2.0 * max(s["e"] - a.epsilon, noise) * (attempt + 1)
-            missed.append(i)
-        if missed:
-            floor = wide.agg(F.sum(F.least(*[F.col(f"e{i}") for i in range(k)]))).first()[0]
-            open_ = [i for i in missed if limits[i] > floor]
-        if not missed or not open_:
+            lowered = limits[i] - 0.5 * max(s["e"] - a.epsilon, noise) * (attempt + 1)
+            floor = wide.agg(F.sum(F.least(*[F.col(f"e{x}") for x in range(k)]))).first()[0] if floor is None else floor
+            if out[i] is None and lowered > floor and not a.edge:
+                limits[i] = lowered
+                again.append(i)
+        open_ = again
+        if not open_:
             break
     return [_Missed(lower[i], np.array(starts[i])) if p is None else p for i, p in enumerate(out)]
 
@@ -537,7 +550,7 @@ def _ceiling(caps, epsilon, stats, greenest, start=None) -> _Ask:
         raise UnprovenPlanError(f"the ceiling {epsilon:.1f} kg lies between the bound {greenest.lower_bound:.1f} and the best plan found, {greenest.co2_kg:.1f}")
     # Ties go to the lower emission. The tie-break rewards room under the ceiling, so the bound also holds for the cost without it.
     delta = P.SLACK_WEIGHT / stats.span if stats.span else 0.0
-    return _Ask(caps, epsilon, 1.0, delta, delta * epsilon, start)
+    return _Ask(caps, epsilon, 1.0, delta, delta * epsilon, start, epsilon <= greenest.co2_kg * (1 + 1e-6))
 
 
 def _settled(found, ask, rows, greenest, risk, penalty) -> Plan:

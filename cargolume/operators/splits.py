@@ -85,3 +85,13 @@ def weekly_budget(planned: DataFrame, monthly_capacity: dict[str, float], day="F
     return weekly.select("Vehicle_Type", "month", "week", "used", total.alias("used_to_date"),
                          (capacity - (total - F.col("used"))).alias("budget_before"),
                          (capacity - total).alias("budget_after"))
+
+
+def running_use(per: DataFrame, monthly_capacity: dict[str, int]) -> DataFrame:
+    """Of rows (month, week, Vehicle_Type, n, ids): per week its shipments and ids, and whether a vehicle's use since the month began is above capacity."""
+    from cargolume.functions.formulas import lookup
+
+    running = Window.partitionBy("Vehicle_Type", "month").orderBy("week").rowsBetween(Window.unboundedPreceding, 0)
+    over = F.sum("n").over(running) > lookup("Vehicle_Type", monthly_capacity)
+    return per.withColumn("over", over).groupBy("month", "week").agg(
+        F.sum("n").alias("shipments"), F.sum("ids").alias("planned"), F.bool_or("over").alias("over_budget"))
