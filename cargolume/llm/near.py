@@ -38,7 +38,7 @@ SHINGLE = 5
 PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 256
-LEAST_BITS, MOST_BITS = 1024, 16384
+LEAST_BITS, MOST_BITS = 512, 16384
 TILE = 512
 HUBS = 2             # hubs that a node is verified against
 BLOCK_TOKENS = 1 << 16
@@ -301,10 +301,15 @@ def band(size: str):
 
 
 def open_rows(rows: DataFrame) -> DataFrame:
-    """The rows of buckets with several components, with the bucket's size and the node's band; stored."""
-    buckets = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    buckets = buckets.where(F.col("low") != F.col("high")).select("token", "rows")
-    return stored(rows.join(buckets, "token").withColumn("own", band("n")), "near-open")
+    """The rows of buckets with several components, with the bucket's size and the node's band; stored.
+
+    `at` is the token's place in the node's order. A link's first common token leaves n - at shingles to share at most, so
+    a row goes for which that is too little even with the bucket's smallest node; it is not the first of any link.
+    """
+    buckets = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least"))
+    buckets = buckets.where(F.col("low") != F.col("high")).select("token", "rows", "least")
+    met = rows.join(buckets, "token").where((100 + PERCENT) * (F.col("n") - F.col("at")) >= PERCENT * (F.col("n") + F.col("least"))).drop("least")
+    return stored(met.withColumn("own", band("n")), "near-open")
 
 
 def tile_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -316,28 +321,28 @@ def tile_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     whole = F.array(F.struct(F.lit(-1).alias("tile"), F.lit(True).alias("owner")))
     banded = F.array(F.struct(F.col("own").alias("tile"), F.lit(True).alias("owner")), F.struct((F.col("own") - 1).alias("tile"), F.lit(False).alias("owner")))
-    tiled = open_.select("token", "rows", "node", "n", "comp", F.explode(F.when(F.col("rows") <= TILE, whole).otherwise(banded)).alias("x"))
-    tiled = tiled.select("token", "rows", "node", "n", "comp", "x.*")
-    small = tiled.where("tile = -1").select("token", "tile", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "owner", "n", "node", "comp")
+    tiled = open_.select("token", "rows", "node", "n", "at", "comp", F.explode(F.when(F.col("rows") <= TILE, whole).otherwise(banded)).alias("x"))
+    tiled = tiled.select("token", "rows", "node", "n", "at", "comp", "x.*")
+    small = tiled.where("tile = -1").select("token", "tile", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "owner", "n", "node", "comp", "at")
     large = tiled.where("tile <> -1")
     cuts = large.groupBy("token", "tile").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("cuts"))
     large = large.join(cuts, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
-    large = large.select("token", "tile", "block", "owner", "n", "node", "comp", F.explode(others).alias("x")).select(
-        "token", "tile", "x.i", "x.j", "block", "owner", "n", "node", "comp")
+    large = large.select("token", "tile", "block", "owner", "n", "node", "comp", "at", F.explode(others).alias("x")).select(
+        "token", "tile", "x.i", "x.j", "block", "owner", "n", "node", "comp", "at")
     bits = nodes.select(F.col("node").alias("b_node"), "bitmap")
     key = ["token", "tile", "i", "j"]
     tiles = small.unionByName(large).join(bits, F.col("node") == F.col("b_node")).drop("b_node")
 
     def pairs_of(group):
-        """Of rows (i, j, block, owner, n, node, comp, bitmap), by size."""
+        """Of rows (i, j, block, owner, n, node, comp, at, bitmap), by size. What follows the first common token bounds the overlap."""
         group.sort(key=lambda r: r[4])
         crossed = group[0][0] != group[0][1]
-        for k, (_, _, block, owner, n, node, comp, bits) in enumerate(group):
-            for _, _, block2, owner2, m, node2, comp2, bits2 in group[k + 1:]:
+        for k, (_, _, block, owner, n, node, comp, at, bits) in enumerate(group):
+            for _, _, block2, owner2, m, node2, comp2, at2, bits2 in group[k + 1:]:
                 if 100 * n < PERCENT * m:
                     break
-                if comp != comp2 and (owner or owner2) and (not crossed or block != block2) and may_link(n, bits, m, bits2):
+                if comp != comp2 and (100 + PERCENT) * min(n - at, m - at2) >= PERCENT * (n + m) and (owner or owner2) and (not crossed or block != block2) and may_link(n, bits, m, bits2):
                     yield (node, node2) if node < node2 else (node2, node)
 
     def as_batch(found):
@@ -355,7 +360,7 @@ def tile_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
                         if len(out) > 50_000:
                             yield as_batch(list(out))
                             out = set()
-                    row[7] = int.from_bytes(row[7], "little")
+                    row[8] = int.from_bytes(row[8], "little")
                     held.append(row)
         if len(held) > 1:
             out.update(pairs_of(held))
@@ -374,12 +379,12 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = stored(signatures.where("n > 0").groupBy("node").agg(
         F.min("n").alias("n"), F.min(F.struct("doc_id", "t")).alias("of"), F.min("bitmap").alias("bitmap")), "near-nodes")
     tokens, again, both = tokens_of(docs, shared, block_bits)
-    met = tokens.select("node", "n", F.explode("tokens").alias("token")).join(again, "token")
-    rows = stored(met.groupBy("token", "node").agg(F.min("n").alias("n")), "near-rows")
+    met = tokens.select("node", "n", F.posexplode("tokens").alias("at", "token")).join(again, "token")
+    rows = stored(met.groupBy("token", "node").agg(F.min("n").alias("n"), F.min("at").alias("at")), "near-rows")
     discard(both)
     links = verified(screened(hub_pairs(rows), nodes), nodes, docs)
     first = components(links).withColumnRenamed("node", "c_node")
-    placed = rows.join(first, F.col("node") == F.col("c_node"), "left").select("token", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    placed = rows.join(first, F.col("node") == F.col("c_node"), "left").select("token", "node", "n", "at", F.coalesce("comp", "node").alias("comp"))
     placed = stored(placed, "near-placed")
     discard(rows)
     open_ = open_rows(placed)
