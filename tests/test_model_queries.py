@@ -1,54 +1,29 @@
-"""The registered model queries fit the operator's default model: all trees, full depth, calibrated members."""
+"""The registered model queries: the operator's default model, and what they give with a small one."""
 
 import pytest
-from pyspark.sql import functions as F
 
-from cargolume.functions import formulas as fx
 from cargolume.operators import model
 from cargolume.queries import REGISTRY
 from cargolume.queries import job_queries as jq
+from cargolume.schemas import FEATURES
 
-FITTED = ["walk_forward_scores", "walk_forward_quality", "chronological_evaluation", "split_strategies", "scoring_regimes",
-          "feature_ablation", "calibration_methods", "impurity_importance", "permutation_importance", "saved_model_check",
-          "batch_scores", "raw_vehicle_guard"]
+SMALL = model.ModelSettings(trees=6, depth=6, members=2, folds=2, fit_rows=1500)
+ROWS = {"walk_forward_scores": 6000, "walk_forward_quality": 2, "chronological_evaluation": 5, "split_strategies": 2, "scoring_regimes": 3,
+        "feature_ablation": 7, "calibration_methods": 3, "impurity_importance": 6, "permutation_importance": 6, "saved_model_check": 1,
+        "batch_scores": 6000, "raw_vehicle_guard": 1, "training_run": 1}
 
 
-class Reached(Exception):
-    pass
+def test_queries_run_the_default_model():
+    d = model.ModelSettings()
+    assert jq.FULL == d
+    assert (d.trees, d.depth, d.members, d.folds, d.method, d.features) == (300, 30, 5, 5, "isotonic", tuple(FEATURES))
 
 
-@pytest.fixture(scope="module")
-def prepared(view):
-    return model.prepare(view.withColumn("Full_Date", F.to_date("Shipment_Date")).withColumn("is_delayed", fx.is_delayed()))
-
-
-@pytest.mark.parametrize("name", FITTED)
-def test_first_forest_has_the_default_settings(spark, folder, prepared, monkeypatch, name):
-    seen = []
-
-    def forest(train, settings, i):
-        seen.append(settings)
-        raise Reached
-
-    monkeypatch.setattr(model, "prepare", lambda *a, **k: prepared)
-    monkeypatch.setattr(model, "_forest", forest)
-    with pytest.raises(Reached):
-        REGISTRY[name][0](spark, folder)
-    want = model.ModelSettings()
-    assert (seen[0].trees, seen[0].depth, seen[0].members, seen[0].folds) == (want.trees, want.depth, want.members, want.folds) == (300, 30, 5, 5)
-    assert seen[0].method == "isotonic"
-
-
-def test_training_run_has_the_default_settings(spark, folder, monkeypatch):
-    seen = []
-
-    def run(tables, out, stage, settings):
-        seen.append((stage, settings))
-        raise Reached
-
-    monkeypatch.setattr(jq.writers, "write_star", lambda *a: None)
-    monkeypatch.setattr(jq.readers, "load_star", lambda *a: {})
-    monkeypatch.setattr(jq.jobs, "run_training", run)
-    with pytest.raises(Reached):
-        REGISTRY["training_run"][0](spark, folder)
-    assert seen == [("all", model.ModelSettings())]
+@pytest.mark.parametrize("name", sorted(ROWS))
+def test_rows_with_a_small_model(spark, folder, monkeypatch, name):
+    monkeypatch.setattr(jq, "FULL", SMALL)
+    rows = REGISTRY[name][0](spark, folder).collect()
+    assert len(rows) == ROWS[name]
+    for r in rows:
+        for c in ("probability", "Delay_Risk_Probability", "roc_auc"):
+            assert c not in r or 0 <= r[c] <= 1
