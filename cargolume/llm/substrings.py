@@ -1,9 +1,10 @@
 """Suffix-array dedup: bytes that lie in a string of `LENGTH` bytes which also starts elsewhere.
 
 A longest-previous-factor array says for every position how long a match begins there that also begins earlier. In
-suffix order that match is with the nearest smaller position before or after. Only matches of LENGTH bytes count
-here, so suffixes are cut at LENGTH: equal ones are a run in suffix order, held in text order, and a position has a
-previous factor of that length exactly if it is not the first of its run (a next factor, if not the last).
+suffix order that match is with the nearest smaller position before or after (`previous_factors`); longest next factors
+come likewise from larger positions. Only matches of LENGTH bytes count here, so suffixes are cut at LENGTH bytes, and
+shorter matches are not followed. A position begins a repeated string if its previous or next factor reaches LENGTH,
+and holds the first occurrence if its previous factor does not.
 
 The suffix array is built in parts that cannot share a run. Every window of LENGTH bytes names an anchor: its leftmost
 64-byte gram of least hash. Equal windows have equal anchors, so windows are dealt by anchor.
@@ -11,7 +12,7 @@ The suffix array is built in parts that cannot share a run. Every window of LENG
 1. Equal texts are found by digest; all but one of each go through no further step.
 2. Anchors that occur once are found by merging packed sorted blocks, and dropped.
 3. The windows of one anchor form a context (the bytes they cover). Contexts are compared by digest first; only where
-   one anchor has several contexts are their bytes gathered, and their windows put in suffix order.
+   one anchor has several contexts are their bytes gathered, and factors taken over their windows in suffix order.
 4. An anchor with more than `MOST` contexts is dealt again by hashes of its windows: repeated ones are found by merging
    packed blocks and joined back, so that no task gets all its contexts.
 
@@ -221,10 +222,11 @@ def context_bytes(texts: DataFrame, distinct: DataFrame) -> DataFrame:
 FLAGS = "token long, cid binary, count int, repeated binary, owned binary"
 
 
-def suffix_runs(raw: list[bytes], counts: list[int], places: list[str]) -> tuple[np.ndarray, ...]:
-    """The windows of contexts in suffix order, ties in text order.
+def suffix_order(raw: list[bytes], counts: list[int], places: list[str]) -> tuple[np.ndarray, ...]:
+    """The windows of contexts in suffix order.
 
-    Gives for each window in that order: its context, its number in the context, and its run of equal windows.
+    Gives for each window in that order: its context, its number in the context, its position in text order, and the
+    bytes it has in common with the window before it.
     """
     data = np.frombuffer(b"".join(raw), np.uint8)
     base = np.cumsum([0] + [len(r) for r in raw[:-1]])
@@ -232,27 +234,64 @@ def suffix_runs(raw: list[bytes], counts: list[int], places: list[str]) -> tuple
     count = np.array(counts)
     context = np.repeat(np.arange(len(raw)), count)
     number = np.arange(len(context)) - np.repeat(np.cumsum(count) - count, count)
-    by_place = np.lexsort((number, rank[context]))
-    context, number = context[by_place], number[by_place]
-    windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[base[context] + number]
-    words = np.ascontiguousarray(windows).view(">u8")
-    order = np.argsort(np.ascontiguousarray(windows).view(f"S{LENGTH}")[:, 0], kind="stable")
-    words = words[order]
-    same = np.r_[False, (words[1:] == words[:-1]).all(axis=1)] if len(order) else np.zeros(0, bool)
-    return context[order], number[order], np.cumsum(~same) - 1
+    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, LENGTH)[base[context] + number])
+    order = np.argsort(windows.view(f"S{LENGTH}")[:, 0], kind="stable")
+    context, number = context[order], number[order]
+    return context, number, rank[context] * count.max() + number, common_prefixes(windows.view(">u8")[order])
+
+
+def common_prefixes(windows: np.ndarray) -> np.ndarray:
+    """How many bytes each row of 8-byte words has in common with the row before it (the first row: 0)."""
+    if len(windows) < 2:
+        return np.zeros(len(windows), np.int64)
+    rows, at = np.arange(len(windows) - 1), (windows[1:] != windows[:-1]).argmax(axis=1)
+    gap = (windows[1:][rows, at] ^ windows[:-1][rows, at]).astype(np.uint64)
+    equal = sum((gap < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8))
+    return np.r_[0, np.where(gap == 0, 8 * windows.shape[1], 8 * at + equal)]
+
+
+def nearest_smaller(position: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """For each suffix in order: the bytes it shares with the nearest one before it whose position is smaller.
+
+    All suffixes look at once: one whose neighbour's position is larger goes on to where that neighbour looks, and what
+    it shares is the least on the way. Shares below `least` are not followed any further, and are 0.
+    """
+    near, shared = np.arange(-1, len(position) - 1), common.copy()
+
+    def larger(i):
+        return i[(near[i] >= 0) & (shared[i] >= least) & (position[near[i]] > position[i])]
+
+    looking = larger(np.arange(len(position)))
+    while len(looking):
+        via = near[looking]
+        further, less = near[via], np.minimum(shared[looking], shared[via])
+        near[looking], shared[looking] = further, less
+        looking = larger(looking)
+    return np.where((near >= 0) & (shared >= least), shared, 0)
+
+
+def previous_factors(position: np.ndarray, common: np.ndarray, least=1) -> np.ndarray:
+    """The longest-previous-factor array in suffix order: the longest match of each suffix with one that stands earlier.
+
+    Of all earlier ones, the nearest in suffix order on either side shares most. With negated positions these are the
+    longest next factors. Matches below `least` bytes are 0.
+    """
+    before = nearest_smaller(position, common, least)
+    after = nearest_smaller(position[::-1], np.r_[common[1:], 0][::-1], least)[::-1]
+    return np.maximum(before, after)
 
 
 def flagged(rows: DataFrame) -> DataFrame:
     """For contexts dealt by token: which of their windows are repeated, and of which they hold the first occurrence."""
     def flush(held):
         token, cid, count, copies, place, raw = zip(*held)
-        context, number, run = suffix_runs(list(raw), list(count), list(place))
-        times = np.bincount(run, np.array(copies)[context])
-        first = np.r_[True, run[1:] != run[:-1]]  # without a previous factor
+        context, number, position, common = suffix_order(list(raw), list(count), list(place))
+        earlier = previous_factors(position, common, LENGTH) >= LENGTH
+        later = previous_factors(-position, common, LENGTH) >= LENGTH
         base = np.cumsum([0, *count])
         repeated, owned = np.zeros(base[-1], bool), np.zeros(base[-1], bool)
-        repeated[base[context] + number] = times[run] > 1
-        owned[base[context] + number] = first
+        repeated[base[context] + number] = earlier | later | (np.array(copies)[context] > 1)
+        owned[base[context] + number] = ~earlier
         return pa.RecordBatch.from_arrays([
             pa.array(token, pa.int64()), pa.array(cid, pa.binary()), pa.array(count, pa.int32()),
             *(pa.array([np.packbits(m[a:b]).tobytes() for a, b in zip(base[:-1], base[1:])], pa.binary()) for m in (repeated, owned))],

@@ -4,10 +4,11 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from cargolume.llm import substrings
-from cargolume.llm.substrings import LENGTH, deduplicated
+from cargolume.llm.substrings import LENGTH, common_prefixes, deduplicated, previous_factors, suffix_order
 
 
 def brute(rows, keep="none"):
@@ -75,3 +76,32 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     got = deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id or 0, r.n_removed, r.n_spans) for r in got)) == [(0, 240, 1), (5, 0, 0), (5, 0, 0), (6, 250, 1), (6, 250, 1)]
     assert deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def shared(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("text,least", [(t, m) for t in (b"", b"a", b"aaaaaaaa", b"abracadabra" * 3, b"zyxwv" * 4, bytes(random.Random(5).choices(b"ab", k=120)),
+                                                         bytes(random.Random(6).choices(b"abcd", k=200))) for m in (1, 3)])
+def test_previous_and_next_factors(text, least):
+    """Each position's longest match that begins earlier (later), against all pairs of positions."""
+    order = sorted(range(len(text)), key=lambda i: text[i:])
+    common = np.array([0] * bool(order) + [shared(text[i:], text[j:]) for i, j in zip(order, order[1:])], np.int64)
+    for sign in (1, -1):
+        got = previous_factors(sign * np.array(order, np.int64), common, least)
+        want = [max([shared(text[i:], text[j:]) for j in range(len(text)) if sign * j < sign * i], default=0) for i in order]
+        assert got.tolist() == [w if w >= least else 0 for w in want]
+
+
+def test_common_prefixes_and_order():
+    rnd = random.Random(9)
+    base = bytes(rnd.choices(b"ab\x00\xff", k=LENGTH + 40))
+    raw = [base, base[:150] + bytes(rnd.choices(b"ab", k=LENGTH - 120)), base[:LENGTH], base[3:LENGTH + 20]]
+    count = [len(r) - LENGTH + 1 for r in raw if len(r) >= LENGTH]
+    raw = [r for r in raw if len(r) >= LENGTH]
+    context, number, position, common = suffix_order(raw, count, ["d", "b", "c", "a"][:len(raw)])
+    windows = [raw[c][o:o + LENGTH] for c, o in zip(context, number)]
+    assert windows == sorted(windows) and len(set(position.tolist())) == sum(count)
+    assert common.tolist() == [0] + [shared(a, b) for a, b in zip(windows, windows[1:])]
+    assert common_prefixes(np.zeros((0, 25), ">u8")).tolist() == []
