@@ -145,6 +145,48 @@ def test_cells_and_slots(spark):
         df.withColumn("Distance_km", F.lit(None).cast("double")).select(forest.cell_of(edges)).collect()
 
 
+def test_a_cell_takes_few_comparisons(spark):
+    """One check a number and a bin by halving; a check and a comparison at every edge took 57 microseconds a row."""
+    edges = {c: [i / 7 for i in range(forest.BINS - 1)] for c in ("Distance_km", "Weight_tons", "Vendor_Rating")}
+    text = str(forest.cell_of(edges)).lower()
+    assert text.count("missing or not a number") == 3
+    x = [e + d for e in edges["Distance_km"] for d in (-1e-3, 0.0, 1e-3)]
+    found = spark.createDataFrame([(v,) for v in x], "x double").select("x", forest._bin_of(F.col("x"), edges["Distance_km"], 0, forest.BINS - 1).alias("b")).collect()
+    assert all(r["b"] == sum(r["x"] > e for e in edges["Distance_km"]) for r in found)
+
+
+def test_splits_are_those_of_full_histograms():
+    """Sums over the bins that a node has entries in find what a table of all bins finds."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, forest.BINS, (300, 4)).astype(np.uint8)
+    x[:, 3] = x[:, 3] > 15
+    row, node = rng.integers(0, 300, 700), np.sort(np.concatenate([np.arange(60), rng.integers(0, 60, 640)]))
+    w = rng.integers(1, 4, 700).astype(float)
+    w1 = w * rng.integers(0, 2, 700)
+    total, late = np.bincount(node, w), np.bincount(node, w1)
+    drawn = rng.random((60, 4)).argsort(1)
+    best = np.full(60, -np.inf)
+    which, cut = forest._splits(x, row, w, w1, node, total, late, drawn, 2, 2, best)
+    for i in range(60):
+        gains = []
+        for j in drawn[i]:
+            for b in range(forest.BINS):
+                one = (node == i) & (x[row, j] <= b)
+                two = (node == i) & (x[row, j] > b)
+                if min(one.sum(), two.sum()) >= 2:
+                    value = [(w1[s].sum() ** 2 + (w[s].sum() - w1[s].sum()) ** 2) / w[s].sum() for s in (one, two)]
+                    gain = sum(value) - (late[i] ** 2 + (total[i] - late[i]) ** 2) / total[i]
+                    if gain > 1e-9:
+                        gains.append((gain, j, b))
+            if gains and j in drawn[i][1:]:
+                break
+        if gains:
+            top = max(g for g, _, _ in gains)
+            assert (best[i], which[i], cut[i]) == next((pytest.approx(g), j, b) for g, j, b in gains if g >= top - 1e-12)
+        else:
+            assert which[i] == -1
+
+
 def test_sample_is_bounded_and_holds_every_day(prepared):
     kept = forest.samples(prepared, {"all": F.lit(True), "some": F.col("random_fold") == 0}, 500, 1, "Full_Date")
     days = prepared.select("Full_Date").distinct().count()
