@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cargolume.functions.keys import spread_key
 
-SLICE_ROWS = 2_000_000
+SLICE_ROWS = 100_000
 PICK_ROWS = 50_000
 BINS = 2048
 
@@ -20,7 +20,8 @@ def positions(df: DataFrame, group: str, key="Shipment_ID", out="position", over
               slice_rows=SLICE_ROWS) -> DataFrame:
     """0-based row position by (group, hash of key); per group when `overall` is false.
 
-    `group` must be bounded (a day, a class): its counts fit one task. Null groups come first.
+    `group` must be bounded (a day, a class): its counts fit one task, and are sent to the rows; rows dealt by group
+    would put a class into one task. Slices are small, so that those which meet in a task stay small. Null groups come first.
     """
     tagged = df.withColumn("_tie", spread_key(key))
     sizes = tagged.groupBy(group).agg(F.count("*").alias("_rows"))
@@ -31,7 +32,7 @@ def positions(df: DataFrame, group: str, key="Shipment_ID", out="position", over
     start = F.coalesce(F.sum("_rows").over(before), F.lit(0)) if overall else F.lit(0).cast("long")
     sizes = sizes.select(F.col(group).alias("_g"), F.row_number().over(ordered).alias("_gid"),
                          digits.cast("int").alias("_digits"), start.alias("_start"))
-    sliced = tagged.join(sizes, F.col(group).eqNullSafe(F.col("_g")), "left").withColumn(
+    sliced = tagged.join(F.broadcast(sizes), F.col(group).eqNullSafe(F.col("_g")), "left").withColumn(
         "_slice", F.expr("substring(_tie, 1, _digits)"))
     inner = Window.partitionBy("_gid").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("_gid", "_slice").agg(F.count("*").alias("_n")).select(

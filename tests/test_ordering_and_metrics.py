@@ -23,6 +23,19 @@ def test_positions_are_exact_on_a_hot_day(hot_day, slice_rows):
     assert got == {r["Shipment_ID"]: i for i, r in enumerate(in_order(hot_day))}
 
 
+def test_a_class_is_not_dealt_to_one_task(spark):
+    """Counts go to the rows; before, both were dealt by class, and 0.8 of all rows could meet in one task."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(50).select(F.col("id").cast("string").alias("Shipment_ID"), (F.col("id") % 5 == 0).cast("int").alias("late"))
+        plan = ordering.positions(df, "late")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("BroadcastHashJoin") == 2  # of the numbered rows, and of those that slices are counted on
+    assert ordering.SLICE_ROWS <= 100_000
+
+
 def test_positions_with_null_group(spark):
     df = spark.createDataFrame([("a", None), ("b", 1), ("c", None)], "Shipment_ID string, g int")
     got = {r["Shipment_ID"]: r["position"] for r in ordering.positions(df, "g").collect()}
