@@ -17,7 +17,7 @@ from cargolume import params as P
 from cargolume.errors import InfeasiblePlanError, UnprovenPlanError
 from cargolume.functions.keys import spread_key, uniform
 from cargolume.operators.ordering import _kth_hash, kth_by_group, kth_values
-from cargolume.operators.panels import wide_panel
+from cargolume.operators.panels import by_pair, wide_panel
 from cargolume.session import literal_rows, materialise
 
 
@@ -641,7 +641,7 @@ def carbon_price_sweep(wide: DataFrame, prices_per_ton, fleet=P.VEHICLES) -> Dat
 
 def plan_summary(assignment: DataFrame, panel: DataFrame) -> DataFrame:
     """Counts, freight, CO2, expected late and split shipments per vehicle."""
-    joined = assignment.join(panel, ["Shipment_ID", "Vehicle_Type"], "left")
+    joined = by_pair(assignment, panel)
     late = F.sum(F.col("p") * F.col("share")) if "p" in panel.columns else F.lit(None).cast("double")
     return joined.groupBy("Vehicle_Type").agg(
         F.sum("share").alias("shipments"), F.sum(F.col("freight") * F.col("share")).alias("freight"),

@@ -62,8 +62,18 @@ def risk_panel(df: DataFrame, slope: float, intercepts: dict, score="Delay_Risk_
     return counterfactual_grid(df, fleet).select("Shipment_ID", "Vehicle_Type", p.alias("p"))
 
 
+def by_pair(left: DataFrame, right: DataFrame) -> DataFrame:
+    """A left join on (Shipment_ID, Vehicle_Type), dealt by the shipment alone.
+
+    A side that its narrow rows were dealt out for by shipment, before the fan-out to vehicles, is not shuffled again.
+    """
+    other = right.withColumnsRenamed({"Shipment_ID": "_id", "Vehicle_Type": "_vehicle"})
+    vehicle = (F.col("Vehicle_Type") <= F.col("_vehicle")) & (F.col("Vehicle_Type") >= F.col("_vehicle"))  # as a key it would be dealt by
+    return left.join(other, (F.col("Shipment_ID") == F.col("_id")) & vehicle, "left").drop("_id", "_vehicle")
+
+
 def align_risk(panel: DataFrame, risk: DataFrame) -> DataFrame:
-    return panel.join(risk, ["Shipment_ID", "Vehicle_Type"], "left")
+    return by_pair(panel, risk)
 
 
 def missing_risk(aligned: DataFrame) -> DataFrame:

@@ -128,8 +128,8 @@ RANKED = """ranked AS (SELECT Shipment_ID, CASE WHEN rn <= e THEN 'Electric Semi
   (SELECT count_if(Vehicle_Type = 'Electric Semi') AS e, count_if(Vehicle_Type = 'Diesel Truck') AS d FROM ship))"""
 
 
-def _ranked(spark, sf):
-    df = shipments(spark, sf, INPUTS)
+def _ranked(spark, sf, extra=()):
+    df = materialise(shipments(spark, sf, [*INPUTS, *extra]), "ranked")
     caps = panels.caps_dict(panels.observed_caps(df))
     return df, al.minimum_freight_plan(df, caps)
 
@@ -146,9 +146,10 @@ SUMMARY = """summary AS (SELECT Vehicle_Type, count(*)::DOUBLE AS shipments, sum
 @query("plan_summary", with_ship("""SELECT Vehicle_Type, shipments, round(freight, 4) AS freight, round(co2_kg, 4) AS co2_kg, round(expected_late, 4) AS expected_late, 0 AS split_rows FROM summary""",
                                  FLEET, PANEL, RANKED, SUMMARY), longs=("split_rows",))
 def plan_summary(spark, sf):
-    df, plan = _ranked(spark, sf)
-    risk = panels.risk_panel(shipments(spark, sf, ["Shipment_ID", "raw_score", "Vehicle_Type"]), SLOPE, LOW, "raw_score")
-    return rounded(al.plan_summary(plan, panels.align_risk(panels.allocation_panel(df), risk)), 4)
+    df, plan = _ranked(spark, sf, ["raw_score"])
+    by_id = df.repartition("Shipment_ID")
+    risk = panels.risk_panel(by_id, SLOPE, LOW, "raw_score")
+    return rounded(al.plan_summary(plan, panels.align_risk(panels.allocation_panel(by_id), risk)), 4)
 
 
 @query("plan_abatement", with_ship("""
@@ -158,7 +159,7 @@ FROM (SELECT sum(co2_kg) AS qe, sum(freight) AS qf FROM panel WHERE actual = Veh
     FLEET, PANEL, RANKED, SUMMARY))
 def plan_abatement(spark, sf):
     df, plan = _ranked(spark, sf)
-    return rounded(al.abatement(panels.status_quo(df), al.plan_summary(plan, panels.allocation_panel(df))), 4)
+    return rounded(al.abatement(panels.status_quo(df), al.plan_summary(plan, panels.allocation_panel(df.repartition("Shipment_ID")))), 4)
 
 
 @query("carbon_price_sweep", with_ship("""
