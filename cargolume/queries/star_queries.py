@@ -8,6 +8,7 @@ from cargolume.operators import star
 from cargolume.queries.base import query, with_ship
 from cargolume.queries.formula_queries import CO2_INPUTS, r
 from cargolume.schemas import FACT_COLUMNS, FEATURES, RAW_COLUMNS, ROUTE_COLUMNS
+from cargolume.session import materialise
 from cargolume.sources.shipments import shipments
 
 # The view's ids differ from those of the contract's defaults.
@@ -79,7 +80,8 @@ SELECT f.*, v.Vendor_Rating, r.Origin, r.Destination, r.Vehicle_Type, r.Weather_
 FROM fact f LEFT JOIN dim_route r USING (Route_ID) LEFT JOIN dim_vendor v USING (Vendor_ID)""", *STAR_SQL[:3]))
 def allocation_input(spark, sf):
     t = star_tables(spark, sf)
-    return star.allocation_input(t["fact"], t["dim_route"], t["dim_vendor"])
+    # Stored, the dimensions' sizes are known: while they are small, the fact is not shuffled for them.
+    return star.allocation_input(t["fact"], *[materialise(t[n], n) for n in ("dim_route", "dim_vendor")])
 
 
 @query("scored_fact", with_ship("""
