@@ -110,16 +110,16 @@ def _save(spark, path: str, rows: list[dict]) -> None:
 def rolling_plan(wide: DataFrame, monthly: dict[str, int], folder: str, day="Full_Date", fleet=P.VEHICLES, penalty=P.SLA_PENALTY) -> RollingPlan:
     """A plan per week under the months' capacities; `wide` is a panel of `build_wide` with a day.
 
-    The state lies in `folder`; weeks that are there are not planned again. Raises where a month has more shipments than
+    `wide` is read once for every pass, so it lies over stored rows. The state lies in `folder`; weeks that are there are not planned again. Raises where a month has more shipments than
     capacity.
     """
     spark, k = wide.sparkSession, len(fleet)
     cost = [(F.col(f"f{i}") + penalty * F.col(f"p{i}") if f"p{i}" in wide.columns else F.col(f"f{i}")).alias(f"c{i}") for i in range(k)]
-    dated = materialise(periods(wide, day).select("Shipment_ID", "month", "week", *cost), "rolling")
+    dated = periods(wide, day).select("Shipment_ID", "month", "week", *cost)
     demand = {(r["month"], r["week"]): r["count"] for r in dated.groupBy("month", "week").count().collect()}  # bounded by the calendar
     order = sorted(demand)
     number = spark.createDataFrame([(m, w, i) for i, (m, w) in enumerate(order)], "g_month string, g_week date, group int")
-    panel = materialise(dated.join(F.broadcast(number), (F.col("month") == F.col("g_month")) & (F.col("week") == F.col("g_week"))).drop("g_month", "g_week"), "rolling")
+    panel = dated.join(F.broadcast(number), (F.col("month") == F.col("g_month")) & (F.col("week") == F.col("g_week"))).drop("g_month", "g_week")
     cells, path = _cells_by_period(panel, k), f"{folder}/state"
     state, fresh, made, start, last_saved = _saved(spark, path), [], 0, None, 0
     months = sorted({m for m, _ in order})
@@ -184,8 +184,7 @@ def _drawn(panel: DataFrame, rows: list[dict], k: int, fleet) -> DataFrame:
         ties = kth_by_group(table.where(regret == edge).select("group", tie.alias("x")), {g: moves[g][2] - 1 - edges[g][1] for g in moves})
         go = (regret < edge) | ((regret == edge) & (tie <= _by_group([float(ties[g][0]) if g in ties else None for g in range(len(rows))])))
         pick = F.when(F.coalesce(go, F.lit(False)), dst).otherwise(pick)
-        table = materialise(table.withColumn("pick", pick), "rolling-picks")
-        pick = F.col("pick")
+        table, pick = table.withColumn("pick", pick), F.col("pick")
         for g, (s, t, m) in moves.items():
             over[g][s] -= m
             over[g][t] += m

@@ -187,11 +187,14 @@ def vendor_assignment_verdict(spark, sf):
 
 def _rolling(spark, sf):
     df = shipments(spark, sf, [*aq.INPUTS, "Shipment_Date"]).withColumn("Full_Date", F.to_date("Shipment_Date"))
-    df = materialise(df, "rolling-view")
-    busiest = df.groupBy(F.date_format("Full_Date", "yyyy-MM")).count().agg(F.max("count")).first()[0]
-    fleet = {r["Vehicle_Type"]: r["n"] for r in df.groupBy("Vehicle_Type").agg(F.count("*").alias("n")).collect()}
+    rows = al.panel_inputs(df, keep=["Vehicle_Type", "Full_Date"])
+    busiest = rows.groupBy(F.date_format("Full_Date", "yyyy-MM")).count().agg(F.max("count")).first()[0]
+    fleet = {r["Vehicle_Type"]: r["n"] for r in rows.groupBy("Vehicle_Type").agg(F.count("*").alias("n")).collect()}
     monthly = {v: math.ceil(1.15 * busiest * fleet.get(v, 0) / sum(fleet.values())) + 1 for v in P.VEHICLES}
-    wide = al.build_wide(df).join(df.select("Shipment_ID", "Full_Date"), "Shipment_ID")
+    wide = al.widened(rows, keep=["Full_Date"])
+    # Days go to the panel by id. Where no id is repeated, each row keeps its own day and the join is left out.
+    if rows.groupBy(F.xxhash64("Shipment_ID")).count().where("count > 1").limit(1).count():
+        wide = materialise(wide.drop("Full_Date").join(rows.select("Shipment_ID", "Full_Date"), "Shipment_ID"), "rolling-view")
     return rolling.rolling_plan(wide, monthly, fresh_path(spark, "rolling")), monthly
 
 
