@@ -73,7 +73,7 @@ def test_longer_steps_are_asked_for_only_where_they_may_gain():
         asked.append(len(asks))
         return al._fold_cells(cells, asks)
 
-    search = al._climb(al._Ask({}), 3, [300.0, 300.0, 400.0], 3000.0, 1000, 5.0, 4.0, 0.05, 500, None, 1e-8, False)
+    search = al._climb(al._Ask({}), 3, [300.0, 300.0, 400.0], 4500.0, 1000, 5.0, 4.0, 0.05, 500, None, 1e-8, False)
     theta, _, here, done = al._together([search], fold)[0]
-    assert done and abs(here[2][0] - 3000.0) < 1e-3 and max(abs(here[2][1:] - [300.0, 300.0, 400.0])) < 1e-3
+    assert done and abs(here[2][0] - 4500.0) < 1e-3 and max(abs(here[2][1:] - [300.0, 300.0, 400.0])) < 1e-3
     assert asked.count(1) > len(asked) / 2 and sum(asked) < 2 * len(asked)
