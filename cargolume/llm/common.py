@@ -71,9 +71,12 @@ def summed_blocks(rows: DataFrame, kind: str) -> np.ndarray:
     def add(batches):
         sums = {}
         for batch in batches:
-            for block, data in zip(*(c.to_pylist() for c in batch.columns)):
-                values = np.frombuffer(data, kind)
-                sums[block] = values.copy() if block not in sums else sums[block] + values
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = np.frombuffer(data.as_buffer(), kind)  # not copied: a batch may hold a block of every task
+                if block in sums:
+                    sums[block] += values
+                else:
+                    sums[block] = values.copy()
         if sums:
             yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "data": [v.tobytes() for v in sums.values()]})
 

@@ -38,6 +38,9 @@ RATE = 2e-3
 DECAY = 1e-4
 CALIBRATION = 5        # one row in so many fits the temperature
 SEED = 20
+SLICE = 500_000        # characters that a worker cuts into words at once
+CHUNK = 100_000        # words that a worker counts at once
+MOST_COUNTED = 1 << 26  # words after which counts go out, so that none of them leaves 32 bits
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -64,7 +67,7 @@ class Words:
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All words of the texts in order, and where each text begins (one more for the end)."""
-        if len(self.seen) > 500_000:
+        if len(self.seen) > 100_000:
             self.seen.clear()
         found = [TOKEN.findall(t) for t in texts]
         ends = np.cumsum([0] + [len(f) for f in found])
@@ -79,24 +82,34 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         # A row of counts has a slot per dimension for each sign, so that one unweighted count serves both.
         wide = 2 * DIMENSIONS
         slot = [np.ascontiguousarray(at[:, k] + DIMENSIONS * (sign[:, k] < 0)) for k in range(NONZERO)]
-        words, counts = Words(), np.zeros(WORDS * wide, np.int64)
+        words, counts, counted = Words(), np.zeros(WORDS * wide, np.int32), 0
+        keys = np.empty(CHUNK * (2 * WINDOW + 1) * NONZERO, np.int64)
+
+        def summed():
+            each = counts.reshape(WORDS, 2, DIMENSIONS)
+            return blocks((each[:, 0].astype(np.int64) - each[:, 1]).ravel(), 64)
+
         for batch in batches:
-            for _, texts in text_slices(batch):
+            for _, texts in text_slices(batch, SLICE):
                 rows, ends = words.rows(texts)
                 text, base = np.repeat(np.arange(len(texts)), np.diff(ends)), rows * wide
-                for k in range(0, len(rows), 200_000):  # bounded, also for one very long document
-                    keys = []
+                for k in range(0, len(rows), CHUNK):  # bounded, also for one very long document
+                    if counted > MOST_COUNTED:
+                        yield summed()
+                        counts[:], counted = 0, 0
+                    counted += CHUNK
+                    filled = 0
                     for shift in range(WINDOW + 1):
-                        to = min(k + 200_000, len(rows) - shift)
+                        to = min(k + CHUNK, len(rows) - shift)
                         x, y = slice(k, max(to, k)), slice(k + shift, max(to, k) + shift)
                         inside = text[x] == text[y]
                         for a, b in ((x, y), (y, x))[:1 if shift == 0 else 2]:
                             first, second = base[a][inside], rows[b][inside]
-                            keys += [first + s[second] for s in slot]
-                    counts += np.bincount(np.concatenate(keys), minlength=len(counts))
-        each = counts.reshape(WORDS, 2, DIMENSIONS)
-        sums = (each[:, 0] - each[:, 1]).ravel()
-        yield blocks(sums, 64)
+                            for s in slot:
+                                np.add(first, s[second], out=keys[filled:filled + len(first)])
+                                filled += len(first)
+                    np.add(counts, np.bincount(keys[:filled], minlength=len(counts)), out=counts, casting="unsafe")
+        yield summed()
 
     sums = summed_blocks(docs.select("doc_id", "text").mapInArrow(run, "block int, data binary"), "int64")
     return (sums if len(sums) else np.zeros(WORDS * DIMENSIONS, np.int64)).reshape(WORDS, DIMENSIONS)
@@ -197,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     def run(batches):
         words = Words()
         for batch in batches:
-            for keys, texts in text_slices(batch):
+            for keys, texts in text_slices(batch, SLICE):
                 x = pooled(*words.rows(texts), shared.value)
                 yield pa.RecordBatch.from_arrays([keys, pa.array([r.tobytes() for r in x], pa.binary())], ["label", "x"])
 
@@ -214,7 +227,7 @@ def scored(docs: DataFrame, model: Classifier) -> DataFrame:
     def run(batches):
         words, use = Words(), shared.value
         for batch in batches:
-            for keys, texts in text_slices(batch):
+            for keys, texts in text_slices(batch, SLICE):
                 s = use.network.scores(pooled(*words.rows(texts), use.vectors).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(s, pa.float64())], ["doc_id", "score"])
 
@@ -229,7 +242,7 @@ def accepted(docs: DataFrame, model: Classifier) -> DataFrame:
         words, use = Words(), shared.value
         for batch in batches:
             done = 0
-            for keys, texts in text_slices(pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(text_at)], ["k", "text"])):
+            for keys, texts in text_slices(pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(text_at)], ["k", "text"]), SLICE):
                 good = use.network.scores(pooled(*words.rows(texts), use.vectors).astype(np.float64)) >= 0.5
                 yield batch.slice(done, len(keys)).filter(pa.array(good))
                 done += len(keys)
