@@ -36,10 +36,16 @@ def keyed(docs: DataFrame) -> DataFrame:
 def lines_of(docs: DataFrame) -> DataFrame:
     """A row per line with words, stored: doc_id, t, line, key (digest of the words) and screens."""
     rows = keyed(docs).select("doc_id", "t", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    # A condition on the words would be moved below them and cut every line twice; one on the trimmed line costs little.
-    rows = rows.select("doc_id", "t", "line", F.btrim("raw", F.lit(BLANKS)).alias("raw")).where("raw != ''")
-    rows = rows.select("doc_id", "t", "line", F.split("raw", SPACES).alias("w"))
-    return stored(rows.select("doc_id", "t", "line", F.unhex(F.md5(F.array_join("w", " "))).alias("key"), screens(F.col("w")).alias("screens")), "lines")
+    uneven = F.startswith("raw", F.lit(" ")) | F.endswith("raw", F.lit(" ")) | F.contains("raw", F.lit("  "))
+    for c in BLANKS.strip(" \n"):
+        uneven |= F.contains("raw", F.lit(c))
+    # Words are parted by single spaces in most lines; the others are made so. Trimming every line costs more than all the rest.
+    even = F.when(uneven, F.btrim(F.regexp_replace("raw", SPACES, " "))).otherwise(F.col("raw"))
+    rows = rows.select("doc_id", "t", "line", even.alias("even"))
+    rows = rows.withColumn("n", F.octet_length("even") - F.octet_length(F.replace("even", F.lit(" "), F.lit(""))) + 1)
+    # A condition here would be moved below the words and cut every line twice; read back, it costs nothing.
+    key = F.when(F.col("even") != "", F.unhex(F.md5("even")))
+    return stored(rows.select("doc_id", "t", "line", key.alias("key"), screens("even", "n").alias("screens")), "lines").where("key IS NOT NULL")
 
 
 def half_of(n: Column) -> Column:
@@ -47,15 +53,15 @@ def half_of(n: Column) -> Column:
     return F.pow(F.lit(2), F.floor(F.log2(n / 2))).cast("int")
 
 
-def screens(w: Column) -> Column:
-    """Hashes of the first and of the last words, up to the power of two that is at most half the line.
+def screens(even: str, words_in: str) -> Column:
+    """Hashes of the first and of the last words of a line with single spaces, up to the power of two that is at most half the line.
 
     A line of 2^k words also gives those for half that, which a line with one word less uses.
     """
-    n, half = F.size(w), half_of(F.size(w))
+    n, half = F.col(words_in), half_of(F.col(words_in))
 
     def ends(size):
-        return [F.xxhash64(F.lit(0), size, F.slice(w, 1, size)), F.xxhash64(F.lit(1), size, F.slice(w, -size, size))]
+        return [F.xxhash64(F.lit(k), size, F.call_function("substring_index", F.col(even), F.lit(" "), -size if k else size)) for k in (0, 1)]
 
     quarter = (half / 2).cast("int")
     return F.when(n < NEAR_WORDS - 1, F.array().cast("array<long>")).when(n == 2 * half, F.array(*ends(half), *ends(quarter))).otherwise(F.array(*ends(half)))
@@ -182,7 +188,9 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     gone = removed_lines(docs).select(F.col("doc_id").alias("l_id"), F.col("t").alias("l_t"), "gone")
     row = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("l_key"))
     cut = row.join(gone, F.col("row.doc_id").eqNullSafe(F.col("l_id")) & (F.col("l_key") == F.col("l_t")), "left")
-    lines = F.split(F.col("row.text"), "\n")
+    # The lines are a column of their own: inside a lambda the text would be cut again for every line.
+    cut = cut.withColumn("cut", F.split(F.col("row.text"), "\n"))
+    lines = F.col("cut")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     cut = cut.withColumn("left", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -76,3 +77,19 @@ def test_very_long_line(spark):
     got = without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.l_removed) for r in got) == [(1, 0), (2, 1), (3, 0)]
     assert hashlib.sha256(sorted(got)[0].text.encode()).hexdigest() == hashlib.sha256(" ".join(words).encode()).hexdigest()
+
+
+def test_white_space_of_any_kind_parts_words(spark):
+    """Equal words in lines with tabs, runs of spaces and blank ends are equal lines; no-break spaces belong to words."""
+    texts = ["a b c d e f g h i", " a  b c\td e f g\x0bh i\r", "a b c d e f g h  x ", "\t \x0c", "", "a\u00a0b c", "a b c", "b  c d e f g h i"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(50, "\n".join(texts))]
+    got = without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    plain = lambda t: t.replace("\u00a0", "\u2581")  # noqa: E731  (str.split takes it for a space)
+    assert sorted(((r.doc_id, plain(r.text)) for r in got.collect()), key=repr) == brute([(d, plain(t)) for d, t in rows])
+
+
+def test_a_text_is_cut_once(spark):
+    """Not again, inside a lambda, for each line that stays."""
+    rows = spark.createDataFrame([(1, "a b c\nd e f"), (2, "a b c")], "doc_id long, text string")
+    plan = without_repeated_lines(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" in plan and not re.search(r"split\([^()]*-1\)\[lambda", plan)
