@@ -32,7 +32,7 @@ def test_every_row_is_learnt_from(spark, monkeypatch):
     df = df.unionByName(df.where("Shipment_ID = 'S7'"))
     seen = {}
 
-    def grown(sample, edges, fits, counts=None):
+    def grown(sample, edges, fits, counts=None, rows_of=None):
         rows = {r["fit"]: r["n"] for r in sample.groupBy("fit").agg(F.count("*").alias("n")).collect()}
         seen.update(rows | ({r["fit"]: r["rows"] for r in counts.collect()} if counts is not None else {}))
         return {n: "d" for n in fits}
