@@ -43,10 +43,15 @@ def vehicle_probabilities(seed=42, vendor="Vendor_ID", distance="Distance_km", w
     w = (_c(weight) - P.DISPATCH_WEIGHT_CENTRE) / P.DISPATCH_WEIGHT_SCALE
     utility = [F.lit(P.DISPATCH_BASE[v]) + d * P.DISPATCH_DISTANCE[v] + w * P.DISPATCH_WEIGHT[v]
                + normal(seed, F.col(vendor), F.lit(v)) * P.FLEET_BIAS_SD for v in P.VEHICLES]
-    top = F.greatest(*utility)
-    weights = F.array(*[F.exp(u - top) for u in utility])
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(weights, lambda x: x / total)
+    # Every step is bound to a name, since an expression inside a lambda is evaluated again for each element.
+    return _bound(F.array(*utility), lambda u: _bound(F.array_max(u), lambda top: _bound(
+        F.transform(u, lambda x: F.exp(x - top)), lambda weights: _bound(
+            F.aggregate(weights, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(weights, lambda x: x / total)))))
+
+
+def _bound(value: Column, then) -> Column:
+    """`then` of a value that is evaluated once a row."""
+    return F.transform(F.array(value), then)[0]
 
 
 def pick_category(probabilities: Column, u: Column, names) -> Column:

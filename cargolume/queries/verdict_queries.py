@@ -43,7 +43,7 @@ def delay_rate_offset_verdict(spark, sf):
 @query("assigned_vehicles_verdict", with_ship("SELECT count(*) AS shipments, count(DISTINCT Shipment_ID) AS ids, 3 AS vehicles, 0 AS unknown, true AS drawn_as_probable FROM ship"))
 def assigned_vehicles_verdict(spark, sf):
     """The drawn shares lie within 3 standard deviations of the mean probabilities."""
-    drawn, chance = (materialise(REGISTRY[n][0](spark, sf), n) for n in ("assigned_vehicles", "vehicle_probabilities"))
+    drawn, chance = (REGISTRY[n][0](spark, sf) for n in ("assigned_vehicles", "vehicle_probabilities"))  # each is read once, so neither is stored
     mean = {r["option"]: (r["p"], r["n"]) for r in chance.groupBy("option").agg(F.avg("probability").alias("p"), F.count("*").alias("n")).collect()}
     shares = [F.abs(F.avg((F.col("Vehicle_Type") == v).cast("double")) - mean[i][0]) <= 3 * math.sqrt(mean[i][0] * (1 - mean[i][0]) / mean[i][1]) + 1e-9 for i, v in enumerate(P.VEHICLES)]
     return drawn.agg(F.count("*").alias("shipments"), F.count_distinct("Shipment_ID").alias("ids"), F.count_distinct("Vehicle_Type").cast("int").alias("vehicles"),
